@@ -7,11 +7,13 @@ times an anomaly multiplier and an access gate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classes import TERMS
-from .numeric import (ColumnLike, as_col, clamp, gaussian, inverse_soft_ceiling, round_to, soft_ceiling,
+from .numeric import (ColumnLike, as_col, clamp, gaussian, inverse_soft_ceiling, limit, round_to, soft_ceiling,
                       trapezoid)
 
 # Neutral terms used when only the climatology of a place and day is known.
@@ -23,30 +25,48 @@ OPEN_WATER_GROUPS = ("tuna", "pelagic")
 TERM_FLOOR = 0.02
 SCORE_LIMITS = (0.01, 1.35)
 DEFAULT_ACCESS = 0.7
+LN_HALF = math.log(0.5)
+
+
+def tide_strength(tide_range: ColumnLike, rate: ColumnLike) -> Column:
+    """Strength of the day's exchange from its range and fastest rate; null if either is missing."""
+    rng, rate = as_col(tide_range), as_col(rate)
+    by_range = limit(0.25 + 0.75 * F.least(F.lit(1.0), (rng - 2.0) / 4.5))
+    by_rate = limit(0.25 + 0.75 * F.least(F.lit(1.0), (rate - 0.5) / 1.3))
+    return F.when(rng.isNotNull() & rate.isNotNull(), 0.45 * by_range + 0.55 * by_rate)
+
 
+def light_timing(best_hour: ColumnLike, sunrise: ColumnLike, sunset: ColumnLike) -> Column:
+    """How close the best water is to dawn or dusk, 0.5 when unknown."""
+    hour, rise, sset = map(as_col, (best_hour, sunrise, sunset))
+    gap = F.least(F.abs(hour - rise), F.abs(hour - sset), F.abs(hour + 24 - rise), F.abs(hour - 24 - sset))
+    known = hour.isNotNull() & rise.isNotNull() & sset.isNotNull()
+    return F.when(known, limit(F.exp(-F.pow(gap, F.lit(2.0)) / 12.5))).otherwise(0.5)
 
-def _nearest_light(hour: Column, rise: Column, sset: Column) -> Column:
-    return F.least(F.abs(hour - rise), F.abs(hour - sset), F.abs(hour + 24 - rise), F.abs(hour - 24 - sset))
+
+def high_water_push(first_high: ColumnLike) -> Column:
+    """How close the first high water is to 07:00 or 19:00, 0.5 when unknown."""
+    h = as_col(first_high)
+    gap = F.least(F.abs(h - 7), F.abs(h - 19))
+    return F.when(h.isNotNull(), limit(F.exp(-F.pow(gap, F.lit(2.0)) / 24.5))).otherwise(0.5)
+
+
+def tide_by_preference(pref: ColumnLike, strength: ColumnLike, timing: ColumnLike, push: ColumnLike) -> Column:
+    pref, base, timing, push = map(as_col, (pref, strength, timing, push))
+    mixed = (F.when(pref == "any", 0.6 + 0.4 * base)
+              .when(pref == "strong_moving", 0.55 * base + 0.45 * (0.4 + 0.6 * timing))
+              .when(pref == "high_pushing", 0.45 * base + 0.55 * (0.35 + 0.65 * push))
+              .when(pref == "grey_light_moving", 0.4 * base + 0.6 * (0.3 + 0.7 * timing))
+              .when(pref == "moderate", 1.0 - 0.9 * F.abs(base - 0.6))
+              .otherwise(0.5 * base + 0.5 * (0.45 + 0.55 * timing)))
+    return F.when(base.isNotNull(), limit(mixed))
 
 
 def tide_term(pref: ColumnLike, tide_range: ColumnLike, rate: ColumnLike, best_hour: ColumnLike,
               sunrise: ColumnLike, sunset: ColumnLike, first_high: ColumnLike) -> Column:
     """Tide suitability by preference; strength of exchange combined with its timing."""
-    pref, rng, rate, best, rise, sset, high = map(
-        as_col, (pref, tide_range, rate, best_hour, sunrise, sunset, first_high))
-    strength = clamp(0.25 + 0.75 * F.least(F.lit(1.0), (rng - 2.0) / 4.5))
-    exchange = clamp(0.25 + 0.75 * F.least(F.lit(1.0), (rate - 0.5) / 1.3))
-    base = 0.45 * strength + 0.55 * exchange
-    timed = best.isNotNull() & rise.isNotNull() & sset.isNotNull()
-    timing = F.when(timed, clamp(gaussian(_nearest_light(best, rise, sset), 2.5))).otherwise(0.5)
-    push = F.coalesce(clamp(gaussian(F.least(F.abs(high - 7), F.abs(high - 19)), 3.5)), F.lit(0.5))
-    by_pref = (F.when(pref == "any", 0.6 + 0.4 * base)
-                .when(pref == "strong_moving", 0.55 * base + 0.45 * (0.4 + 0.6 * timing))
-                .when(pref == "high_pushing", 0.45 * base + 0.55 * (0.35 + 0.65 * push))
-                .when(pref == "grey_light_moving", 0.4 * base + 0.6 * (0.3 + 0.7 * timing))
-                .when(pref == "moderate", 1.0 - 0.9 * F.abs(base - 0.6))
-                .otherwise(0.5 * base + 0.5 * (0.45 + 0.55 * timing)))
-    return F.when(rng.isNotNull() & rate.isNotNull(), clamp(by_pref))
+    return tide_by_preference(pref, tide_strength(tide_range, rate), light_timing(best_hour, sunrise, sunset),
+                              high_water_push(first_high))
 
 
 def moon_term(pref: ColumnLike, illumination: ColumnLike, age: ColumnLike) -> Column:
@@ -54,10 +74,10 @@ def moon_term(pref: ColumnLike, illumination: ColumnLike, age: ColumnLike) -> Co
     extreme = 2.0 * F.abs(illum - 0.5)
     from_new = F.least(F.abs(age - 2.5), F.abs(age - 32.03))
     by_pref = (F.when(pref == "any", 0.85 + 0.125 * (1.0 - extreme))
-                .when(pref == "spring_tide", clamp(0.45 + 0.55 * extreme))
-                .when(pref == "post_new_moon",
-                      F.coalesce(clamp(0.35 + 0.65 * gaussian(from_new, 3.0)), F.lit(0.6)))
-                .when(pref == "dark_or_full_night", clamp(0.5 + 0.5 * extreme))
+                .when(pref == "spring_tide", limit(0.45 + 0.55 * extreme))
+                .when((pref == "post_new_moon") & age.isNull(), 0.6)
+                .when(pref == "post_new_moon", limit(0.35 + 0.65 * F.exp(-F.pow(from_new, F.lit(2.0)) / 18.0)))
+                .when(pref == "dark_or_full_night", limit(0.5 + 0.5 * extreme))
                 .otherwise(0.7))
     return F.when(illum.isNotNull(), by_pref)
 
@@ -66,7 +86,7 @@ def swell_term(wave: ColumnLike, tolerance: ColumnLike) -> Column:
     w, tol = as_col(wave), as_col(tolerance)
     calm, rough = tol * 0.35, tol * 1.9
     return (F.when(w.isNull(), F.lit(None).cast("double")).when(w <= calm, 1.0).when(w >= rough, 0.05)
-             .otherwise(clamp(1.0 - 0.95 * (w - calm) / (tol * 1.55))))
+             .otherwise(limit(1.0 - 0.95 * (w - calm) / (tol * 1.55))))
 
 
 def pressure_term(trend: ColumnLike) -> Column:
@@ -77,24 +97,24 @@ def pressure_term(trend: ColumnLike) -> Column:
 
 def front_term(gradient: ColumnLike, spread: ColumnLike) -> Column:
     v = F.coalesce(as_col(gradient), as_col(spread) / 12.0)
-    return clamp(0.25 + 0.75 * F.least(F.lit(1.0), F.when(v.isNotNull(), v / 0.6)))
+    return F.when(v.isNotNull(), limit(0.25 + 0.75 * F.least(F.lit(1.0), v / 0.6)))
 
 
 def chl_term(group: ColumnLike, chl: ColumnLike) -> Column:
     c = as_col(chl)
-    return F.when(as_col(group).isin(*OPEN_WATER_GROUPS), clamp(trapezoid(c, *CHL_OPEN_WATER))).otherwise(
-        clamp(trapezoid(c, *CHL_INSHORE)))
+    return F.when(as_col(group).isin(*OPEN_WATER_GROUPS), trapezoid(c, *CHL_OPEN_WATER)).otherwise(
+        trapezoid(c, *CHL_INSHORE))
 
 
 def access(wind: ColumnLike, wave: ColumnLike, period: ColumnLike, distance: ColumnLike) -> Column:
     """Share of a day that is workable (0.05..1) by wind, sea, chop and run length."""
     w, sea, per, dist = map(as_col, (wind, wave, period, distance))
-    wind_gate = clamp(trapezoid(w, -5.0, 0.0, 12.0, F.when(dist < 5, 26.0).otherwise(22.0)))
+    wind_gate = trapezoid(w, -5.0, 0.0, 12.0, F.when(dist < 5, 26.0).otherwise(22.0))
     far = dist > 15
-    sea_gate = clamp(trapezoid(sea, -1.0, 0.0, F.when(far, 3.5).otherwise(4.5), F.when(far, 9.0).otherwise(11.0)))
+    sea_gate = trapezoid(sea, -1.0, 0.0, F.when(far, 3.5).otherwise(4.5), F.when(far, 9.0).otherwise(11.0))
     chop = F.when((per < 8) & (sea > 3), 0.75).otherwise(1.0)
     run = F.when(dist < 12, 1.0).when(dist < 40, 0.9).otherwise(0.8)
-    gate = clamp((wind_gate * 0.5 + sea_gate * 0.5) * chop * run, 0.05, 1.0)
+    gate = limit((wind_gate * 0.5 + sea_gate * 0.5) * chop * run, 0.05, 1.0)
     return F.when(w.isNull() | sea.isNull(), DEFAULT_ACCESS).otherwise(gate)
 
 
@@ -131,7 +151,7 @@ def weighted_mean_log(terms: dict[str, Column], weights: dict[str, Column]) -> t
 
 def core_from(log_sum: Column, weight_sum: Column, multiplier: Column) -> Column:
     """Core suitability; null when no driver is left."""
-    return F.when(weight_sum > 0, clamp(F.exp(log_sum / weight_sum) * F.coalesce(multiplier, F.lit(1.0)),
+    return F.when(weight_sum > 0, limit(F.exp(log_sum / weight_sum) * F.coalesce(multiplier, F.lit(1.0)),
                                         *SCORE_LIMITS))
 
 
@@ -156,7 +176,7 @@ def regime_baseline(clim_score: ColumnLike, anomaly: ColumnLike, pref: ColumnLik
 
 
 def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst: str = "sst_f",
-               anomaly: str = "sst_anom_f") -> DataFrame:
+               anomaly: str = "sst_anom_f", score_only: bool = False) -> DataFrame:
     """Append score columns to rows that carry conditions and subject parameters.
 
     Conditions: month, sst (+ norm), anomaly, wave_ft/wind_kt (+ wave_norm/wind_norm), wave_period_s,
@@ -164,50 +184,45 @@ def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst:
     Subject: sst_window array(4), season_index array(12), weights map, tide_pref, moon_pref, group,
     temp_ref, anomaly_pref, swell_tolerance_ft. Place: distance_nm, depth_mid_ft.
     In climatology mode the norms replace the observations and the short-lived drivers are neutral.
+    Intermediate values are staged as columns, so that every generated expression stays short.
     """
-    c = F.col
+    c, p = F.col, prefix
+    before = list(df.columns)
     temp, wave, wind = (("sst_norm", "wave_norm", "wind_norm") if climatology else (sst, "wave_ft", "wind_kt"))
     win = c("sst_window")
-    p = prefix
     staged = df.withColumns({
-        f"{p}term_sst": trapezoid(reference_temperature("temp_ref", "depth_mid_ft", temp),
-                                  win[0], win[1], win[2], win[3]),
-        f"{p}term_season": F.get(c("season_index"), c("month") - 1),
-        f"{p}term_swell": swell_term(wave, "swell_tolerance_ft"),
-        **({f"{p}term_{k}": F.lit(v) for k, v in CLIMATOLOGY_TERMS.items()} if climatology else {
-            f"{p}term_tide": tide_term("tide_pref", "tide_range_ft", "max_exchange_rate_ft_h", "best_water_hour",
-                                       "sunrise_hour", "sunset_hour", "first_high_hour"),
-            f"{p}term_moon": moon_term("moon_pref", "moon_illum", "moon_age_days"),
-            f"{p}term_pressure": pressure_term("pressure_trend_24h"),
-            f"{p}term_front": front_term("front_f_per_nm", "sst_spread_f"),
-            f"{p}term_chl": chl_term("group", "chl_mg_m3")}),
-        f"{p}anomaly_term": F.lit(1.0) if climatology else anomaly_multiplier("anomaly_pref", anomaly),
-        f"{p}access_share": access(wind, wave, "wave_period_s", "distance_nm"),
-        f"{p}access_note": access_note(wind, wave, "distance_nm"),
-        **{f"{p}w_{k}": F.coalesce(c("weights")[k], F.lit(0.0)) for k in TERMS},
-    })
-    terms = {k: c(f"{p}term_{k}") for k in TERMS}
-    weights = {k: c(f"{p}w_{k}") for k in TERMS}
-    log_sum, weight_sum = weighted_mean_log(terms, weights)
-    staged = staged.withColumns({f"{p}log_sum": log_sum, f"{p}weight_sum": weight_sum})
-    staged = staged.withColumn(f"{p}core_raw",
-                               core_from(c(f"{p}log_sum"), c(f"{p}weight_sum"), c(f"{p}anomaly_term")))
-    present = {k: terms[k].isNotNull() & (weights[k] > 0) for k in TERMS}
-    contrib = F.map_filter(
-        F.map_from_arrays(F.array(*[F.lit(k) for k in TERMS]), F.array(*[
-            F.when(present[k], round_to(weights[k] / c(f"{p}weight_sum")
-                                        * (F.log(F.greatest(terms[k], F.lit(TERM_FLOOR))) - F.log(F.lit(0.5))), 4))
-            for k in TERMS])),
-        lambda _, v: v.isNotNull())
-    out = staged.withColumns({
-        f"{p}score": round_to(gated(c(f"{p}core_raw"), c(f"{p}access_share")), 1),
-        f"{p}core_score": round_to(100.0 * soft_ceiling(c(f"{p}core_raw")), 1),
-        f"{p}fishability": round_to(100.0 * c(f"{p}access_share"), 1),
-        f"{p}contrib": contrib,
-        f"{p}missing_drivers": F.concat_ws(",", *[F.when(terms[k].isNull() & (weights[k] > 0), F.lit(k))
-                                                  for k in TERMS]),
-        **{f"{p}term_{k}": round_to(terms[k], 3) for k in TERMS},
-        f"{p}anomaly_term": round_to(c(f"{p}anomaly_term"), 3),
-    })
-    return out.drop(f"{p}log_sum", f"{p}weight_sum", f"{p}core_raw", f"{p}access_share",
-                    *[f"{p}w_{k}" for k in TERMS])
+        "_temp": reference_temperature("temp_ref", "depth_mid_ft", temp),
+        **{f"_w_{k}": F.coalesce(c("weights")[k], F.lit(0.0)) for k in TERMS},
+        **{f"_c{i}": win[i] for i in range(4)},
+        **({} if climatology else {
+            "_strength": tide_strength("tide_range_ft", "max_exchange_rate_ft_h"),
+            "_timing": light_timing("best_water_hour", "sunrise_hour", "sunset_hour"),
+            "_push": high_water_push("first_high_hour")})})
+    terms = {
+        "sst": trapezoid("_temp", "_c0", "_c1", "_c2", "_c3"), "season": F.get(c("season_index"), c("month") - 1),
+        "swell": swell_term(wave, "swell_tolerance_ft"),
+        **({k: F.lit(v) for k, v in CLIMATOLOGY_TERMS.items()} if climatology else {
+            "tide": tide_by_preference("tide_pref", "_strength", "_timing", "_push"),
+            "moon": moon_term("moon_pref", "moon_illum", "moon_age_days"), "pressure": pressure_term("pressure_trend_24h"),
+            "front": front_term("front_f_per_nm", "sst_spread_f"), "chl": chl_term("group", "chl_mg_m3")})}
+    staged = staged.withColumns({
+        **{f"_t_{k}": terms[k] for k in TERMS},
+        "_multiplier": F.lit(1.0) if climatology else anomaly_multiplier("anomaly_pref", anomaly),
+        "_access": access(wind, wave, "wave_period_s", "distance_nm")})
+    t, w = {k: c(f"_t_{k}") for k in TERMS}, {k: c(f"_w_{k}") for k in TERMS}
+    log_sum, weight_sum = weighted_mean_log(t, w)
+    staged = staged.withColumns({"_log": log_sum, "_weight": weight_sum})
+    staged = staged.withColumn("_core", core_from(c("_log"), c("_weight"), c("_multiplier")))
+    staged = staged.withColumn("_gated", limit(c("_core") * (0.35 + 0.65 * c("_access")), *SCORE_LIMITS))
+    out = {f"{p}score": F.when(c("_core").isNotNull(), round_to(100.0 * soft_ceiling("_gated"), 1))}
+    if not score_only:
+        present = {k: t[k].isNotNull() & (w[k] > 0) for k in TERMS}
+        parts = F.map_from_arrays(F.array(*[F.lit(k) for k in TERMS]), F.array(*[
+            F.when(present[k], round_to(w[k] / c("_weight") * (F.log(F.greatest(t[k], F.lit(TERM_FLOOR))) - LN_HALF), 4)) for k in TERMS]))
+        out |= {
+            f"{p}core_score": round_to(100.0 * soft_ceiling("_core"), 1), f"{p}fishability": round_to(100.0 * c("_access"), 1),
+            f"{p}access_note": access_note(wind, wave, "distance_nm"),
+            f"{p}contrib": F.map_filter(parts, lambda _, v: v.isNotNull()),
+            f"{p}missing_drivers": F.concat_ws(",", *[F.when(t[k].isNull() & (w[k] > 0), F.lit(k)) for k in TERMS]),
+            f"{p}anomaly_term": round_to("_multiplier", 3), **{f"{p}term_{k}": round_to(t[k], 3) for k in TERMS}}
+    return staged.select(*before, *[v.alias(k) for k, v in out.items()])

@@ -29,6 +29,11 @@ def clamp(v: ColumnLike, lo: float = 0.02, hi: float = 1.0) -> Column:
     return F.when(v.isNotNull(), F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), v)))
 
 
+def limit(v: ColumnLike, lo: float = 0.02, hi: float = 1.0) -> Column:
+    """``clamp`` for values already known to be present: one reference, so nested use stays small."""
+    return F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), as_col(v)))
+
+
 def trapezoid(x: ColumnLike, a: ColumnLike, b: ColumnLike, c: ColumnLike, d: ColumnLike) -> Column:
     """Suitability rising over a..b, full over b..c, falling over c..d, with a 0.02 floor."""
     x, a, b, c, d = map(as_col, (x, a, b, c, d))

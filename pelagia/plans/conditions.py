@@ -109,7 +109,7 @@ def build_scores(conditions: DataFrame, subjects: DataFrame, zones: DataFrame, c
     """Score and seasonal norm score of every zone, subject and day; optionally the annual percentile."""
     rows = eligible_pairs(conditions, subjects, zones)
     rows = with_score(rows).where(F.col("score").isNotNull())
-    rows = with_score(rows, prefix="n_", climatology=True)
+    rows = with_score(rows, prefix="n_", climatology=True, score_only=True)
     rows = rows.withColumn("seasonal_norm_score", F.col("n_score")).withColumn(
         "vs_norm", round_to(F.col("score") - F.col("n_score"), 1))
     out = rows.select(*[c for c in SCORE_OUTPUT if c in rows.columns])
@@ -125,7 +125,7 @@ def climatological_curve(norms: DataFrame, subjects: DataFrame, zones: DataFrame
     """
     rows = eligible_pairs(norms.withColumns({"month": doy_to_month("doy"), "wave_period_s": F.lit(None).cast("double")}),
                           subjects, zones)
-    scored = with_score(rows, climatology=True)
+    scored = with_score(rows, climatology=True, score_only=True)
     return scored.where(F.col("score").isNotNull()).select(
         "zone_id", "species_id", "doy", "month", F.col("score").alias("climatological_score"),
         F.col("sst_norm").alias("sst_norm_f"), F.col("wave_norm").alias("wave_norm_ft"),

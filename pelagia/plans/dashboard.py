@@ -18,9 +18,7 @@ def top_combinations(scores: DataFrame, day: Column, n: int = 10) -> DataFrame:
 def best_per_species(scores: DataFrame, after: Column | None = None, score: str = "score") -> DataFrame:
     """Best zone and day per species; the earliest date, then zone, on equal scores."""
     rows = scores if after is None else scores.where(F.col("date") > after)
-    order = [F.col(score), -F.unix_date("date"), F.col("_zone_rank")]
-    ranked = rows.withColumn("_zone_rank", -F.xxhash64("zone_id"))
-    return pick_row(ranked, ["species_id"], order).drop("_zone_rank")
+    return pick_row(rows, ["species_id"], [-F.col(score), F.col("date"), F.col("zone_id")], keep="min")
 
 
 def opportunity_matrix(scores: DataFrame, day: Column, zones: list[str]) -> DataFrame:

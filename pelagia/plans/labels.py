@@ -34,19 +34,24 @@ def ratio_score(ratio: Column) -> Column:
     return round_to(piecewise_linear(ratio, RATIO_KNOTS), 1)
 
 
-def current_trips(raw: DataFrame, fetch_log: DataFrame) -> DataFrame:
+def current_trips(raw: DataFrame, fetch_log: DataFrame, page_trips: DataFrame) -> DataFrame:
     """Trips listed on the newest successful fetch of each report date.
 
-    ``fetch_log`` has one row per page fetch with the array ``raw_ids``; ids are exploded so that the
-    match is an equi-join on raw_id.
+    ``fetch_log`` has one row per page fetch; ``page_trips`` one row per trip listed on it
+    (report_date, fetched_at_utc, raw_id), so a page of any length stays spread over rows.
     """
     ok = fetch_log.where(F.lower(F.col("ok").cast("string")) == "true")
-    newest = pick_row(ok, ["report_date"], ["fetched_at_utc"])
-    listed = newest.select(F.explode("raw_ids").alias("raw_id"), F.col("fetched_at_utc").alias("page_fetched_at_utc"),
-                           F.col("ingest_method").alias("page_method"))
+    newest = pick_row(ok.select("report_date", "fetched_at_utc", "ingest_method"), ["report_date"], ["fetched_at_utc", "ingest_method"])
+    listed = page_trips.join(newest, ["report_date", "fetched_at_utc"]).select(
+        "raw_id", F.col("fetched_at_utc").alias("page_fetched_at_utc"), F.col("ingest_method").alias("page_method"))
     return raw.dropDuplicates(["raw_id"]).join(listed, "raw_id")
 
 
+def page_listing(fetch_log: DataFrame) -> DataFrame:
+    """Long form of a fetch log that stores the listed ids as one ";" text per fetch."""
+    return fetch_log.select("report_date", "fetched_at_utc", F.explode(F.split("raw_ids", ";")).alias("raw_id")).where("raw_id <> ''")
+
+
 def trip_species_days(trips: DataFrame, species_region: DataFrame) -> DataFrame:
     """Every trip x species eligible in the trip's region x day fished, zeros included.
 

@@ -152,14 +152,10 @@ def score_outlook(outlook: DataFrame, subjects: DataFrame, zones: DataFrame, cur
         "sst_spread_f": null, "chl_mg_m3": null,
         "_step": F.coalesce(c("sst_proj_hi_f") - c("sst_proj_f"), F.lit(0.0))})
     base = base.withColumns({"_anom_lo": c("sst_anom_proj_f") - c("_step"), "_anom_hi": c("sst_anom_proj_f") + c("_step")})
-    keep = list(base.columns)
     rows = with_score(base, prefix="mid_", sst="xx_sst_used", anomaly="sst_anom_proj_f").where("mid_score is not null")
-    keep += [k for k in rows.columns if k.startswith("mid_")]
-    rows = with_score(rows.select(*keep), prefix="lo_", sst="xx_sst_lo", anomaly="_anom_lo")
-    keep += ["lo_score"]
-    rows = with_score(rows.select(*keep), prefix="hi_", sst="xx_sst_hi", anomaly="_anom_hi")
-    keep += ["hi_score"]
-    rows = with_score(rows.select(*keep), prefix="norm_", climatology=True)
+    rows = with_score(rows, prefix="lo_", sst="xx_sst_lo", anomaly="_anom_lo", score_only=True)
+    rows = with_score(rows, prefix="hi_", sst="xx_sst_hi", anomaly="_anom_hi", score_only=True)
+    rows = with_score(rows, prefix="norm_", climatology=True)
     rows = rows.join(curve.select("zone_id", "species_id", "doy", c("climatological_score").alias("_curve")),
                      ["zone_id", "species_id", "doy"], "left")
     widen = F.when(c("confidence_tier") == 2, TIER_WIDENING[2]).otherwise(TIER_WIDENING[3])

@@ -52,3 +52,19 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives executor loss."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def staged(spark: SparkSession, scope: str, name: str, build) -> DataFrame:
+    """A table written once per application to the shared folder and read back by every later step.
+
+    Used for tables that several jobs build on; it cuts lineage with files any executor can reach.
+    """
+    key = (spark.sparkContext.applicationId, scope, name)
+    if key not in _STAGED:
+        path = fresh_path(spark, name)
+        build().write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])

@@ -199,9 +199,9 @@ def parse_report_rows(pages: DataFrame, content: str, title: str, keep: list[str
     city = "San Diego, CA"
     short = F.try_element_at(literal_map(LANDINGS), F.col("_landing"))
     rows = rows.where(short.isNotNull() & F.col("_boat").endswith(city))
-    boat = F.rtrim(F.regexp_replace("_boat", city + "$", ""))
-    boat = F.when(boat.endswith(F.col("_landing")), F.rtrim(F.expr("substring(_boat, 1, length(_boat) - length('San Diego, CA'))"))).otherwise(boat)
-    boat = F.trim(F.when(boat.endswith(F.col("_landing")), F.expr("left(rtrim(substring(_boat, 1, length(_boat) - 13)), length(rtrim(substring(_boat, 1, length(_boat) - 13))) - length(_landing))")).otherwise(boat))
+    rows = rows.withColumn("_boat", F.trim(F.regexp_replace("_boat", city + "$", "")))
+    boat = F.trim(F.when(F.col("_boat").endswith(F.col("_landing")),
+                         F.expr("left(_boat, length(_boat) - length(_landing))")).otherwise(F.col("_boat")))
     raw = F.trim(F.regexp_replace("_trip", r"(?i)\d+\s*Anglers?", ""))
     anglers = F.nullif(F.regexp_extract("_trip", r"(?i)(\d+)\s*Anglers?", 1), F.lit("")).cast("int")
     out = rows.select(*keep, "page_date", short.alias("landing"), boat.alias("boat"), raw.alias("trip_type_raw"), anglers.alias("anglers"),
