@@ -163,7 +163,7 @@ def block_bootstrap(pairs: DataFrame, model: str, reference: str, group: list[st
                   .select(*group, "_d", "rep", F.explode(F.sequence(F.lit(0), (F.col("_d") - 1).cast("int"))).alias("_k"))
                   .select(*group, "rep", hash_draw(F.col("_d"), F.lit(seed), F.col("rep"), F.col("_k")).cast("int").alias("_i")))
     per_rep = draws.join(daily, [*group, "_i"]).groupBy(*group, "rep").agg(
-        (F.sum("_ms") / F.sum("_mn")).alias("_m"), (F.sum("_rs") / F.sum("_rn")).alias("_r"))
+        F.try_divide(F.sum("_ms"), F.sum("_mn")).alias("_m"), F.try_divide(F.sum("_rs"), F.sum("_rn")).alias("_r"))
     skill = per_rep.select(*group, (1.0 - safe_ratio(round_to("_m", 4), round_to("_r", 4))).alias("_v")).where("_v is not null")
     return skill.groupBy(*group).agg(
         round_to(F.percentile("_v", F.lit(0.05)), 4).alias("p05"), round_to(F.percentile("_v", F.lit(0.5)), 4).alias("p50"),

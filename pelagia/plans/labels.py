@@ -131,7 +131,8 @@ def build_labels(daily: DataFrame, reference: DataFrame, fetch_log: DataFrame, a
                        "_basis": F.coalesce("_basis", F.lit(BASIS_DEFAULT))})
     # open report dates per label: an anti-join on the exploded dates, aggregated back to the key
     keys = ["fishing_date", "region_id", "species_id"]
-    opened = (daily.select(*keys, F.explode(F.split("report_dates", ";")).cast("date").alias("report_date"))
+    opened = (daily.select(*keys, F.explode(F.split("report_dates", ";")).alias("_d"))
+                   .withColumn("report_date", F.col("_d").cast("date"))
                    .join(settled_dates(fetch_log, zone), "report_date", "left_anti")
                    .select(*keys).distinct().withColumn("_open", F.lit(True)))
     d = d.join(opened, keys, "left")

@@ -100,9 +100,10 @@ def walk_forward_calibration(pairs: DataFrame, out: str, score: str = "bite_scor
     line = events.withColumn("_kind", F.lit(1)).unionByName(asks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     line = line.withColumn("_day", F.to_date("_t"))
     summed = running_totals(line, ["horizon_group"], ["_t", "_kind"], stats, "_day").where("_kind = 0")
-    n, sx, sy, sxy, sxx = (c(f"cum_{s}") for s in stats)
+    sx, sy, sxy, sxx = (c(f"cum_{s}") for s in stats[1:])
+    n = F.nullif(c("cum_n"), F.lit(0.0))
     var = sxx - sx * sx / n
-    slope = (sxy - sx * sy / n) / var
+    slope = F.try_divide(sxy - sx * sy / n, var)
     fit = summed.join(means, "horizon_group").select(
         "horizon_group", c("_t").alias("_t0"), n.alias("_n"), F.when((n >= min_training) & (var > 1e-9), slope).alias("_b"),
         (c("_my") + sy / n).alias("_ybar"), (c("_mx") + sx / n).alias("_xbar"))
