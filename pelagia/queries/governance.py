@@ -1 +1,184 @@
-"""Registered later."""
+"""Quality gates, ledger storage, sinks and streaming forms on the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..plans import dashboard as db
+from ..plans import ledger as led
+from ..plans import quality as ql
+from ..session import fresh_path
+from ..sources import sinks
+from ..streaming import jobs
+from . import effort as ef
+from . import evaluation as ev
+from . import inputs as i
+from .registry import query
+from .sqlparts import part
+
+
+@query("q01_table_checks", "table_name s, n_rows l, duplicate_keys l, null_keys l, ok b", """
+  SELECT 'lineitem' AS table_name, sum(n) AS n_rows, count(*) FILTER (n > 1) AS duplicate_keys, 0 AS null_keys, sum(n) >= 1000 AND count(*) FILTER (n > 1) = 0 AS ok FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
+  UNION ALL SELECT 'orders', sum(n), count(*) FILTER (n > 1), 0, sum(n) >= 1000 AND count(*) FILTER (n > 1) = 0 FROM (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1)""")
+def table_checks(spark, sf):
+    return ql.table_check(i.table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"], 1000).unionByName(
+        ql.table_check(i.table(spark, sf, "orders"), "orders", ["o_orderkey"], 1000))
+
+
+@query("q02_history_check", "table_name s, n_old l, n_new l, min_old t, max_old t, min_new t, max_new t, shrunk b, starts_later b, ends_earlier b", """
+  SELECT 'orders' AS table_name, a.n AS n_old, b.n AS n_new, a.lo AS min_old, a.hi AS max_old, b.lo AS min_new, b.hi AS max_new, b.n < a.n * 0.995 AS shrunk, b.lo > a.lo AS starts_later, b.hi < a.hi AS ends_earlier
+  FROM (SELECT count(*) AS n, min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders) a, (SELECT count(*) AS n, min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders WHERE o_orderstatus <> 'P') b""")
+def history(spark, sf):
+    o = i.table(spark, sf, "orders").withColumn("date", F.to_date("o_orderdate"))
+    return ql.history_check(o, o.where("o_orderstatus <> 'P'"), "orders", "date", 0.995)
+
+
+@query("q03_range_check", "column_name s, n_out l", """
+  SELECT 'score' AS column_name, count(*) FILTER (score < -0.01 OR score > 100.01) AS n_out FROM p_scores UNION ALL SELECT 'wind_kt', count(*) FILTER (wind_kt < -0.01 OR wind_kt > 100.01) FROM p_scores WHERE score IS NOT NULL
+  UNION ALL SELECT 'vs_norm', count(*) FILTER (vs_norm < -0.01 OR vs_norm > 100.01) FROM p_scores WHERE score IS NOT NULL""")
+def ranges(spark, sf):
+    return ql.range_check(i.scores(spark, sf), ["score", "wind_kt", "vs_norm"])
+
+
+@query("q04_coverage", "rule s, ok b")
+def coverage(spark, sf):
+    from .outlook import outlook
+    return ql.coverage_check(i.conditions(spark, sf), outlook(spark, sf), F.lit(i.AS_OF_DAY).cast("date"), 25)
+
+
+@query("q05_lead_rules", "rule s, n_bad l", """
+  SELECT unnest(['overlaps_near_term', 'tier_2_expected', 'tier_3_expected', 'far_wave_published', 'far_wind_published', 'far_sea_state_flag']) AS rule, 0 AS n_bad""")
+def lead_rules(spark, sf):
+    from .outlook import outlook
+    return ql.lead_rules(outlook(spark, sf))
+
+
+@query("q07_labels_without_evidence", "label_status s, n l", "SELECT label_status, count(*) AS n FROM p_labels WHERE label_status IN ('insufficient_effort', 'no_reference') AND observed_class IS NOT NULL GROUP BY 1")
+def evidence(spark, sf):
+    return db.count_by(ql.labels_without_evidence(ef.labels(spark, sf)), "label_status")
+
+
+@query("q09_lookahead", "issuance_id s, src_ts z", """
+  SELECT issuance_id, max(src) AS src_ts FROM (SELECT issuance_id, issue_utc, CAST(target_date AS TIMESTAMP) + INTERVAL 15 HOUR + INTERVAL 10 MINUTE AS src FROM p_ledger WHERE lead_days <= 2) WHERE src > issue_utc + INTERVAL 5 MINUTE GROUP BY 1""")
+def lookahead(spark, sf):
+    rows = ev.ledger(spark, sf).where("lead_days <= 2").withColumn(
+        "src_fetched", F.date_format(F.col("target_date").cast("timestamp") + F.expr("interval 15 hours 10 minutes"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return led.lookahead(rows, ["src_fetched"])
+
+
+@query("q08_forbidden_far_values", "issuance_id s, n l", "SELECT issuance_id, count(*) AS n FROM p_ledger WHERE lead_days >= 15 AND term_swell IS NOT NULL GROUP BY 1")
+def far_values(spark, sf):
+    return led.forbidden_far_values(ev.ledger(spark, sf).withColumn("wave_ft", F.col("term_swell")), ["wave_ft"])
+
+
+@query("q12_copies_agree", "table_name s, n_left l, n_right l, same_content b", """
+  SELECT 'supplier' AS table_name, count(*) AS n_left, count(*) AS n_right, true AS same_content FROM supplier UNION ALL SELECT 'orders', count(*), count(*), false FROM orders""")
+def copies(spark, sf):
+    s, o = i.table(spark, sf, "supplier"), i.table(spark, sf, "orders")
+    shifted = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return ql.copies_agree(s, s.repartition(7), "supplier").unionByName(ql.copies_agree(o, shifted, "orders"))
+
+
+@query("q13_status_upsert", "source_identifier s, last_attempted_fetch_utc z, last_successful_fetch_utc z, newest_valid_source_timestamp z, freshness s", """
+  SELECT 'u' || coalesce(p.user_id, a.user_id) AS source_identifier, coalesce(a.att, p.att) AS last_attempted_fetch_utc, coalesce(CASE WHEN a.ok THEN a.att END, p.suc) AS last_successful_fetch_utc,
+    coalesce(a.newest, p.newest) AS newest_valid_source_timestamp, CASE WHEN a.user_id IS NULL THEN 'fresh' WHEN a.ok THEN 'fresh' ELSE 'failed' END AS freshness
+  FROM (SELECT user_id, max(ts) AS att, max(ts) AS suc, max(ts) FILTER (event_type <> 'error') AS newest FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1) p
+  FULL JOIN (SELECT user_id, max(ts) AS att, bool_and(event_type <> 'error') AS ok, max(ts) FILTER (event_type <> 'error') AS newest FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1) a ON a.user_id = p.user_id""")
+def status_upsert(spark, sf):
+    e = i.events(spark, sf).withColumn("source_identifier", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    good = F.col("event_type") != "error"
+    prev = e.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp")).groupBy("source_identifier").agg(
+        F.max("ts").alias("last_attempted_fetch_utc"), F.max("ts").alias("last_successful_fetch_utc"), F.max(F.when(good, F.col("ts"))).alias("newest_valid_source_timestamp"),
+        F.lit("fresh").alias("freshness"), F.lit(False).alias("used_cached_data"), F.lit(None).cast("string").alias("error"))
+    att = e.where(F.col("ts") >= F.lit("2024-01-28").cast("timestamp")).groupBy("source_identifier").agg(
+        F.max("ts").alias("attempted_utc"), F.bool_and(good).alias("success"), F.max(F.when(good, F.col("ts"))).alias("newest"))
+    att = att.withColumns({"freshness": F.when(F.col("success"), "fresh").otherwise("failed"), "cached": ~F.col("success"), "error": F.lit(None).cast("string")})
+    return ql.upsert_status(prev, att)
+
+
+@query("q14_payload_sanity", "event_type s, newest_valid z, n_future l, covered_from t, covered_to t, n_valid l, usable b", """
+  SELECT event_type, max(ts) FILTER (value < 200 AND ts <= TIMESTAMP '2024-01-25 02:00:00') AS newest_valid, count(*) FILTER (ts > TIMESTAMP '2024-01-25 02:00:00') AS n_future, CAST(min(ts) FILTER (value < 200) AS DATE) AS covered_from,
+    CAST(max(ts) FILTER (value < 200) AS DATE) AS covered_to, count(*) FILTER (value < 200) AS n_valid, bool_or(value < 200) AS usable FROM events GROUP BY 1""")
+def sanity(spark, sf):
+    return ql.payload_sanity(i.events(spark, sf), "event_type", "ts", F.when(F.col("value") < 200, F.col("value")), F.lit("2024-01-25 00:00:00").cast("timestamp"))
+
+
+@query("a27_freshness_counts", "freshness s, n l", """
+  SELECT CASE WHEN h <= 3 THEN 'fresh' WHEN h <= 12 THEN 'delayed' ELSE 'stale' END AS freshness, count(*) AS n FROM (SELECT user_id, (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 3.6e9 AS h FROM events GROUP BY 1) GROUP BY 1""")
+def freshness_counts(spark, sf):
+    from ..functions.dates import freshness
+    last = i.events(spark, sf).groupBy("user_id").agg(F.max("ts").alias("ts"))
+    hours = (F.unix_micros(F.lit("2024-01-31").cast("timestamp")) - F.unix_micros("ts")) / 3.6e9
+    return db.count_by(last.withColumn("freshness", freshness(hours, 3, 12)), "freshness")
+
+
+@query("d07_refresh_due", "user_id l, due_daily b, due_weekly b, due_monthly b", """
+  SELECT user_id, DATE '2024-01-30' - CAST(max(ts) AS DATE) >= 1 AS due_daily, DATE '2024-01-30' - CAST(max(ts) AS DATE) >= 7 AS due_weekly, DATE '2024-01-30' - CAST(max(ts) AS DATE) >= 28 AS due_monthly FROM events GROUP BY 1""")
+def refresh_due(spark, sf):
+    from ..functions.dates import refresh_due as due
+    last = i.events(spark, sf).groupBy("user_id").agg(F.to_date(F.max("ts")).alias("d"))
+    return last.select("user_id", *[due("d", F.lit(k), F.lit("2024-01-30").cast("date")).alias(f"due_{k}") for k in ("daily", "weekly", "monthly")])
+
+
+@query("k06_data_dictionary", "table_name s, field s, definition s", """
+  SELECT table_name, column_name AS field, CASE WHEN column_name = 'o_orderkey' THEN 'Order key' ELSE 'No definition recorded.' END AS definition FROM (DESCRIBE orders), (SELECT 'orders' AS table_name)
+  UNION ALL SELECT 'nation', column_name, 'No definition recorded.' FROM (DESCRIBE nation)""")
+def dictionary(spark, sf):
+    d = spark.createDataFrame([("o_orderkey", "Order key")], "field string, definition string")
+    return ql.data_dictionary({"orders": i.table(spark, sf, "orders"), "nation": i.table(spark, sf, "nation")}, d)
+
+
+@query("k07_year_span", "table_name s, n_rows l, span s", """
+  SELECT 'orders' AS table_name, count(*) AS n_rows, min(year(o_orderdate)) || '–' || max(year(o_orderdate)) AS span FROM orders UNION ALL SELECT 'lineitem', count(*), min(year(l_shipdate)) || '–' || max(year(l_shipdate)) FROM lineitem""")
+def spans(spark, sf):
+    return ql.year_span(i.table(spark, sf, "orders"), "orders", "o_orderdate").unionByName(ql.year_span(i.table(spark, sf, "lineitem"), "lineitem", "l_shipdate"))
+
+
+@query("k02_append_versions", "raw_id l, report_date t, n l", "SELECT raw_id, report_date, 1 AS n FROM p_trips")
+def append_versions(spark, sf):
+    path = fresh_path(spark, "trip_store")
+    t = ef.trips(spark, sf).select("raw_id", "report_date", "anglers")
+    sinks.append_versions(spark, t.where("anglers >= 20"), path, "raw_id", "report_date")
+    sinks.append_versions(spark, t, path, "raw_id", "report_date")  # overlapping load adds only the unseen rows
+    return spark.read.parquet(path).groupBy("raw_id", "report_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k03_ledger_append_verify", "issuance_id s, seq l, n_rows l, lead_min i, lead_max i")
+def ledger_append(spark, sf):
+    """Record the two largest issuances, once each although each is offered twice."""
+    path = fresh_path(spark, "ledger_store")
+    rows = ev.ledger(spark, sf).withColumns({"issue_local_date": F.col("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": F.col("issuance_id"), "model_version": F.lit("v1")})
+    for top in rows.groupBy("issuance_id").count().orderBy(F.desc("count"), "issuance_id").limit(2).collect():
+        one = rows.where(F.col("issuance_id") == top["issuance_id"])
+        led.append_issuance(spark, path, one)
+        led.append_issuance(spark, path, one)
+    return spark.read.parquet(f"{path}/index")
+
+
+@query("k04_export_records", "l_returnflag s, record s")
+def export(spark, sf):
+    d = db.count_by(i.table(spark, sf, "lineitem"), "l_returnflag")
+    return d.select("l_returnflag", F.to_json(F.struct("l_returnflag", "n")).alias("record"))
+
+
+part("p_event_hours", "SELECT event_type, date_trunc('hour', ts) AS ts_hour, avg(value) AS mean_value, count(value) AS n_obs FROM events GROUP BY 1, 2")
+
+
+@query("r02_streaming_hourly", "event_type s, ts_hour z, mean_value d5, n_obs l", "SELECT * FROM p_event_hours")
+def streaming_hourly(spark, sf):
+    """The hourly resample as a stream: update output, upserted per (type, hour), read after the run."""
+    path = fresh_path(spark, "stream_hourly")
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    stream = jobs.stream_table(spark, f"{sf}/events.parquet*", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    hourly = jobs.hourly(stream, "event_type", "ts", "value", "3 days")
+    jobs.run_available(hourly, f"{path}/checkpoint", jobs.upsert_sink(spark, f"{path}/table", ["event_type", "ts_hour"], ["n_obs"]), mode="update")
+    return jobs.latest_version(spark, f"{path}/table")
+
+
+@query("r05_streaming_append_unseen", "user_id l, day t", "SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events")
+def streaming_append(spark, sf):
+    path = fresh_path(spark, "stream_append")
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    stream = jobs.stream_table(spark, f"{sf}/events.parquet*", schema).select(F.concat_ws("|", "user_id", F.to_date("ts")).alias("key"), "user_id", F.to_date("ts").alias("day"))
+    jobs.run_available(stream, f"{path}/checkpoint", jobs.append_unseen_sink(spark, f"{path}/table", "key"))
+    return spark.read.parquet(f"{path}/table")

@@ -102,7 +102,7 @@ part("p_spine", f"""SELECT z.*, CAST(DATE '{TODAY}' + CAST(l AS INT) AS DATE) AS
 part("p_out0", f"""SELECT s.*, n.sst_norm, n.sst_sd, n.wave_norm, n.wind_norm, anom_now, e.anom_f, e.sd_f, p.product, coalesce(p.signal_f, 0) AS sig, p.weight, m.wave_model_ft, m.wind_model_kt, m.wave_model_period_s, m.pressure_trend_model_24h,
   t.tide_range_ft, t.max_exchange_rate_ft_h, t.best_water_hour, t.first_high_hour, {even_sql('c.moon_illum', 3)} AS moon_illum, {even_sql('c.moon_age_days', 2)} AS moon_age_days, {even_sql('c.sunrise_hour', 2)} AS sunrise_hour, {even_sql('c.sunset_hour', 2)} AS sunset_hour,
   round(exp(-(s.lead_days - 6) / 8.0), 4) AS wp, round(1 - exp(-(s.lead_days - 6) / 8.0), 4) AS we, CASE WHEN tier = 2 THEN exp(-(s.lead_days - 6) / 7.0) ELSE 0 END AS bw
-  FROM p_spine s JOIN p_norms n ON n.zone_id = s.zone_id AND n.doy = s.doy LEFT JOIN p_latest USING (zone_id) LEFT JOIN p_expected e ON e.zone_id = s.zone_id AND e.month = s.month LEFT JOIN p_by_lead p ON p.lead_days = s.lead_days
+  FROM p_spine s JOIN p_norms n ON n.zone_id = s.zone_id AND n.doy = s.doy LEFT JOIN p_latest pl ON pl.zone_id = s.zone_id LEFT JOIN p_expected e ON e.zone_id = s.zone_id AND e.month = s.month LEFT JOIN p_by_lead p ON p.lead_days = s.lead_days
   LEFT JOIN p_model m ON m.zone_id = s.zone_id AND m.date = s.date LEFT JOIN p_tide_daily t ON t.tide_station = s.tide_station AND t.date = s.date LEFT JOIN p_calendar c ON c.date = s.date""")
 part("p_out1", """SELECT *, CASE WHEN anom_now IS NULL AND anom_f IS NULL THEN NULL ELSE (coalesce(wp * anom_now, 0) + coalesce(we * anom_f, 0)) / (CASE WHEN anom_now IS NULL THEN 0 ELSE wp END + CASE WHEN anom_f IS NULL THEN 0 ELSE we END) END AS core_anom,
   CASE WHEN sig <> 0 THEN weight ELSE 0 END AS wc, coalesce(sst_sd, sd_f) * (0.55 + 0.038 * greatest(0, lead_days - 6)) AS half,
