@@ -106,18 +106,28 @@ def chl_term(group: ColumnLike, chl: ColumnLike) -> Column:
         trapezoid(c, *CHL_INSHORE))
 
 
-def access(wind: ColumnLike, wave: ColumnLike, period: ColumnLike, distance: ColumnLike) -> Column:
-    """Share of a day that is workable (0.05..1) by wind, sea, chop and run length."""
-    w, sea, per, dist = map(as_col, (wind, wave, period, distance))
-    wind_gate = trapezoid(w, -5.0, 0.0, 12.0, F.when(dist < 5, 26.0).otherwise(22.0))
+def access_limits(distance: ColumnLike) -> dict[str, Column]:
+    """Wind and sea limits and the run factor of a place by its distance."""
+    dist = as_col(distance)
     far = dist > 15
-    sea_gate = trapezoid(sea, -1.0, 0.0, F.when(far, 3.5).otherwise(4.5), F.when(far, 9.0).otherwise(11.0))
+    return {"wind_max": F.when(dist < 5, 26.0).otherwise(22.0), "sea_ok": F.when(far, 3.5).otherwise(4.5),
+            "sea_max": F.when(far, 9.0).otherwise(11.0), "run": F.when(dist < 12, 1.0).when(dist < 40, 0.9).otherwise(0.8)}
+
+
+def access_within(wind: ColumnLike, wave: ColumnLike, period: ColumnLike, limits: dict[str, Column]) -> Column:
+    w, sea, per = map(as_col, (wind, wave, period))
+    wind_gate = trapezoid(w, -5.0, 0.0, 12.0, limits["wind_max"])
+    sea_gate = trapezoid(sea, -1.0, 0.0, limits["sea_ok"], limits["sea_max"])
     chop = F.when((per < 8) & (sea > 3), 0.75).otherwise(1.0)
-    run = F.when(dist < 12, 1.0).when(dist < 40, 0.9).otherwise(0.8)
-    gate = limit((wind_gate * 0.5 + sea_gate * 0.5) * chop * run, 0.05, 1.0)
+    gate = limit((wind_gate * 0.5 + sea_gate * 0.5) * chop * limits["run"], 0.05, 1.0)
     return F.when(w.isNull() | sea.isNull(), DEFAULT_ACCESS).otherwise(gate)
 
 
+def access(wind: ColumnLike, wave: ColumnLike, period: ColumnLike, distance: ColumnLike) -> Column:
+    """Share of a day that is workable (0.05..1) by wind, sea, chop and run length."""
+    return access_within(wind, wave, period, access_limits(distance))
+
+
 def access_note(wind: ColumnLike, wave: ColumnLike, distance: ColumnLike) -> Column:
     w, sea, dist = map(as_col, (wind, wave, distance))
     text = F.concat_ws(", ",
@@ -191,9 +201,7 @@ def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst:
     temp, wave, wind = (("sst_norm", "wave_norm", "wind_norm") if climatology else (sst, "wave_ft", "wind_kt"))
     win = c("sst_window")
     staged = df.withColumns({
-        "_temp": reference_temperature("temp_ref", "depth_mid_ft", temp),
-        **{f"_w_{k}": F.coalesce(c("weights")[k], F.lit(0.0)) for k in TERMS},
-        **{f"_c{i}": win[i] for i in range(4)},
+        "_temp": reference_temperature("temp_ref", "depth_mid_ft", temp), **{f"_c{i}": win[i] for i in range(4)},
         **({} if climatology else {
             "_strength": tide_strength("tide_range_ft", "max_exchange_rate_ft_h"),
             "_timing": light_timing("best_water_hour", "sunrise_hour", "sunset_hour"),
@@ -205,24 +213,31 @@ def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst:
             "tide": tide_by_preference("tide_pref", "_strength", "_timing", "_push"),
             "moon": moon_term("moon_pref", "moon_illum", "moon_age_days"), "pressure": pressure_term("pressure_trend_24h"),
             "front": front_term("front_f_per_nm", "sst_spread_f"), "chl": chl_term("group", "chl_mg_m3")})}
+    staged = staged.withColumn("_terms", F.array(*[
+        F.struct(F.lit(k).alias("k"), terms[k].alias("v")) for k in TERMS]))
+    # the short array of (driver, term, weight) is folded per row; this also keeps each generated method small
+    weighed = F.transform("_terms", lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v"),
+                                                       F.coalesce(F.try_element_at("weights", x["k"]), F.lit(0.0)).alias("w")))
+    staged = staged.withColumn("_active", F.filter(weighed, lambda x: x["w"] > 0))
+    staged = staged.withColumn("_used", F.filter("_active", lambda x: x["v"].isNotNull()))
+    staged = staged.withColumns({
+        "_weight": F.aggregate("_used", F.lit(0.0), lambda acc, x: acc + x["w"]),
+        "_log": F.aggregate("_used", F.lit(0.0), lambda acc, x: acc + x["w"] * F.log(F.greatest(x["v"], F.lit(TERM_FLOOR))))})
+    staged = staged.withColumns({
+        **{f"_{k}": v for k, v in access_limits("distance_nm").items()},
+        "_multiplier": F.lit(1.0) if climatology else anomaly_multiplier("anomaly_pref", anomaly)})
     staged = staged.withColumns({
-        **{f"_t_{k}": terms[k] for k in TERMS},
-        "_multiplier": F.lit(1.0) if climatology else anomaly_multiplier("anomaly_pref", anomaly),
-        "_access": access(wind, wave, "wave_period_s", "distance_nm")})
-    t, w = {k: c(f"_t_{k}") for k in TERMS}, {k: c(f"_w_{k}") for k in TERMS}
-    log_sum, weight_sum = weighted_mean_log(t, w)
-    staged = staged.withColumns({"_log": log_sum, "_weight": weight_sum})
-    staged = staged.withColumn("_core", core_from(c("_log"), c("_weight"), c("_multiplier")))
+        "_access": access_within(wind, wave, "wave_period_s", {k: c(f"_{k}") for k in ("wind_max", "sea_ok", "sea_max", "run")}),
+        "_core": core_from(c("_log"), c("_weight"), c("_multiplier"))})
     staged = staged.withColumn("_gated", limit(c("_core") * (0.35 + 0.65 * c("_access")), *SCORE_LIMITS))
     out = {f"{p}score": F.when(c("_core").isNotNull(), round_to(100.0 * soft_ceiling("_gated"), 1))}
     if not score_only:
-        present = {k: t[k].isNotNull() & (w[k] > 0) for k in TERMS}
-        parts = F.map_from_arrays(F.array(*[F.lit(k) for k in TERMS]), F.array(*[
-            F.when(present[k], round_to(w[k] / c("_weight") * (F.log(F.greatest(t[k], F.lit(TERM_FLOOR))) - LN_HALF), 4)) for k in TERMS]))
+        share = lambda x: round_to(x["w"] / c("_weight") * (F.log(F.greatest(x["v"], F.lit(TERM_FLOOR))) - LN_HALF), 4)
         out |= {
             f"{p}core_score": round_to(100.0 * soft_ceiling("_core"), 1), f"{p}fishability": round_to(100.0 * c("_access"), 1),
             f"{p}access_note": access_note(wind, wave, "distance_nm"),
-            f"{p}contrib": F.map_filter(parts, lambda _, v: v.isNotNull()),
-            f"{p}missing_drivers": F.concat_ws(",", *[F.when(t[k].isNull() & (w[k] > 0), F.lit(k)) for k in TERMS]),
-            f"{p}anomaly_term": round_to("_multiplier", 3), **{f"{p}term_{k}": round_to(t[k], 3) for k in TERMS}}
+            f"{p}contrib": F.map_from_entries(F.transform("_used", lambda x: F.struct(x["k"], share(x)))),
+            f"{p}missing_drivers": F.array_join(F.transform(F.filter("_active", lambda x: x["v"].isNull()), lambda x: x["k"]), ","),
+            f"{p}anomaly_term": round_to("_multiplier", 3),
+            **{f"{p}term_{k}": round_to(c("_terms")[n]["v"], 3) for n, k in enumerate(TERMS)}}
     return staged.select(*before, *[v.alias(k) for k, v in out.items()])

@@ -52,30 +52,36 @@ def trip_days(trip_type: ColumnLike) -> Column:
     return F.coalesce(F.try_element_at(literal_map(TRIP_DAYS), as_col(trip_type)), F.lit(1.0))
 
 
-def _count_item(item: Column, aliases: Column) -> Column:
-    """One "12 Calico Bass Released" entry as struct(n, key, mapped, released); null if no count."""
-    n = F.regexp_extract(item, r"^\s*(\d+)\s+\S", 1)
-    name = F.regexp_extract(item, r"(?s)^\s*\d+\s+(.+?)\s*$", 1)
-    name = F.regexp_replace(name, r"\([^)]*\)", "")
-    name = F.regexp_replace(name, r"(?i)\bup to .*$", "")
-    released = name.rlike(r"(?i)\breleased?\b")
-    name = F.regexp_replace(name, r"(?i)\breleased?\b", "")
-    name = F.lower(F.regexp_replace(F.regexp_replace(name, r"\s+", " "), r"^[ .\-]+|[ .\-]+$", ""))
-    sid = F.coalesce(F.try_element_at(aliases, name),
-                     F.try_element_at(aliases, F.regexp_replace(name, "s+$", "")),
-                     F.when(name.rlike("rockfish$"), F.lit("rockfish")))
-    mapped = sid.isNotNull() & ~sid.isin(*UNMODELLED)
-    slug = F.regexp_replace(F.regexp_replace(name, r"[^a-z0-9]+", "_"), r"^_+|_+$", "")
-    return F.when((n != "") & (name != ""),
-                  F.struct(n.cast("int").alias("n"), F.coalesce(sid, slug).alias("key"),
-                           mapped.alias("mapped"), released.alias("released")))
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` (a lambda variable is not recomputed per use)."""
+    return F.transform(F.array(value), fn)[0]
+
+
+def _count_items(text: Column, aliases: Column) -> Column:
+    """Entries like "12 Calico Bass Released" as structs (n, key, mapped, released)."""
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), r",(?![^()]*\))"), lambda p: p.rlike(r"^\s*\d+\s+\S"))
+    counted = F.transform(parts, lambda p: F.struct(
+        F.regexp_extract(p, r"^\s*(\d+)", 1).cast("int").alias("n"),
+        F.regexp_replace(F.regexp_replace(p, r"^\s*\d+\s+|\([^)]*\)", ""), r"(?i)\bup to .*$", "").alias("name")))
+    named = F.transform(counted, lambda i: F.struct(
+        i["n"].alias("n"), i["name"].rlike(r"(?i)\breleased?\b").alias("released"),
+        F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(i["name"], r"(?i)\breleased?\b", ""), r"\s+", " "),
+                                 r"^[ .\-]+|[ .\-]+$", "")).alias("name")))
+    matched = F.transform(F.filter(named, lambda i: i["name"] != ""), lambda i: F.struct(
+        i["n"].alias("n"), i["released"].alias("released"), i["name"].alias("name"),
+        F.coalesce(F.try_element_at(aliases, i["name"]), F.try_element_at(aliases, F.regexp_replace(i["name"], "s+$", "")),
+                   F.when(i["name"].endswith("rockfish"), F.lit("rockfish"))).alias("sid")))
+    return F.transform(matched, lambda i: F.struct(
+        i["n"].alias("n"), i["released"].alias("released"), (i["sid"].isNotNull() & ~i["sid"].isin(*UNMODELLED)).alias("mapped"),
+        F.coalesce(i["sid"], F.regexp_replace(F.regexp_replace(i["name"], r"[^a-z0-9]+", "_"), r"^_+|_+$", "")).alias("key")))
 
 
 def _sum_by_key(items: Column) -> Column:
-    keys = F.array_sort(F.array_distinct(F.transform(items, lambda i: i["key"])))
-    sums = F.transform(keys, lambda k: F.aggregate(F.filter(items, lambda i: i["key"] == k), F.lit(0),
-                                                   lambda acc, i: acc + i["n"]))
-    return F.map_from_arrays(keys, sums)
+    """Map key -> sum of n over a short array of items."""
+    def sums(chosen: Column) -> Column:
+        return _bind(F.array_sort(F.array_distinct(F.transform(chosen, lambda i: i["key"]))), lambda keys: F.map_from_arrays(
+            keys, F.transform(keys, lambda k: F.aggregate(chosen, F.lit(0), lambda acc, i: acc + F.when(i["key"] == k, i["n"]).otherwise(0)))))
+    return _bind(items, sums)
 
 
 def parse_counts(text: ColumnLike, aliases: dict[str, str] | None = None) -> Column:
@@ -85,14 +91,13 @@ def parse_counts(text: ColumnLike, aliases: dict[str, str] | None = None) -> Col
     no shuffle is needed to add up repeated names.
     """
     table = literal_map(aliases or SPECIES_ALIASES)
-    parts = F.split(F.coalesce(as_col(text), F.lit("")), r",(?![^()]*\))")
-    items = F.filter(F.transform(parts, lambda p: _count_item(p, table)), lambda i: i.isNotNull())
 
-    def pick(mapped: bool, released: bool) -> Column:
-        return _sum_by_key(F.filter(items, lambda i: (i["mapped"] == mapped) & (i["released"] == released)))
+    def buckets(items: Column) -> Column:
+        pick = lambda mapped, released: _sum_by_key(F.filter(items, lambda i: (i["mapped"] == mapped) & (i["released"] == released)))
+        return F.struct(pick(True, False).alias("kept"), pick(True, True).alias("released"),
+                        pick(False, False).alias("unmapped"), pick(False, True).alias("unmapped_released"))
 
-    return F.struct(pick(True, False).alias("kept"), pick(True, True).alias("released"),
-                    pick(False, False).alias("unmapped"), pick(False, True).alias("unmapped_released"))
+    return _bind(_count_items(as_col(text), table), buckets)
 
 
 def trip_type_page(raw: ColumnLike, corrected: bool = False) -> Column:

@@ -82,18 +82,18 @@ def _ratio(a: str, b: str) -> Column:
 
 def zone_daily(spark, sf):
     return zone_raw(spark, sf).select(
-        "zone_id", "date", (45.0 + 0.8 * _ratio("q", "n")).alias("sst_f_model"), (1.1 * _ratio("disc", "n")).alias("wave_ft"),
+        "zone_id", "date", (45.0 + 0.7937 * _ratio("q", "n")).alias("sst_f_model"), (1.1 * _ratio("disc", "n")).alias("wave_ft"),
         (5.0 + _ratio("rq", "rn") / 5.0).alias("wave_period_s"), (3.0 * _ratio("tax", "n")).alias("wind_kt"),
         (1000.0 + _ratio("cents", "n") / 400000.0).alias("pressure_hpa"))
 
 
 def satellite(spark, sf):
-    return zone_raw(spark, sf).where("rn > 0").select("zone_id", "date", (45.0 + 0.8 * _ratio("rq", "rn")).alias("sst_f"))
+    return zone_raw(spark, sf).where("rn > 0").select("zone_id", "date", (45.0 + 0.7937 * _ratio("rq", "rn")).alias("sst_f"))
 
 
 def shore_daily(spark, sf):
     return region_raw(spark, sf).where("an >= 1").select(
-        F.col("region").alias("tide_station"), "date", (45.0 + 0.8 * _ratio("aq", "an")).alias("shore_sst_f"), F.col("an").alias("n_obs"))
+        F.col("region").alias("tide_station"), "date", (45.0 + 0.7937 * _ratio("aq", "an")).alias("shore_sst_f"), F.col("an").alias("n_obs"))
 
 
 def tide_daily(spark, sf):

@@ -40,11 +40,11 @@ part("p_supplier_days", f"""SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date,
 part("p_zone_raw", f"""SELECT n_name AS zone_id, r_name AS region, date, {_sums} FROM p_supplier_days
   JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2, 3""")
 part("p_region_raw", f"SELECT region, date, {_sums} FROM p_zone_raw GROUP BY 1, 2")
-part("p_zone_daily", """SELECT zone_id, date, 45.0::DOUBLE + 0.8::DOUBLE * (q / n) AS sst_f_model, 1.1::DOUBLE * (disc / n) AS wave_ft,
+part("p_zone_daily", """SELECT zone_id, date, 45.0::DOUBLE + 0.7937::DOUBLE * (q / n) AS sst_f_model, 1.1::DOUBLE * (disc / n) AS wave_ft,
   5.0::DOUBLE + CASE WHEN rn > 0 THEN rq / rn END / 5.0::DOUBLE AS wave_period_s, 3.0::DOUBLE * (tax / n) AS wind_kt,
   1000.0::DOUBLE + cents / n / 400000.0::DOUBLE AS pressure_hpa FROM p_zone_raw""")
-part("p_satellite", "SELECT zone_id, date, 45.0::DOUBLE + 0.8::DOUBLE * (rq / rn) AS sst_f FROM p_zone_raw WHERE rn > 0")
-part("p_shore_daily", "SELECT region AS tide_station, date, 45.0::DOUBLE + 0.8::DOUBLE * (aq / an) AS shore_sst_f, an AS n_obs FROM p_region_raw WHERE an >= 1")
+part("p_satellite", "SELECT zone_id, date, 45.0::DOUBLE + 0.7937::DOUBLE * (rq / rn) AS sst_f FROM p_zone_raw WHERE rn > 0")
+part("p_shore_daily", "SELECT region AS tide_station, date, 45.0::DOUBLE + 0.7937::DOUBLE * (aq / an) AS shore_sst_f, an AS n_obs FROM p_region_raw WHERE an >= 1")
 part("p_tide_daily", """SELECT region AS tide_station, date, 2.0::DOUBLE + 0.6::DOUBLE * (tax / n) AS tide_range_ft,
   disc / n / 5.0::DOUBLE AS max_exchange_rate_ft_h, 0.48::DOUBLE * (q / n) AS best_water_hour,
   CASE WHEN an > 0 THEN CAST(q % 24 AS DOUBLE) END AS first_high_hour FROM p_region_raw""")

@@ -17,8 +17,8 @@ def station_lines(spark, sf):
     e = i.events(spark, sf)
     stamp = F.date_format("ts", "yyyy MM dd HH mm")
     v = F.format_string("%.2f", "value")
-    wide = F.concat_ws(" ", stamp, F.lit("270"), F.format_string("%.1f", F.col("event_id") % 120), F.lit("999.0"), v, F.lit("MM"), F.lit("5.5"), F.lit("200"), F.lit("1013.2"), F.lit("15.5"), v, F.lit("MM"), F.lit("MM"), F.lit("-0.4"), F.lit("MM"))
-    short = F.concat_ws(" ", stamp, F.lit("270"), F.format_string("%.1f", F.col("event_id") % 120), F.lit("999.0"), v, F.lit("MM"), F.lit("5.5"), F.lit("200"), F.lit("1013.2"), F.lit("15.5"), v, F.lit("MM"), F.lit("MM"), F.lit("MM"))
+    wide = F.concat_ws(" ", stamp, F.lit("270"), F.format_string("%.1f", (F.col("event_id") % 120).cast("double")), F.lit("999.0"), v, F.lit("MM"), F.lit("5.5"), F.lit("200"), F.lit("1013.2"), F.lit("15.5"), v, F.lit("MM"), F.lit("MM"), F.lit("-0.4"), F.lit("MM"))
+    short = F.concat_ws(" ", stamp, F.lit("270"), F.format_string("%.1f", (F.col("event_id") % 120).cast("double")), F.lit("999.0"), v, F.lit("MM"), F.lit("5.5"), F.lit("200"), F.lit("1013.2"), F.lit("15.5"), v, F.lit("MM"), F.lit("MM"), F.lit("MM"))
     line = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("# "), wide)).when(F.col("event_id") % 2 == 0, wide).otherwise(short)
     return e.select(F.col("event_type").alias("station"), "event_id", line.alias("line"))
 
@@ -135,14 +135,14 @@ def report_pages(spark, sf):
 
 
 @query("s09_report_html", "raw_id l, page_date t, landing s, boat s, trip_type s, anglers i, n_kept l", """
-  SELECT t.raw_id, report_date AS page_date, CASE WHEN t.raw_id % 3 = 0 THEN 'Seaforth' ELSE 'H&M' END AS landing, 'Boat ' || t.raw_id AS boat,
+  SELECT t.raw_id, report_date AS page_date, CASE WHEN t.raw_id % 3 = 0 THEN 'Seaforth' ELSE 'H&M' END AS landing, 'Vessel ' || t.raw_id AS boat,
     CASE WHEN trip_type_raw LIKE 'Full Day%' THEN 'full_day' WHEN trip_type_raw = '1/2 Day AM' THEN 'half_day' WHEN trip_type_raw = 'Overnight' THEN 'overnight' ELSE replace(lower(trip_type_raw), ' ', '_') END AS trip_type, anglers,
     coalesce(sum(c.kept) FILTER (species_id <> 'STANDARD'), 0) AS n_kept FROM p_trips t JOIN p_catch c USING (raw_id) WHERE t.raw_id % 3 < 2 GROUP BY ALL""")
 def report_html(spark, sf):
     t = ef.trips(spark, sf).join(count_texts(spark, sf), "raw_id")
     landing = F.when(F.col("raw_id") % 3 == 0, "Seaforth Sportfishing").when(F.col("raw_id") % 3 == 1, "H&amp;M Landing")
     head = F.coalesce(F.concat(F.lit("<h2>"), landing, F.lit(" Fish Counts</h2>")), F.lit("<h2>Other</h2>"))
-    row = F.format_string("<table><tr><th>Boat</th><th>Trip</th><th>Counts</th></tr><tr><td><b>Boat %d</b> H&amp;M Landing</td><td>%d Anglers %s</td><td>%s</td></tr></table>", "raw_id", "anglers", "trip_type_raw", "counts")
+    row = F.format_string("<table><tr><th>Boat</th><th>Trip</th><th>Counts</th></tr><tr><td><b>Vessel %d</b> H&amp;M Landing</td><td>%d Anglers %s</td><td>%s</td></tr></table>", "raw_id", "anglers", "trip_type_raw", "counts")
     doc = F.concat(F.lit("<html><script>var t='<h2>x</h2>';</script><h1>Dock Totals - "), F.date_format("report_date", "MMMM d, yyyy"), F.lit("</h1>"), head, row, F.lit("</html>"))
     r = rd.parse_report_html(t.select("raw_id", doc.alias("html")), "html", ["raw_id"])
     return r.withColumn("n_kept", F.aggregate(F.map_values("kept"), F.lit(0), lambda a, v: a + v))
