@@ -131,8 +131,8 @@ def access(wind: ColumnLike, wave: ColumnLike, period: ColumnLike, distance: Col
 def access_note(wind: ColumnLike, wave: ColumnLike, distance: ColumnLike) -> Column:
     w, sea, dist = map(as_col, (wind, wave, distance))
     text = F.concat_ws(", ",
-                       F.when(w > 18, F.format_string("%.0f kt wind", w)),
-                       F.when(sea > 5, F.format_string("%.1f ft seas", sea)),
+                       F.when(w > 18, F.format_string("%.0f kt wind", round_to(w, 0))),
+                       F.when(sea > 5, F.format_string("%.1f ft seas", round_to(sea, 1))),
                        F.when(dist > 40, F.lit("long-range run")))
     return (F.when(w.isNull() | sea.isNull(), "insufficient wind/wave data")
              .when(text == "", "workable").otherwise(text))

@@ -159,8 +159,8 @@ def append_issuance(spark: SparkSession, path: str, rows: DataFrame, created_utc
     if len(entry) > 1:
         raise ValueError("append one issuance at a time")
     seq, prev = (head["seq"] + 1, head["digest"]) if head else (0, "")
-    fresh.withColumn("issue_month", F.date_format("issue_local_date", "yyyy-MM")).write.mode("append").partitionBy(
-        "issue_month", "issuance_id").parquet(f"{path}/rows")
+    folders = {"issue_month": F.date_format("issue_local_date", "yyyy-MM"), "issuance_part": F.col("issuance_id")}
+    fresh.withColumns(folders).write.mode("append").partitionBy(*folders).parquet(f"{path}/rows")
     spark.createDataFrame(entry).withColumns({
         "seq": F.lit(seq).cast("long"), "prev_index_row_sha256": F.lit(prev),
         "created_utc": created_utc if created_utc is not None else F.current_timestamp()}).coalesce(1).write.mode(
@@ -170,8 +170,8 @@ def append_issuance(spark: SparkSession, path: str, rows: DataFrame, created_utc
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Rows of indexed issuances only (an interrupted append stays invisible)."""
-    return spark.read.parquet(f"{path}/rows").join(spark.read.parquet(f"{path}/index").select("issuance_id"),
-                                                   "issuance_id", "left_semi")
+    rows = spark.read.parquet(f"{path}/rows").drop("issue_month", "issuance_part")
+    return rows.join(spark.read.parquet(f"{path}/index").select("issuance_id"), "issuance_id", "left_semi")
 
 
 def broken_chain(index: DataFrame) -> DataFrame:
@@ -203,8 +203,7 @@ def forbidden_far_values(rows: DataFrame, columns: list[str] = ("wave_ft", "wind
 
 def verify_ledger(rows: DataFrame, index: DataFrame, source_columns: list[str], baseline: DataFrame | None = None) -> DataFrame:
     """All violations as (issuance_id, error): counts, content, duplicates, chain, look-ahead, far sea state."""
-    content = [c for c in rows.columns if c not in ("issue_month",)]
-    actual = rows.groupBy("issuance_id").agg(F.count(F.lit(1)).alias("_n"), *[a.alias("_sum") for a in content_checksum(rows, content)])
+    actual = rows.groupBy("issuance_id").agg(F.count(F.lit(1)).alias("_n"), *[a.alias("_sum") for a in content_checksum(rows)])
     j = index.join(actual, "issuance_id", "left")
     checks = j.select("issuance_id", F.explode(F.array_compact(F.array(
         F.when(F.col("_n").isNull(), "rows_missing"), F.when(F.col("_n") != F.col("n_rows"), "row_count_mismatch"),

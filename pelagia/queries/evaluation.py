@@ -140,10 +140,11 @@ def _pg(s: str) -> str:
 part("p_long", f"""SELECT *, (score >= 40)::INT + (score >= 60)::INT + (score >= 75)::INT + (score >= 90)::INT AS fidx, {_pg('score')} AS pr FROM (
   SELECT p.* EXCLUDE (bite_score, baseline_clim_score, baseline_enso_score, cal_score), m.model_id, CASE m.model_id WHEN 'v1' THEN bite_score WHEN 'baseline_climatology' THEN baseline_clim_score
     WHEN 'baseline_enso' THEN baseline_enso_score ELSE cal_score END AS score FROM p_cal p, (VALUES ('v1'), ('baseline_climatology'), ('baseline_enso'), ('v1.1-cal')) m(model_id)) WHERE score IS NOT NULL""")
-METRICS = """count(*) AS n_pairs, count(DISTINCT target_date) AS n_target_dates, count(DISTINCT issuance_id) AS n_issuances, round(avg((fidx = obs_idx)::INT), 4) AS exact_hit,
-  round(avg((abs(fidx - obs_idx) <= 1)::INT), 4) AS within_one, round(avg(abs(score - observed_score)), 2) AS mae, round(avg((pr - y_good) * (pr - y_good)), 4) AS brier, sum(y_good) AS n_obs_good,
-  count(*) FILTER (fidx >= 2) AS n_fcst_good, round(avg(y_good), 4) AS obs_good_rate, CASE WHEN count(*) FILTER (fidx >= 2) >= 10 THEN round(count(*) FILTER (fidx >= 2 AND y_good = 1) / count(*) FILTER (fidx >= 2), 4) END AS precision_good,
-  CASE WHEN sum(y_good) >= 10 THEN round(count(*) FILTER (fidx >= 2 AND y_good = 1) / sum(y_good), 4) END AS recall_good, round(avg(score), 1) AS mean_forecast_score, round(avg(observed_score), 1) AS mean_observed_score"""
+_good, _tp = "count(*) FILTER (fidx >= 2)", "count(*) FILTER (fidx >= 2 AND y_good = 1)"
+METRICS = f"""count(*) AS n_pairs, count(DISTINCT target_date) AS n_target_dates, count(DISTINCT issuance_id) AS n_issuances, {even_sql('avg((fidx = obs_idx)::INT)', 4)} AS exact_hit,
+  {even_sql('avg((abs(fidx - obs_idx) <= 1)::INT)', 4)} AS within_one, {even_sql('avg(abs(score - observed_score))', 2)} AS mae, {even_sql('avg((pr - y_good) * (pr - y_good))', 4)} AS brier, sum(y_good) AS n_obs_good,
+  {_good} AS n_fcst_good, {even_sql('avg(y_good)', 4)} AS obs_good_rate, CASE WHEN {_good} >= 10 THEN {even_sql(f'{_tp} / {_good}', 4)} END AS precision_good,
+  CASE WHEN sum(y_good) >= 10 THEN {even_sql(f'{_tp} / sum(y_good)', 4)} END AS recall_good, {even_sql('avg(score)', 1)} AS mean_forecast_score, {even_sql('avg(observed_score)', 1)} AS mean_observed_score"""
 METRIC_SPEC = ("n_pairs l, n_target_dates l, n_issuances l, exact_hit d3, within_one d3, mae d1, brier d3, n_obs_good l, n_fcst_good l, obs_good_rate d3, precision_good d3, recall_good d3, "
                "mean_forecast_score d0, mean_observed_score d0")
 part("p_windowed", f"""SELECT l.*, w.window_name FROM p_long l JOIN (VALUES ('rolling_30d', DATE '{AS_OF}' - 29), ('rolling_90d', DATE '{AS_OF}' - 89), ('season_to_date', DATE '2001-03-01'), ('all', DATE '1900-01-01')) w(window_name, start)
@@ -151,7 +152,7 @@ part("p_windowed", f"""SELECT l.*, w.window_name FROM p_long l JOIN (VALUES ('ro
 _dims = ver.DIMENSIONS
 part("p_eval", f"""SELECT window_name, CASE {' '.join(f"WHEN grouping({d}) = 0 THEN '{d}'" for d in _dims)} END AS dimension, coalesce({', '.join(f'CASE WHEN grouping({d}) = 0 THEN {d} END' for d in _dims)}) AS stratum, model_id, {METRICS}
   FROM p_windowed GROUP BY GROUPING SETS ({', '.join(f'(window_name, model_id, {d})' for d in _dims)})""")
-part("p_eval_skill", """SELECT e.*, round(1 - e.brier / nullif(r.brier, 0), 4) AS brier_skill, round(1 - e.mae / nullif(r.mae, 0), 4) AS mae_skill,
+part("p_eval_skill", f"""SELECT e.*, {even_sql('1 - e.brier / nullif(r.brier, 0)', 4)} AS brier_skill, {even_sql('1 - e.mae / nullif(r.mae, 0)', 4)} AS mae_skill,
   CASE WHEN e.n_pairs < 30 OR e.n_target_dates < 10 OR e.n_issuances < 3 THEN 'insufficient' WHEN e.n_pairs < 100 OR e.n_target_dates < 30 OR e.n_issuances < 10 THEN 'preliminary' ELSE 'reportable' END AS sample_flag
   FROM p_eval e LEFT JOIN p_eval r ON r.window_name = e.window_name AND r.dimension = e.dimension AND r.stratum = e.stratum AND r.model_id = 'baseline_climatology'""")
 
@@ -160,7 +161,7 @@ def evaluation(spark, sf):
     return staged(spark, sf, "evaluation", lambda: ver.evaluate(pairs(spark, sf), MODELS, F.lit(AS_OF).cast("date")))
 
 
-@query("a19_evaluation_report", "window_name s, dimension s, stratum s, model_id s, sample_flag s, " + METRIC_SPEC + ", brier_skill d2, mae_skill d2", "SELECT * FROM p_eval_skill")
+@query("a19_evaluation_report", "window_name s, dimension s, stratum s, model_id s, sample_flag s, " + METRIC_SPEC + ", brier_skill d4, mae_skill d4", "SELECT * FROM p_eval_skill")
 def evaluate(spark, sf):
     e = ver.evaluate(pairs(spark, sf), MODELS, F.lit(AS_OF).cast("date"))
     return e.withColumnsRenamed({"window": "window_name", "brier_skill_vs_clim": "brier_skill", "mae_skill_vs_clim": "mae_skill"})

@@ -11,7 +11,7 @@ from ..plans import conditions as cond
 from ..plans import dashboard as db
 from . import inputs as i
 from .registry import query
-from .sqlparts import doy_climatology_sql, mean_log_sql, part, soft_sql, clamp_sql, trapezoid_sql
+from .sqlparts import doy_climatology_sql, even_sql, mean_log_sql, part, soft_sql, clamp_sql, trapezoid_sql
 
 COND_SPEC = ("zone_id s, date t, doy i, month i, sst_f d4, sst_source s, sst_norm d4, sst_sd d4, sst_years l, sst_anom_f d4, sst_pctile d3, "
              "sst_trend_7d d4, pressure_hpa d4, pressure_trend_24h d4, wave_ft d4, wave_norm d4, wave_anom_ft d4, wind_kt d4, wind_norm d4, wind_anom_kt d4, "
@@ -198,7 +198,7 @@ _fac = clamp_sql("1.0 + anomaly_pref * (an / 2.5) * 0.45", 0.35, 1.35)
 
 
 @query("m16_regime_baseline", "date t, zone_id s, species_id s, baseline_clim_score d1, baseline_enso_score d1, baseline_enso_anom_f d3", f"""
-  SELECT date, zone_id, species_id, clim AS baseline_clim_score, CASE WHEN clim IS NOT NULL AND an IS NOT NULL THEN round(100 * {soft_sql('r')}, 1) END AS baseline_enso_score,
+  SELECT date, zone_id, species_id, clim AS baseline_clim_score, CASE WHEN clim IS NOT NULL AND an IS NOT NULL THEN {even_sql('100 * ' + soft_sql('r'), 1)} END AS baseline_enso_score,
     CASE WHEN clim IS NOT NULL THEN round(an, 3) END AS baseline_enso_anom_f FROM (SELECT *, {clamp_sql(f'{_inv} * {_fac}', 0.01, 1.35)} AS r FROM p_regime_baseline)""")
 def regime_baseline(spark, sf):
     from ..operators.features import regime_composite

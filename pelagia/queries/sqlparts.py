@@ -242,7 +242,7 @@ part("p_scores", f"""SELECT date, zone_id, species_id, grp, round(100 * {soft_sq
   {', '.join(f't_{k}, w_{k}' for k in TERM_NAMES)}, anomaly_pref,
   concat_ws(',', {', '.join(f"CASE WHEN t_{k} IS NULL AND w_{k} > 0 THEN '{k}' END" for k in TERM_NAMES)}) AS missing_drivers,
   CASE WHEN wind_kt IS NULL OR wave_ft IS NULL THEN 'insufficient wind/wave data' ELSE coalesce(nullif(concat_ws(', ',
-    CASE WHEN wind_kt > 18 THEN printf('%.0f kt wind', wind_kt) END, CASE WHEN wave_ft > 5 THEN printf('%.1f ft seas', wave_ft) END,
+    CASE WHEN wind_kt > 18 THEN printf('%.0f kt wind', {even_sql('wind_kt', 0)}) END, CASE WHEN wave_ft > 5 THEN printf('%.1f ft seas', {even_sql('wave_ft', 1)}) END,
     CASE WHEN distance_nm > 40 THEN 'long-range run' END), ''), 'workable') END AS access_note FROM p_gate""")
 
 part("p_norms", """SELECT z.*, n.doy, n.sst_norm, n.sst_sd, n.src AS climatology_source, b.wave_norm, b.wind_norm FROM p_zones z JOIN (
