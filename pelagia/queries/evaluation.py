@@ -27,7 +27,7 @@ _lead = "CASE l_linenumber " + " ".join(f"WHEN {k + 1} THEN {v}" for k, v in enu
 
 # Ledger rows: line items by nation (zone), part type (subject), ship day (target) and line number (lead).
 _CELL = """date_sub(target_date, lead_days) AS issue_date, zone_id, species_id, target_date, lead_days, n, q, disc, tax"""
-_ROW = """zone_id, region_no, species_id, target_date, lead_days, issue_date, 2.0D * (q / n) AS bite_score, 10.0D * (disc / n) AS baseline_clim_score, 12.0D * (tax / n) AS baseline_enso_score,
+_ROW = """zone_id, region_no, species_id, target_date, lead_days, issue_date, 1.973D * (q / n) AS bite_score, 9.931D * (disc / n) AS baseline_clim_score, 11.937D * (tax / n) AS baseline_enso_score,
   concat_ws(';', CASE WHEN lead_days = 0 AND tax % 2 = 1 THEN 'lead0_issued_after_local_noon' END, CASE WHEN lead_days >= 15 THEN 'no_daily_sea_state' END) AS flags_text,
   CASE WHEN month(issue_date) % 2 = 0 THEN 'El Nino' ELSE 'Neutral' END AS enso_regime, q / n / 50.0D AS term_sst, disc / n / 10.0D AS term_season, tax / n / 8.0D AS term_tide,
   CASE WHEN tax % 3 <> 0 THEN 0.7D END AS term_moon, 0.85D AS term_pressure, CASE WHEN disc % 2 = 1 THEN disc / n / 10.0D END AS term_swell, CAST(NULL AS DOUBLE) AS term_front, 0.4D AS term_chl,
@@ -185,8 +185,8 @@ part("p_boot_draw", """SELECT horizon_group, rep, CAST('0x' || substr(md5('7|' |
 part("p_boot", """SELECT horizon_group, rep, 1 - round(sum(ms) / sum(n), 4) / nullif(round(sum(rs) / sum(n), 4), 0) AS v FROM p_boot_draw JOIN p_boot_day USING (horizon_group, i) GROUP BY 1, 2""")
 
 
-@query("a21_block_bootstrap", "horizon_group s, p05 d4, p50 d4, p95 d4, p_positive d3, reps i", """
-  SELECT horizon_group, quantile_cont(v, 0.05) AS p05, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.95) AS p95, avg((v > 0)::INT) AS p_positive, 400 AS reps FROM p_boot WHERE v IS NOT NULL GROUP BY 1""")
+@query("a21_block_bootstrap", "horizon_group s, p05 d4, p50 d4, p95 d4, p_positive d3, reps i", f"""
+  SELECT horizon_group, quantile_cont(v, 0.05) AS p05, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.95) AS p95, {even_sql('avg((v > 0)::INT)', 3)} AS p_positive, 400 AS reps FROM p_boot WHERE v IS NOT NULL GROUP BY 1""")
 def bootstrap(spark, sf):
     return stats.block_bootstrap(pairs(spark, sf), "v1", "baseline_climatology", ["horizon_group"])
 
