@@ -22,7 +22,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
-                      spark__driver__memory=os.environ.get("BENCH_MEMORY", "12g"), spark__ui__showConsoleProgress="false")
+                      spark__driver__memory=os.environ.get("BENCH_MEMORY", "12g"), spark__ui__showConsoleProgress="false",
+                      spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB")
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     registry, times = load(), {}
