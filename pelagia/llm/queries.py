@@ -27,3 +27,20 @@ def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import COUNTS, judge_quality
     sample = common.label_sample(table(spark, sf_dir, "labels"), "quality", LABEL_LIMIT, train_only=False)
     return judge_quality(table(spark, sf_dir, "documents"), sample).select("doc_id", *COUNTS, "base_failed", "kept", "quality")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit_toxicity, score_toxicity
+    docs = table(spark, sf_dir, "documents")
+    sample = common.label_sample(table(spark, sf_dir, "labels"), "toxic", LABEL_LIMIT, train_only=True)
+    scored = score_toxicity(docs, fit_toxicity(docs, sample))
+    return scored.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit_languages, label_languages
+    docs = table(spark, sf_dir, "documents")
+    found = label_languages(docs, fit_languages(docs))
+    return found.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
