@@ -53,3 +53,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op7_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .chat import assemble, format_turns, read_back
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return read_back(assemble(format_turns(turns, *vocabulary)), *vocabulary)
+
+
+@query
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pagetext import extract, fit_weights
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, fit_weights(pages)).withColumn("n_chars", F.length("text").cast("long"))
