@@ -73,3 +73,20 @@ def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pagetext import extract, fit_weights
     pages = table(spark, sf_dir, "pages")
     return extract(pages, fit_weights(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: Rules of the url filter: host and path.
+URL_ALLOW, URL_BLOCK = ["example.net/en/", "org/fr/"], ["net/", "example.com/de/"]
+
+
+@query
+def op2_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hosts import filter_urls
+    return filter_urls(table(spark, sf_dir, "pages"), URL_ALLOW, URL_BLOCK).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_pages, read_archives
+    records = read_archives(spark, archive_pages(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
