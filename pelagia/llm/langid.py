@@ -1,8 +1,8 @@
 """Language identification: script ranges narrow the candidates of each word, then Viterbi over per-word scores with a switching
 penalty labels spans of mixed-language text.
 
-Word scores are naive Bayes over hashed character n-grams. The counts come from a stratified sample, at most ``per_language``
-documents of each language by hash order, and are summed by Spark; all documents are labelled.
+Word scores are naive Bayes over hashed character n-grams. The counts come from a stratified sample, about ``per_language``
+documents of each language by hash, and are summed by Spark; all documents are labelled.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and no spans; repeated rows are labelled one by one;
 an empty table gives an empty result; without a training row every text is ``und``. Ties go to the language first by name.
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,8 @@ SCRIPTS = [("latin", 0x0041, 0x024F), ("latin", 0x1E00, 0x1EFF), ("greek", 0x037
 SCRIPT_NAMES = sorted({s for s, _, _ in SCRIPTS}) + ["other"]
 
 ORDERS, BUCKETS = (1, 2, 3, 4), 1 << 16
+#: Most languages that are learned, those with the most documents.
+LANGUAGE_LIMIT = 200
 
 
 @dataclass
@@ -70,8 +72,10 @@ def fit_languages(docs: DataFrame, per_language: int = 1500) -> LanguageModel:
     arrow_batches(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     known = known.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    # a share of each language by hash, so that no language is gathered in one task
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
+    chosen = known.select("doc_id", "lang").join(F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGE_LIMIT)), "lang").where(place * F.col("n") < per_language)
     chosen = written(chosen.select("doc_id", "lang").distinct(), "language-sample")
     counts = known.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text").mapInPandas(count_ngrams, "lang string, bucket long, n long")
     rows = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()

@@ -90,3 +90,9 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive_pages, read_archives
     records = read_archives(spark, archive_pages(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .templates import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
