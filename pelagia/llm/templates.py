@@ -27,46 +27,69 @@ UNITS = ("mm cm dm m km inch inches feet foot ft yard yards mile miles mg g kg g
 
 NAME_MARK, NUMBER_MARK, UNIT_MARK, PLAIN = "\x01", "\x02", "\x03", "\x04"
 NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}])"
-NUMBER = r"[0-9](?<![\p{L}\p{N}.,][0-9])[0-9]*(?:[.,][0-9]+)*(?:st|nd|rd|th)?(?![\p{L}\p{N}])"
-UNIT = r"(?<=\x02[0-9.,]{1,40} ?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
-TOKEN = r"\x02[0-9]+(?:[.,][0-9]+)*[a-z]*|[\x01\x03]?[\p{L}\p{N}]+"
+SEPARATOR = r"(?<=[0-9])[.,](?=[0-9])"
+NUMBER = r"(?<![\p{L}\p{N}_])[0-9][0-9_]*(?:st|nd|rd|th)?(?![\p{L}\p{N}_])"
+UNIT = r"(?<=\x02[0-9_]{1,40} ?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
+BETWEEN = r"[^\p{L}\p{N}_\x01-\x03]+"
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once for a row, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def template_words(text: Column) -> Column:
     """Lower-case words; a word that is a slot has its mark before it."""
-    clean = F.translate(F.coalesce(text.cast("string"), F.lit("")), "\x01\x02\x03", "   ")
+    clean = F.translate(F.coalesce(text.cast("string"), F.lit("")), "\x01\x02\x03_", "    ")
+
+    def marked(named: Column) -> Column:
+        joined = F.regexp_replace(F.lower(named), SEPARATOR, "_")
+        counted = F.regexp_replace(joined, NUMBER, NUMBER_MARK + "$0")
+        return F.when(F.rlike(named, F.lit("[0-9]")), F.regexp_replace(counted, UNIT, UNIT_MARK + "$0")).otherwise(F.lower(named))
+
     named = F.regexp_replace(clean, NAME, NAME_MARK + "$0")
-    counted = F.lower(F.when(clean.rlike("[0-9]"), F.regexp_replace(named, NUMBER, NUMBER_MARK + "$0")).otherwise(named))
-    measured = F.when(F.contains(counted, F.lit(NUMBER_MARK)), F.regexp_replace(counted, UNIT, UNIT_MARK + "$0")).otherwise(counted)
-    return F.regexp_extract_all(measured, F.lit(TOKEN), F.lit(0))
+    return F.array_remove(F.split(let(named, marked), BETWEEN), "")
 
 
-def with_slots(rows: DataFrame) -> DataFrame:
-    """``rows`` with the hash of every word (a slot counts as its mark) and the marked words, null elsewhere and if there are none."""
-    words = F.col("words")
-    return rows.withColumns({"hashes": F.transform(words, lambda w: F.xxhash64(F.when(w < PLAIN, F.substring(w, 1, 1)).otherwise(w))),
-                             "marked": F.when(F.exists(words, lambda w: w < PLAIN), F.transform(words, lambda w: F.when(w < PLAIN, w)))})
+def word_hashes(words: Column) -> Column:
+    """The hash of every word; a slot counts as its mark."""
+    return F.transform(words, lambda w: F.xxhash64(F.when(w < PLAIN, F.substring(w, 1, 1)).otherwise(w)))
 
 
-def window(at: Column, size: Column | int) -> tuple[Column, Column]:
-    """Hash and slots of the window of ``size`` words that begins at ``at``."""
-    return F.xxhash64(F.slice("hashes", at, size)).alias("hash"), F.filter(F.slice("marked", at, size), lambda x: x.isNotNull()).alias("slots")
+def slot_words(words: Column) -> Column:
+    """The marked words, null elsewhere; null if there are none."""
+    return F.when(F.exists(words, lambda w: w < PLAIN), F.transform(words, lambda w: F.when(w < PLAIN, w)))
 
 
-def windows_of(size: int) -> Column:
+def window(hashes: Column, slots: Column, at: Column, size: int) -> tuple[Column, Column]:
+    """Hash and slots of the window of ``size`` words from place ``at`` (0 first). Elements are taken one by one: a slice would copy
+    the whole array for every window."""
+    marked = F.when(slots.isNotNull(), F.array_compact(F.array(*[slots[at + k] for k in range(size)])))
+    return F.xxhash64(*[hashes[at + k] for k in range(size)]).alias("hash"), marked.alias("slots")
+
+
+def windows_of(words: Column, sizes: list[int]) -> Column:
     """array<struct<hash, slots, at>> of all windows of a document."""
-    places = F.when(F.size("words") >= size, F.sequence(F.lit(1), F.size("words") - (size - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(*window(i, size), i.alias("at")))
+    def sized(x: Column, size: int) -> Column:
+        n = F.size(x.hashes)
+        places = F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct(*window(x.hashes, x.slots, i, size), i.alias("at")))
+
+    def of(x: Column) -> Column:
+        return F.concat(*[sized(x, size) for size in sizes])
+
+    return let(words, lambda w: let(F.struct(word_hashes(w).alias("hashes"), slot_words(w).alias("slots")), of))
 
 
 def item_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
     """item_id, size, hash, item_slots, item_at of the windows of every item."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_words(F.col("text")).alias("words"))
     items = items.withColumn("size", F.least(F.lit(size), F.size("words"))).where(F.col("size") >= least)
-    places = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1))
-    rows = with_slots(items).select("*", places.alias("item_at"))
-    hash_, slots = window(F.col("item_at"), F.col("size"))
-    rows = rows.select("item_id", "size", hash_, slots.alias("item_slots"), "item_at")
+    rows = None
+    for n in range(least, size + 1):
+        found = items.where(F.col("size") == n).select("item_id", "size", F.explode(windows_of(F.col("words"), [n])).alias("w"))
+        rows = found if rows is None else rows.unionByName(found)
+    rows = rows.select("item_id", "size", "w.hash", F.col("w.slots").alias("item_slots"), F.col("w.at").alias("item_at"))
     return rows.where(F.col("size") - F.coalesce(F.size("item_slots"), F.lit(0)) >= least).distinct()
 
 
@@ -74,9 +97,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: i
     """doc_id, item_id, n_windows (matched window places) and kind of every document that holds a passage of an item."""
     items = written(item_windows(benchmark, size, least), "item-windows")
     sizes = sorted(r.size_ for r in items.select(F.col("size").alias("size_")).distinct().collect())  # at most ``size`` numbers
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), template_words(F.col("text")).alias("words"))
-    found = F.concat(*[windows_of(s) for s in sizes or [size]])
-    rows = with_slots(texts).select("doc_id", F.explode(found).alias("w")).select("doc_id", F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"), F.col("w.at").alias("at"))
+    found = F.explode(windows_of(template_words(F.col("text")), sizes or [size]))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("w")).select("doc_id", "w.hash", "w.slots", "w.at")
     hits = rows.join(items, "hash").where(F.coalesce(F.size("slots"), F.lit(0)) == F.coalesce(F.size("item_slots"), F.lit(0)))
     hits = hits.select("doc_id", "item_id", "at", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "item_slots").distinct()
     # a slot pair is (item's value, document's value); sets of one passage are bounded by the length of the item
