@@ -96,3 +96,9 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .templates import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
