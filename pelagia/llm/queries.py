@@ -17,6 +17,12 @@ SQL: dict[str, str] = {}
 LABEL_LIMIT = 20_000
 
 
+def token_files() -> tuple[str, str]:
+    """Ranks file and pre-token pattern of the byte-level vocabulary; another can be given to the operators."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -48,19 +54,15 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     from .packing import pack
-    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    pieces = pack(table(spark, sf_dir, "documents"), *token_files())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 @query
 def op7_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     from .chat import assemble, format_turns, read_back
-    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    vocabulary = token_files()
     said = "\\### Assistant: </turn> ok"
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
