@@ -61,7 +61,7 @@ def _count_items(text: Column, aliases: Column) -> Column:
     """Entries like "12 Calico Bass Released" as structs (n, key, mapped, released)."""
     parts = F.filter(F.split(F.coalesce(text, F.lit("")), r",(?![^()]*\))"), lambda p: p.rlike(r"^\s*\d+\s+\S"))
     counted = F.transform(parts, lambda p: F.struct(
-        F.regexp_extract(p, r"^\s*(\d+)", 1).cast("int").alias("n"),
+        F.regexp_extract(p, r"^\s*(\d+)", 1).try_cast("bigint").alias("n"),
         F.regexp_replace(F.regexp_replace(p, r"^\s*\d+\s+|\([^)]*\)", ""), r"(?i)\bup to .*$", "").alias("name")))
     named = F.transform(counted, lambda i: F.struct(
         i["n"].alias("n"), i["name"].rlike(r"(?i)\breleased?\b").alias("released"),
@@ -80,7 +80,7 @@ def _sum_by_key(items: Column) -> Column:
     """Map key -> sum of n over a short array of items."""
     def sums(chosen: Column) -> Column:
         return _bind(F.array_sort(F.array_distinct(F.transform(chosen, lambda i: i["key"]))), lambda keys: F.map_from_arrays(
-            keys, F.transform(keys, lambda k: F.aggregate(chosen, F.lit(0), lambda acc, i: acc + F.when(i["key"] == k, i["n"]).otherwise(0)))))
+            keys, F.transform(keys, lambda k: F.aggregate(chosen, F.lit(0).cast("bigint"), lambda acc, i: F.try_add(acc, F.when(i["key"] == k, i["n"]).otherwise(F.lit(0).cast("bigint")))))))
     return _bind(items, sums)
 
 
@@ -88,7 +88,7 @@ def parse_counts(text: ColumnLike, aliases: dict[str, str] | None = None) -> Col
     """Struct of maps kept / released / unmapped / unmapped_released from a comma list of counts.
 
     Commas inside parentheses do not separate. The whole list is handled inside its own row, so
-    no shuffle is needed to add up repeated names.
+    no shuffle is needed to add up repeated names. A number or sum beyond 64 bits is null.
     """
     table = literal_map(aliases or SPECIES_ALIASES)
 

@@ -160,7 +160,8 @@ def append_issuance(spark: SparkSession, path: str, rows: DataFrame, created_utc
         raise ValueError("append one issuance at a time")
     seq, prev = (head["seq"] + 1, head["digest"]) if head else (0, "")
     folders = {"issue_month": F.date_format("issue_local_date", "yyyy-MM"), "issuance_part": F.col("issuance_id")}
-    fresh.withColumns(folders).write.mode("append").partitionBy(*folders).parquet(f"{path}/rows")
+    # only the issuance's own folder is replaced, so an append that stopped before its index row can be repeated
+    fresh.withColumns(folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{path}/rows")
     spark.createDataFrame(entry).withColumns({
         "seq": F.lit(seq).cast("long"), "prev_index_row_sha256": F.lit(prev),
         "created_utc": created_utc if created_utc is not None else F.current_timestamp()}).coalesce(1).write.mode(

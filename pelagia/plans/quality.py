@@ -120,7 +120,7 @@ def upsert_status(previous: DataFrame, attempts: DataFrame) -> DataFrame:
         F.coalesce(F.when(seen, c("newest")), c("_pn")).alias("newest_valid_source_timestamp"),
         F.when(seen, c("freshness")).otherwise(c("_pf")).alias("freshness"),
         F.when(seen, c("cached")).otherwise(c("_pc")).alias("used_cached_data"),
-        F.when(seen, F.substring("error", 1, 300)).otherwise(c("_pe")).alias("error"))
+        F.when(seen, F.col("error")).otherwise(c("_pe")).alias("error"))
 
 
 def payload_sanity(rows: DataFrame, source: str, ts: str, value: Column, now: Column, max_ahead: str = "2 hours") -> DataFrame:

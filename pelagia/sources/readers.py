@@ -203,9 +203,9 @@ def parse_report_rows(pages: DataFrame, content: str, title: str, keep: list[str
     boat = F.trim(F.when(F.col("_boat").endswith(F.col("_landing")),
                          F.expr("left(_boat, length(_boat) - length(_landing))")).otherwise(F.col("_boat")))
     raw = F.trim(F.regexp_replace("_trip", r"(?i)\d+\s*Anglers?", ""))
-    anglers = F.nullif(F.regexp_extract("_trip", r"(?i)(\d+)\s*Anglers?", 1), F.lit("")).cast("int")
+    anglers = F.nullif(F.regexp_extract("_trip", r"(?i)(\d+)\s*Anglers?", 1), F.lit("")).try_cast("int")
     out = rows.select(*keep, "page_date", short.alias("landing"), boat.alias("boat"), raw.alias("trip_type_raw"), anglers.alias("anglers"),
-                      parse_counts("_counts").alias("_c"), F.substring(F.concat_ws(" | ", boat, F.col("_trip"), F.col("_counts")), 1, 400).alias("raw_text"))
+                      parse_counts("_counts").alias("_c"), F.concat_ws(" | ", boat, F.col("_trip"), F.col("_counts")).alias("raw_text"))
     out = out.withColumn("trip_type", trip_type_page("trip_type_raw"))
     return out.withColumns({"zone_hint": zone_hint("trip_type_raw", "trip_type"), "kept": F.col("_c.kept"), "released": F.col("_c.released"),
                             "unmapped": F.col("_c.unmapped"), "unmapped_released": F.col("_c.unmapped_released")}).drop("_c")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,22 +33,35 @@ def hourly(stream: DataFrame, station: str, ts: str, value: str, delay: str) ->
 def upsert_sink(spark: SparkSession, path: str, keys: list[str], order: list[str]):
     """foreachBatch writer that keeps the newest row per key as numbered versions of a table.
 
-    Each micro-batch writes a complete new version folder named by its batch id, so a retried batch
-    overwrites its own output and readers always see a finished version. Updates of late data within
-    the watermark replace the provisional row.
+    Each micro-batch is merged into the newest version that exists, whatever its own id, and written as the next one, so a new
+    checkpoint or a missing version loses no history. Merging a batch twice changes nothing. Updates of late data within the
+    watermark replace the provisional row.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        previous = stored(spark, f"{path}/v={batch_id - 1}", batch) if batch_id else batch.limit(0)
-        merged = pick_row(previous.select(*batch.columns).unionByName(batch), keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        previous, number = newest_version(spark, path)
+        merged = pick_row(previous.select(*batch.columns).unionByName(batch) if previous is not None else batch, keys, order)
+        merged.write.mode("overwrite").parquet(f"{path}/v={number + 1}")
     return write
 
 
+def newest_version(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """Newest version of an upserted table with its number; None and -1 if there is none."""
+    try:
+        versions = spark.read.parquet(path)
+    except AnalysisException as e:
+        if not {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"} & {e.getCondition()}:
+            raise
+        return None, -1
+    newest = versions.agg(F.max("v").alias("v")).first()["v"]
+    return (versions.where(F.col("v") == newest).drop("v"), int(newest)) if newest is not None else (None, -1)
+
+
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
     """Newest complete version of an upserted table."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("v")).scalar()
-    return versions.where(F.col("v") == newest).drop("v")
+    table, _ = newest_version(spark, path)
+    if table is None:
+        raise ValueError(f"no version of the table in {path}")
+    return table
 
 
 def append_unseen_sink(spark: SparkSession, path: str, key: str):
@@ -75,8 +89,8 @@ def freshness_sink(spark: SparkSession, path: str):
             F.max("attempted_utc").alias("last_attempted_fetch_utc"),
             F.max(F.when(F.col("success"), F.col("attempted_utc"))).alias("last_successful_fetch_utc"),
             F.max(F.when(F.col("success"), F.col("newest"))).alias("newest_valid_source_timestamp"))
-        old = stored(spark, f"{path}/v={batch_id - 1}", new) if batch_id else new.limit(0)
-        merged = old.select(*new.columns).unionByName(new).groupBy("source_identifier").agg(
-            *[F.max(c).alias(c) for c in new.columns[1:]])
-        merged.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        old, number = newest_version(spark, path)
+        rows = old.select(*new.columns).unionByName(new) if old is not None else new
+        merged = rows.groupBy("source_identifier").agg(*[F.max(c).alias(c) for c in new.columns[1:]])
+        merged.write.mode("overwrite").parquet(f"{path}/v={number + 1}")
     return write
