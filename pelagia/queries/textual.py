@@ -130,7 +130,7 @@ _hint = "CASE WHEN contains(trip_type_raw, 'Coronado') THEN 'coronados' WHEN tri
   FROM p_trips t JOIN p_catch c USING (raw_id) WHERE t.raw_id % 3 < 2 GROUP BY ALL""")
 def report_pages(spark, sf):
     r = rd.parse_report_rows(pages_md(spark, sf), "content", "title", ["raw_id"])
-    total = lambda m: F.aggregate(F.map_values(m), F.lit(0), lambda a, v: a + v)
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("bigint"), lambda a, v: a + v)
     return r.withColumns({"n_kept": total("kept"), "n_released": total("released"), "n_unmapped": total("unmapped")})
 
 
@@ -145,7 +145,7 @@ def report_html(spark, sf):
     row = F.format_string("<table><tr><th>Boat</th><th>Trip</th><th>Counts</th></tr><tr><td><b>Vessel %d</b> H&amp;M Landing</td><td>%d Anglers %s</td><td>%s</td></tr></table>", "raw_id", "anglers", "trip_type_raw", "counts")
     doc = F.concat(F.lit("<html><script>var t='<h2>x</h2>';</script><h1>Dock Totals - "), F.date_format("report_date", "MMMM d, yyyy"), F.lit("</h1>"), head, row, F.lit("</html>"))
     r = rd.parse_report_html(t.select("raw_id", doc.alias("html")), "html", ["raw_id"])
-    return r.withColumn("n_kept", F.aggregate(F.map_values("kept"), F.lit(0), lambda a, v: a + v))
+    return r.withColumn("n_kept", F.aggregate(F.map_values("kept"), F.lit(0).cast("bigint"), lambda a, v: a + v))
 
 
 @query("s09_page_headings", "page_id l, position i, heading s", r"""
