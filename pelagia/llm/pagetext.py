@@ -121,7 +121,9 @@ def fit_weights(pages: DataFrame, sample: int = 500, kinds: int = 5000) -> dict[
     """Weights of tokens from at most ``sample`` pages, chosen by hash; the driver gets at most ``kinds`` counts."""
     arrow_batches(pages.sparkSession)
     chosen = pages.where(F.lower("html").contains("<article")).select(F.col("html").cast("string").alias("html"), F.xxhash64("page_id", "html").alias("order"))
-    counts = chosen.orderBy("order").limit(sample).select("html").mapInPandas(count_tokens, "kind string, inside long, outside long")
+    # only hashes are sorted; the pages at or below the last of them are read in place
+    last = chosen.select("order").orderBy("order").limit(sample).agg(F.max("order")).first()[0]
+    counts = chosen.where(F.col("order") <= F.lit(last)).select("html").mapInPandas(count_tokens, "kind string, inside long, outside long")
     rows = counts.groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
     rows = rows.orderBy(F.desc(F.col("inside") + F.col("outside")), "kind").limit(kinds).toPandas()
     if not len(rows):
