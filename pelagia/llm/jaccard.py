@@ -4,8 +4,8 @@ A text is its set of five-word shingles. Texts with equal sets are one class, re
 label of ``depth`` MinHash values in each of ``trees`` sorted prefix tries. The prefix that two labels must share starts at the full
 depth and is shortened until the expected recall at the threshold reaches ``recall``; labels that share it are in one bucket.
 
-In a bucket, members whose signatures agree enough are connected to a leader, one row each, not pair by pair; what is connected over
-all buckets is a group, and every pair of a group is verified exactly. Groups over ``block`` members are dealt out as pairs of
+In a bucket, members whose signatures agree enough are connected to a leader, one row each, not pair by pair. A bucket over ``block``
+members is dealt into shares, whose leaders meet in pairs of blocks. What is connected over all buckets is a group, and every pair of a group is verified exactly. Groups over ``block`` members are dealt out as pairs of
 blocks, so no task holds more than two blocks, and a task gives a count and one connection for each member, never its pairs.
 
 Defined results: words are runs of letters, digits and ``_``, lower-cased; a text with fewer than five words is one shingle of them all;
@@ -141,25 +141,73 @@ def runs(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFra
 
 
 def connect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per bucket: leaders and those close to them, as one connection (a, b) for each member that is close to an earlier one."""
-    out: list[tuple[int, int]] = []
-    for bucket in runs(batches, ["prefix"]):
-        ids = bucket.rep.to_numpy()
+    """Per share of a bucket: leaders and those close to them, as one connection (a, b) for each member that is close to an earlier one.
+
+    If the bucket has several shares, each leader is also given with its bucket (a = b), to be compared with those of other shares.
+    """
+    columns = ["prefix", "a", "b"]
+    out: list[tuple[int, int, int]] = []
+    for bucket in runs(batches, ["prefix", "share"]):
+        ids, prefix = bucket.rep.to_numpy(), int(bucket.prefix.iloc[0])
         sig = np.frombuffer(b"".join(bucket.signature), np.uint32).reshape(len(ids), -1)
         sets, leaders = Sets(len(ids)), np.zeros(len(ids), np.int64)
         n = 0
         for i in range(len(ids)):
-            share = (sig[leaders[:n]] == sig[i]).mean(1) if n else np.zeros(0)
-            for j in leaders[:n][share >= CLOSE].tolist():
+            alike = (sig[leaders[:n]] == sig[i]).mean(1) if n else np.zeros(0)
+            for j in leaders[:n][alike >= CLOSE].tolist():
                 sets.join(i, j)
-            if not (share >= SAME).any():
+            if not (alike >= SAME).any():
                 leaders[n] = i
                 n += 1
-        out += [(int(ids[i]), int(ids[sets.root(i)])) for i in range(len(ids)) if sets.root(i) != i]
+        out += [(prefix, int(ids[i]), int(ids[sets.root(i)])) for i in range(len(ids)) if sets.root(i) != i]
+        if bucket.shares.iloc[0] > 1:
+            out += [(prefix, int(ids[i]), int(ids[i])) for i in leaders[:n]]
         if len(out) > 20_000:
-            yield pd.DataFrame(out, columns=["a", "b"])
+            yield pd.DataFrame(out, columns=columns)
             out = []
-    yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+    yield pd.DataFrame(out, columns=columns, dtype=np.int64)
+
+
+def connect_leaders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per pair of blocks of a bucket's leaders: one connection (a, b) for each leader that is close to one of the other block.
+
+    Two members that agree on a share x have leaders that agree on x - 2 * (1 - SAME) or more, within a share of a bucket it is
+    x - (1 - SAME) against CLOSE; the bound here is lower by the difference, so a split bucket finds what a whole one does.
+    """
+    for part in runs(batches, ["prefix", "i", "j"]):
+        ids, side = part.rep.to_numpy(), part.side.to_numpy()
+        sig = np.frombuffer(b"".join(part.signature), np.uint32).reshape(len(ids), -1)
+        left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if part.i.iloc[0] != part.j.iloc[0] else (np.arange(len(ids)),) * 2
+        sets = Sets(len(ids))
+        for x in left.tolist():
+            for y in right[(sig[right] == sig[x]).mean(1) >= CLOSE - (1 - SAME)].tolist():
+                sets.join(x, y)
+        yield pd.DataFrame([(int(ids[x]), int(ids[sets.root(x)])) for x in range(len(ids)) if sets.root(x) != x], columns=["a", "b"], dtype=np.int64)
+
+
+def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows (key, rep, blocks, columns) dealt into pairs of blocks of their key: key, rep, columns, i, j and the row's side of the pair."""
+    own, other = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    parts = rows.select(key, "rep", *columns, own.alias("own"), other.alias("x"))
+    parts = parts.select(key, "rep", *columns, F.least("own", "x").alias("i"), F.greatest("own", "x").alias("j"), (F.col("own") > F.col("x")).cast("int").alias("side"))
+    return parts.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "rep")
+
+
+def bucket_edges(signed: DataFrame, signature: DataFrame) -> DataFrame:
+    """Connections (a, b) of members (prefix, n of its bucket, rep, signature).
+
+    A bucket of more than ``block`` members is dealt into shares of about that size; only the leaders of the shares meet again, in
+    pairs of blocks, so no task holds a whole bucket.
+    """
+    shares = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = signed.select("prefix", "rep", "signature", shares.alias("shares"), F.pmod(F.xxhash64(F.lit(7), "rep"), shares).cast("int").alias("share"))
+    first = dealt.repartition("prefix", "share").sortWithinPartitions("prefix", "share", "rep").mapInPandas(connect, "prefix long, a long, b long")
+    first = written(first, "bucket-connections")
+    leaders = first.where("a = b").select("prefix", F.col("a").alias("rep"))
+    counts = leaders.groupBy("prefix").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    met = leaders.join(counts, "prefix").join(signature, "rep")
+    second = in_blocks(met, "prefix", ["signature"]).mapInPandas(connect_leaders, "a long, b long")
+    return first.where("a <> b").select("a", "b").union(second).distinct()
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -220,20 +268,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = sketches.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     classes = written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("n_copies")), "shingle-classes")
     buckets = sketches.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), F.explode("prefixes").alias("prefix")).distinct()
-    shared = buckets.groupBy("prefix").agg(F.count("*").alias("n"), F.min("rep").alias("low")).where("n > 1").select("prefix")
+    shared = buckets.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1")
     members = written(buckets.join(shared, "prefix"), "bucket-members")
-    signed = members.join(sketches.select(F.col("doc_id").alias("rep"), "signature").dropDuplicates(["rep"]), "rep")
-    edges = signed.repartition("prefix").sortWithinPartitions("prefix", "rep").mapInPandas(connect, "a long, b long").distinct()
+    signature = sketches.select(F.col("doc_id").alias("rep"), "signature").dropDuplicates(["rep"])
+    edges = bucket_edges(members.join(signature, "rep"), signature)
     groups = components(edges)
     sizes = groups.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = groups.join(written(sizes, "group-sizes"), "label").select(F.col("label").alias("grp"), F.col("node").alias("rep"), "blocks",
-                                                                      F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
+    dealt = groups.join(written(sizes, "group-sizes"), "label").select(F.col("label").alias("grp"), F.col("node").alias("rep"), "blocks")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
     held = dealt.join(texts, "rep").dropDuplicates(["rep"])
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    parts = held.select("grp", "rep", "own", "text", other.alias("x"))
-    parts = parts.select("grp", "rep", "text", F.least("own", "x").alias("i"), F.greatest("own", "x").alias("j"), (F.col("own") > F.col("x")).cast("int").alias("side"))
-    found = parts.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "rep").mapInPandas(verify, "rep long, links long, to long")
+    found = in_blocks(held, "grp", ["text"]).mapInPandas(verify, "rep long, links long, to long")
     found = written(found, "verified")
     counts = found.groupBy("rep").agg(F.sum("links").alias("n_links"))
     linked = components(found.where("rep <> to").select(F.col("rep").alias("a"), F.col("to").alias("b")))
