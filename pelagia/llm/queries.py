@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .common import table
+from .oracles import host_graph_sql, template_leaks_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +105,7 @@ def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL["op2_host_graph"] = host_graph_sql(URL_ALLOW, URL_BLOCK)
+SQL["op10_template_leaks"] = template_leaks_sql()
