@@ -72,16 +72,15 @@ def curve_percentile(scores: DataFrame, curve: DataFrame, keys: list[str], score
                      out: str) -> DataFrame:
     """Share (in %) of the annual curve strictly below each score; null without a curve.
 
-    Both sides are merged in score order and curve points are counted on the way, so no score row
-    is paired with the curve. Scores sort before equal curve points, which makes "below" strict.
-    Partitions hold one row per day and key.
+    Curve points are counted below the distinct scores of a key only, of which one-decimal scores have a thousand at most; the
+    score rows themselves are joined to these shares and never sorted.
     """
-    tagged = scores.withColumns({"_s": F.col(score), "_is_curve": F.lit(0)})
-    points = curve.where(F.col(curve_score).isNotNull()).select(
-        *keys, F.col(curve_score).cast("double").alias("_s"), F.lit(1).alias("_is_curve"))
-    both = tagged.unionByName(points, allowMissingColumns=True)
+    value = F.col(score).cast("double")
+    points = curve.where(F.col(curve_score).isNotNull()).select(*keys, F.col(curve_score).cast("double").alias("_s"), F.lit(1).alias("_points"))
+    asked = scores.where(value.isNotNull()).select(*keys, value.alias("_s")).distinct().withColumn("_points", F.lit(0))
+    steps = asked.unionByName(points).groupBy(*keys, "_s").agg(F.sum("_points").alias("_points"))
     part = Window.partitionBy(*keys)
-    seen = F.sum("_is_curve").over(part.orderBy("_s", "_is_curve").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("_is_curve").over(part)
-    ranked = both.withColumn(out, F.when(F.col("_s").isNotNull() & (total > 0), F.round(seen / total * 100.0, 1)))
-    return ranked.where("_is_curve = 0").drop("_s", "_is_curve")
+    below = F.coalesce(F.sum("_points").over(part.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("_points").over(part)
+    shares = steps.select(*keys, "_s", F.when(total > 0, F.round(below / F.nullif(total, F.lit(0)) * 100.0, 1)).alias(out))
+    return scores.withColumn("_s", value).join(shares, [*keys, "_s"], "left").drop("_s")

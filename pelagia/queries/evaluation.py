@@ -192,7 +192,7 @@ def bootstrap(spark, sf):
 
 
 def gate(spark, sf):
-    return ver.assess_challenger(pairs(spark, sf), "v1.1-cal", priority_species=["ECONOMY", "SMALL", "LARGE"], priority_regions=["kelp_nearshore", "offshore_banks"], reps=100)
+    return ver.assess_challenger(pairs(spark, sf), "v1.1-cal", priority_species=["ECONOMY", "SMALL", "LARGE"], priority_regions=["kelp_nearshore", "offshore_banks"])
 
 
 part("p_gate_rows", "SELECT *, 'all' AS dimension, 'all' AS stratum FROM p_long UNION ALL SELECT *, 'species_id', species_id FROM p_long UNION ALL SELECT *, 'region_id', region_id FROM p_long UNION ALL SELECT *, 'lead_bucket', lead_bucket FROM p_long")

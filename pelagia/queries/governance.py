@@ -13,6 +13,7 @@ from ..streaming import jobs
 from . import effort as ef
 from . import evaluation as ev
 from . import inputs as i
+from .outlook import outlook
 from .registry import query
 from .sqlparts import part
 
@@ -40,29 +41,37 @@ def ranges(spark, sf):
     return ql.range_check(i.scores(spark, sf), ["score", "wind_kt", "vs_norm"])
 
 
-@query("q04_coverage", "rule s, ok b")
+@query("q04_coverage", "rule s, ok b", f"""
+  WITH c AS (SELECT count(DISTINCT zone_id) AS z, min(date) AS a, max(date) AS b, (SELECT max(date) FROM p_outlook) AS e FROM p_conditions)
+  SELECT 'zone_count' AS rule, z = (SELECT count(*) FROM nation) AS ok FROM c UNION ALL SELECT 'near_term_end', b >= DATE '{i.AS_OF_DAY}' + 6 FROM c
+  UNION ALL SELECT 'hindcast_start', a <= DATE '{i.AS_OF_DAY}' - 13 FROM c UNION ALL SELECT 'outlook_end', e >= DATE '{i.AS_OF_DAY}' + 30 FROM c""")
 def coverage(spark, sf):
-    from .outlook import outlook
     return ql.coverage_check(i.conditions(spark, sf), outlook(spark, sf), F.lit(i.AS_OF_DAY).cast("date"), 25)
 
 
 @query("q05_lead_rules", "rule s, n_bad l", """
-  SELECT unnest(['overlaps_near_term', 'tier_2_expected', 'tier_3_expected', 'far_wave_published', 'far_wind_published', 'far_sea_state_flag']) AS rule, 0 AS n_bad""")
+  WITH o AS (SELECT lead_days + CASE WHEN n_nationkey % 2 = 0 THEN -2 ELSE 3 END AS l, tier, wave_p, wind_p, published FROM p_outlook JOIN nation ON n_name = zone_id)
+  SELECT 'overlaps_near_term' AS rule, count(*) FILTER (l < 7) AS n_bad FROM o UNION ALL SELECT 'tier_2_expected', count(*) FILTER (l BETWEEN 7 AND 14 AND tier <> 2) FROM o
+  UNION ALL SELECT 'tier_3_expected', count(*) FILTER (l >= 15 AND tier <> 3) FROM o UNION ALL SELECT 'far_wave_published', count(*) FILTER (l >= 15 AND wave_p IS NOT NULL) FROM o
+  UNION ALL SELECT 'far_wind_published', count(*) FILTER (l >= 15 AND wind_p IS NOT NULL) FROM o UNION ALL SELECT 'far_sea_state_flag', count(*) FILTER (l >= 15 AND published) FROM o""")
 def lead_rules(spark, sf):
-    from .outlook import outlook
-    return ql.lead_rules(outlook(spark, sf))
+    # leads are moved, so that each rule is broken somewhere
+    zones = i.zones(spark, sf).select("zone_id", F.when(F.col("zone_no") % 2 == 0, -2).otherwise(3).alias("moved"))
+    return ql.lead_rules(outlook(spark, sf).join(zones, "zone_id").withColumn("lead_days", F.col("lead_days") + F.col("moved")))
 
 
-@query("q07_labels_without_evidence", "label_status s, n l", "SELECT label_status, count(*) AS n FROM p_labels WHERE label_status IN ('insufficient_effort', 'no_reference') AND observed_class IS NOT NULL GROUP BY 1")
+@query("q07_labels_without_evidence", "label_status s, n l", """
+  SELECT label_status, count(*) AS n FROM p_labels WHERE label_status IN ('insufficient_effort', 'no_reference') AND (observed_class IS NOT NULL OR day(fishing_date) % 2 = 1) GROUP BY 1""")
 def evidence(spark, sf):
-    return db.count_by(ql.labels_without_evidence(ef.labels(spark, sf)), "label_status")
+    # the label step gives no such class, so every odd day gets one
+    given = F.coalesce("observed_class", F.when(F.dayofmonth("fishing_date") % 2 == 1, "Fair"))
+    return db.count_by(ql.labels_without_evidence(ef.labels(spark, sf).withColumn("observed_class", given)), "label_status")
 
 
 @query("q09_lookahead", "issuance_id s, src_ts z", """
-  SELECT issuance_id, max(src) AS src_ts FROM (SELECT issuance_id, issue_utc, CAST(target_date AS TIMESTAMP) + INTERVAL 15 HOUR + INTERVAL 10 MINUTE AS src FROM p_ledger WHERE lead_days <= 2) WHERE src > issue_utc + INTERVAL 5 MINUTE GROUP BY 1""")
+  SELECT issuance_id, max(src) AS src_ts FROM (SELECT issuance_id, issue_utc, issue_utc + to_minutes(CAST(lead_days AS BIGINT)) AS src FROM p_ledger) WHERE src > issue_utc + INTERVAL 5 MINUTE GROUP BY 1""")
 def lookahead(spark, sf):
-    rows = ev.ledger(spark, sf).where("lead_days <= 2").withColumn(
-        "src_fetched", F.date_format(F.col("target_date").cast("timestamp") + F.expr("interval 15 hours 10 minutes"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    rows = ev.ledger(spark, sf).withColumn("src_fetched", F.date_format(F.col("issue_utc") + F.expr("make_dt_interval(0, 0, lead_days)"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     return led.lookahead(rows, ["src_fetched"])
 
 
@@ -72,7 +81,9 @@ def far_values(spark, sf):
 
 
 @query("q12_copies_agree", "table_name s, n_left l, n_right l, same_content b", """
-  SELECT 'supplier' AS table_name, count(*) AS n_left, count(*) AS n_right, true AS same_content FROM supplier UNION ALL SELECT 'orders', count(*), count(*), false FROM orders""")
+  WITH shifted AS (SELECT * REPLACE (CASE WHEN o_orderkey = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders), again AS (SELECT * FROM supplier ORDER BY s_name DESC)
+  SELECT 'supplier' AS table_name, (SELECT count(*) FROM supplier) AS n_left, (SELECT count(*) FROM again) AS n_right, NOT EXISTS (SELECT * FROM supplier EXCEPT ALL SELECT * FROM again) AS same_content
+  UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), (SELECT count(*) FROM shifted), NOT EXISTS (SELECT * FROM orders EXCEPT ALL SELECT * FROM shifted)""")
 def copies(spark, sf):
     s, o = i.table(spark, sf, "supplier"), i.table(spark, sf, "orders")
     shifted = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
@@ -82,12 +93,12 @@ def copies(spark, sf):
 @query("q13_status_upsert", "source_identifier s, last_attempted_fetch_utc z, last_successful_fetch_utc z, newest_valid_source_timestamp z, freshness s", """
   SELECT 'u' || coalesce(p.user_id, a.user_id) AS source_identifier, coalesce(a.att, p.att) AS last_attempted_fetch_utc, coalesce(CASE WHEN a.ok THEN a.att END, p.suc) AS last_successful_fetch_utc,
     coalesce(a.newest, p.newest) AS newest_valid_source_timestamp, CASE WHEN a.user_id IS NULL THEN 'fresh' WHEN a.ok THEN 'fresh' ELSE 'failed' END AS freshness
-  FROM (SELECT user_id, max(ts) AS att, max(ts) AS suc, max(ts) FILTER (event_type <> 'error') AS newest FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1) p
+  FROM (SELECT user_id, max(ts) AS att, max(ts) AS suc, max(ts) FILTER (event_type <> 'error') AS newest FROM events WHERE ts < TIMESTAMP '2024-01-28' GROUP BY 1) p
   FULL JOIN (SELECT user_id, max(ts) AS att, bool_and(event_type <> 'error') AS ok, max(ts) FILTER (event_type <> 'error') AS newest FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1) a ON a.user_id = p.user_id""")
 def status_upsert(spark, sf):
     e = i.events(spark, sf).withColumn("source_identifier", F.concat(F.lit("u"), F.col("user_id").cast("string")))
     good = F.col("event_type") != "error"
-    prev = e.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp")).groupBy("source_identifier").agg(
+    prev = e.where(F.col("ts") < F.lit("2024-01-28").cast("timestamp")).groupBy("source_identifier").agg(
         F.max("ts").alias("last_attempted_fetch_utc"), F.max("ts").alias("last_successful_fetch_utc"), F.max(F.when(good, F.col("ts"))).alias("newest_valid_source_timestamp"),
         F.lit("fresh").alias("freshness"), F.lit(False).alias("used_cached_data"), F.lit(None).cast("string").alias("error"))
     att = e.where(F.col("ts") >= F.lit("2024-01-28").cast("timestamp")).groupBy("source_identifier").agg(
@@ -143,7 +154,9 @@ def append_versions(spark, sf):
     return spark.read.parquet(path).groupBy("raw_id", "report_date").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("k03_ledger_append_verify", "issuance_id s, seq l, n_rows l, lead_min i, lead_max i")
+@query("k03_ledger_append_verify", "issuance_id s, seq l, n_rows l, lead_min i, lead_max i", """
+  SELECT issuance_id, row_number() OVER (ORDER BY count(*) DESC, issuance_id) - 1 AS seq, count(*) AS n_rows, min(lead_days) AS lead_min, max(lead_days) AS lead_max
+  FROM p_ledger GROUP BY 1 ORDER BY count(*) DESC, issuance_id LIMIT 2""")
 def ledger_append(spark, sf):
     """Record the two largest issuances, once each although each is offered twice."""
     path = fresh_path(spark, "ledger_store")
@@ -155,7 +168,8 @@ def ledger_append(spark, sf):
     return spark.read.parquet(f"{path}/index")
 
 
-@query("k04_export_records", "l_returnflag s, record s")
+@query("k04_export_records", "l_returnflag s, record s", """
+  SELECT l_returnflag, CAST(to_json({'l_returnflag': l_returnflag, 'n': count(*)}) AS VARCHAR) AS record FROM lineitem GROUP BY 1""")
 def export(spark, sf):
     d = db.count_by(i.table(spark, sf, "lineitem"), "l_returnflag")
     return d.select("l_returnflag", F.to_json(F.struct("l_returnflag", "n")).alias("record"))

@@ -51,9 +51,10 @@ def listed(spark, sf):
     return i.table(spark, sf, "orders").join(r, "o_orderkey", "left_semi")
 
 
-@query("u07_key_difference", "c_custkey l", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("u07_key_difference", "c_custkey l", """
+  SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def difference(spark, sf):
-    c, o = i.table(spark, sf, "customer").select("c_custkey"), i.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    c, o = i.table(spark, sf, "customer").select("c_custkey"), i.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return dedup.lost_rows(c, o, ["c_custkey"])
 
 

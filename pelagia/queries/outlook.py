@@ -18,16 +18,16 @@ TODAY = i.AS_OF_DAY
 PRODUCT_KEYS = {0: "cpc_814_temp", 1: "cpc_wk34_temp", 2: "cpc_month_temp", 3: "cpc_season_temp"}
 
 
-# sampled products: one per region 0..3, category and probability from the region's mean discount
-part("p_samples", """SELECT CASE n_regionkey WHEN 0 THEN 'cpc_814_temp' WHEN 1 THEN 'cpc_wk34_temp' WHEN 2 THEN 'cpc_month_temp' ELSE 'cpc_season_temp' END AS product,
-  CASE WHEN n_regionkey % 2 = 0 THEN 'Above' ELSE 'Below' END AS cat, 33.3::DOUBLE + 4 * (sum(disc) / sum(n)) AS prob FROM p_zone_raw JOIN nation ON n_name = zone_id WHERE n_regionkey < 4 GROUP BY 1, 2""")
+# sampled products: regions modulo 4, category and probability from their mean discount
+part("p_samples", """SELECT CASE n_regionkey % 4 WHEN 0 THEN 'cpc_814_temp' WHEN 1 THEN 'cpc_wk34_temp' WHEN 2 THEN 'cpc_month_temp' ELSE 'cpc_season_temp' END AS product,
+  CASE WHEN n_regionkey % 4 % 2 = 0 THEN 'Above' ELSE 'Below' END AS cat, 33.3::DOUBLE + 4 * (sum(disc) / sum(n)) AS prob FROM p_zone_raw JOIN nation ON n_name = zone_id GROUP BY 1, 2""")
 part("p_products", """SELECT product, cat, prob, v.*, round(CASE cat WHEN 'Above' THEN 1.0 WHEN 'Below' THEN -1.0 ELSE 0.0 END * greatest(0.0, (prob - 33.3) / 66.7) * scale, 3) AS signal_f FROM p_samples
   JOIN (VALUES ('cpc_814_temp', 7, 14, 1, 0.55::DOUBLE, 1.6::DOUBLE), ('cpc_wk34_temp', 15, 28, 1, 0.32, 1.1), ('cpc_month_temp', 0, 30, 2, 0.20, 0.8), ('cpc_season_temp', 0, 30, 3, 0.15, 0.6)) v(pname, lead_from, lead_to, prio, weight, scale) ON v.pname = product""")
 part("p_by_lead", """SELECT CAST(l AS INT) AS lead_days, p.* FROM (SELECT unnest(range(0, 31)) AS l) JOIN p_products p ON l BETWEEN lead_from AND lead_to QUALIFY row_number() OVER (PARTITION BY l ORDER BY prio, product) = 1""")
 
 
 def samples(spark, sf):
-    z = i.zone_raw(spark, sf).join(i.zones(spark, sf).select("zone_id", "region_no"), "zone_id").where("region_no < 4")
+    z = i.zone_raw(spark, sf).join(i.zones(spark, sf).select("zone_id", (F.col("region_no") % 4).alias("region_no")), "zone_id")
     g = z.groupBy("region_no").agg((F.sum("disc") / F.sum("n")).alias("m"))
     names = F.create_map(*[F.lit(x) for kv in PRODUCT_KEYS.items() for x in kv])
     return g.select(F.element_at(names, F.col("region_no").cast("int")).alias("product"), F.when(F.col("region_no") % 2 == 0, "Above").otherwise("Below").alias("cat"), (33.3 + 4 * F.col("m")).alias("prob"))

@@ -124,11 +124,14 @@ def decimated(spark, sf):
     return db.decimate_curve(i.curve(spark, sf))
 
 
-@query("dash_opportunity_matrix", "species_id s, NATION_1 d1, NATION_2 d1, NATION_3 d1", """
-  SELECT species_id, max(score) FILTER (zone_id = 'NATION_1') AS NATION_1, max(score) FILTER (zone_id = 'NATION_2') AS NATION_2, max(score) FILTER (zone_id = 'NATION_3') AS NATION_3
+_zones = [f"NATION_{k}" for k in range(25)]
+
+
+@query("dash_opportunity_matrix", "species_id s, " + ", ".join(f"{z} d1" for z in _zones), f"""
+  SELECT species_id, {", ".join(f"max(score) FILTER (zone_id = '{z}') AS {z}" for z in _zones)}
   FROM p_scores WHERE date = DATE '2001-06-15' AND score IS NOT NULL GROUP BY 1""")
 def matrix(spark, sf):
-    return db.opportunity_matrix(scores(spark, sf), F.lit("2001-06-15").cast("date"), ["NATION_1", "NATION_2", "NATION_3"])
+    return db.opportunity_matrix(scores(spark, sf), F.lit("2001-06-15").cast("date"), _zones)
 
 
 part("p_contrib", """SELECT date, zone_id, species_id, unnest([""" + ", ".join(

@@ -29,8 +29,8 @@ def get_spark(app: str = "pelagia", master: str | None = None, **conf) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only where the setting is absent (single-machine tests) is a fresh temporary folder chosen,
-    once per session.
+    Only on a single machine, and only where the setting is absent, is a fresh temporary folder
+    chosen, once per session; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="pelagia-"))
     return sc.getCheckpointDir()
 
