@@ -60,7 +60,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a passage of a benchmark item, re-parameterised ones too."""
-    leaks = templates.contaminated(docs, common.table(spark, sf_dir, "benchmark"))
+    leaks = templates.leaks(docs, common.table(spark, sf_dir, "benchmark"))
     return keep_by_id(docs, common.written(leaks.select("doc_id").distinct(), "rejected"), "left_anti")
 
 

@@ -97,8 +97,8 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .templates import contaminated
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    from .templates import leaks
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @query

@@ -3,9 +3,8 @@ r"""Benchmark decontamination by template canonicalisation, in DataFrame functio
 Numbers, names (capitalised words inside a sentence) and units after a number become typed placeholders. Windows of ``size``
 placeholders and lower-case words of every document are joined by hash to those of the benchmark items; an item shorter than that is
 one window of its own length, one shorter than ``least`` words is left out, as is a window with fewer than ``least`` plain words.
-Matched windows with the same shift between document and item form a passage. A passage counts if its slots are
-consistent: each value of the item stands for one value in the document and the other way round. A passage whose values are
-all the item's own is ``exact``, else the question has been ``reparameterised``.
+A matched window counts if each value of the item stands for one value in the document. Counted windows with the same shift between
+document and item form a passage; one whose values are all the item's own is ``exact``, else the question has been ``reparameterised``.
 
 The document side is never shuffled unless the benchmark is too large to broadcast: only hashes leave a text, and only matches go on.
 
@@ -93,19 +92,40 @@ def item_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
     return rows.where(F.col("size") - F.coalesce(F.size("item_slots"), F.lit(0)) >= least).distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5) -> DataFrame:
-    """doc_id, item_id, n_windows (matched window places) and kind of every document that holds a passage of an item."""
+def window_hits(docs: DataFrame, benchmark: DataFrame, size: int, least: int) -> DataFrame:
+    """doc_id, item_id, at, shift and slots of both sides of every window that a document shares with an item."""
     items = written(item_windows(benchmark, size, least), "item-windows")
     sizes = sorted(r.size_ for r in items.select(F.col("size").alias("size_")).distinct().collect())  # at most ``size`` numbers
     found = F.explode(windows_of(template_words(F.col("text")), sizes or [size]))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("w")).select("doc_id", "w.hash", "w.slots", "w.at")
     hits = rows.join(items, "hash").where(F.coalesce(F.size("slots"), F.lit(0)) == F.coalesce(F.size("item_slots"), F.lit(0)))
-    hits = hits.select("doc_id", "item_id", "at", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "item_slots").distinct()
-    # a slot pair is (item's value, document's value); sets of one passage are bounded by the length of the item
-    pairs = F.when(F.size("slots") > 0, F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-    passages = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    return hits.select("doc_id", "item_id", "at", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "item_slots").distinct()
+
+
+def slot_pairs() -> Column:
+    """Distinct (item's value, document's value) of a window; null without slots."""
+    return F.when(F.size("slots") > 0, F.array_distinct(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5) -> DataFrame:
+    """doc_id, item_id, n_windows (matched window places) and kind of every document that holds a passage whose slots are one-to-one
+    throughout: what the SQL counterpart says. ``leaks`` also finds passages that keep to this in parts only."""
+    hits = window_hits(docs, benchmark, size, least)
+    # sets of one passage are bounded by the length of the item
+    passages = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set(slot_pairs()))).alias("pairs"))
     n = F.size("pairs")
     one_to_one = (F.size(F.array_distinct("pairs.a")) == n) & (F.size(F.array_distinct("pairs.b")) == n)
     exact = ~F.exists("pairs", lambda p: p.a != p.b)
     sound = passages.where(one_to_one).select("doc_id", "item_id", "n", exact.alias("exact"))
     return sound.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), F.when(F.max("exact"), "exact").otherwise("reparameterised").alias("kind"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5) -> DataFrame:
+    """doc_id, item_id, n_windows (matched window places) and kind of every document that shares a window with an item in which each
+    value of the item stands for one value in the document. Windows are judged one by one; ``exact`` needs a passage of own values only."""
+    pairs = F.coalesce(slot_pairs(), F.array().cast("array<struct<a:string,b:string>>"))
+    hits = window_hits(docs, benchmark, size, least).select("doc_id", "item_id", "at", "shift", pairs.alias("pairs"))
+    sound = hits.where(F.size(F.array_distinct("pairs.a")) == F.size("pairs"))
+    places = sound.groupBy("doc_id", "item_id", "shift", "at").agg(F.max(~F.exists("pairs", lambda p: p.a != p.b)).alias("exact"))
+    passages = places.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.min("exact").alias("exact"))
+    return passages.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), F.when(F.max("exact"), "exact").otherwise("reparameterised").alias("kind"))

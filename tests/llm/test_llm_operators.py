@@ -192,6 +192,21 @@ def test_template_windows(spark, odd):
     assert templates.contaminated(odd, bench.limit(0)).count() == 0 and templates.contaminated(odd.limit(0), bench).count() == 0
 
 
+def test_template_windows_are_judged_one_by_one(spark):
+    rng = random.Random(5)
+    plain = [f"w{''.join(rng.choices('abcdefgh', k=5))}" for _ in range(43)]
+    plain[8:8], plain[30:30] = ["Anna", "12"], ["Anna", "12"]
+    item = "Start " + " ".join(plain)
+    one_number, one_name = (item[::-1].replace(old[::-1], new[::-1], 1)[::-1] for old, new in (("12", "13"), ("Anna", "Hanna")))
+    twice = item[::-1].replace("12"[::-1], "5"[::-1], 1)[::-1]
+    question = "what do 5 pens and 12 cups cost if each one of them is cheap"
+    rows = [(1, one_number, None), (2, one_name, None), (3, twice, None), (4, question.replace("12", "7").replace("5", "7"), None), (5, question, None)]
+    bench = spark.createDataFrame([(1, item), (2, question), (3, "what do 5 pens and 5 cups cost if all of them are cheap")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.kind, r.n_windows) for r in templates.leaks(docs_of(spark, rows), bench).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(1, 1): "reparameterised", (2, 1): "reparameterised", (3, 1): "reparameterised", (4, 2): "reparameterised", (5, 2): "exact"}
+    assert got[1, 1][1] == len(item.split()) - 12
+
+
 def test_ids_equal_the_tokenizers_file():
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
