@@ -2,7 +2,7 @@ r"""Benchmark decontamination by template canonicalisation, in DataFrame functio
 
 Numbers, names (capitalised words inside a sentence) and units after a number become typed placeholders. Windows of ``size``
 placeholders and lower-case words of every document are joined by hash to those of the benchmark items; an item shorter than that is
-one window of its own length, one shorter than ``least`` words is left out, as is a window with fewer than ``least`` plain words.
+one window of its own length. Windows are also joined as written; one with fewer than ``least`` plain words is joined in this form only.
 A matched window counts if each value of the item stands for one value in the document. Counted windows with the same shift between
 document and item form a passage; one whose values are all the item's own is ``exact``, else the question has been ``reparameterised``.
 
@@ -14,6 +14,8 @@ value of its own; empty tables give an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,14 +94,16 @@ def item_windows(benchmark: DataFrame, size: int, least: int) -> DataFrame:
     return rows.where(F.col("size") - F.coalesce(F.size("item_slots"), F.lit(0)) >= least).distinct()
 
 
-def window_hits(docs: DataFrame, benchmark: DataFrame, size: int, least: int) -> DataFrame:
-    """doc_id, item_id, at, shift and slots of both sides of every window that a document shares with an item."""
-    items = written(item_windows(benchmark, size, least), "item-windows")
+def window_hits(docs: DataFrame, items: DataFrame, size: int, windows: Callable[[Column, list[int]], Column]) -> DataFrame:
+    """doc_id, item_id, at, shift and slots of both sides of every window that a document shares with an item; whether the forms are
+    own ones, if the windows say so."""
+    items = written(items, "item-windows")
     sizes = sorted(r.size_ for r in items.select(F.col("size").alias("size_")).distinct().collect())  # at most ``size`` numbers
-    found = F.explode(windows_of(template_words(F.col("text")), sizes or [size]))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("w")).select("doc_id", "w.hash", "w.slots", "w.at")
+    found = F.explode(windows(template_words(F.col("text")), sizes or [size]))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("w")).select("doc_id", "w.*")
     hits = rows.join(items, "hash").where(F.coalesce(F.size("slots"), F.lit(0)) == F.coalesce(F.size("item_slots"), F.lit(0)))
-    return hits.select("doc_id", "item_id", "at", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "item_slots").distinct()
+    own = [(F.col("own") & F.col("item_own")).alias("own")] if "item_own" in items.columns else []
+    return hits.select("doc_id", "item_id", "at", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "item_slots", *own).distinct()
 
 
 def slot_pairs() -> Column:
@@ -110,7 +114,7 @@ def slot_pairs() -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5) -> DataFrame:
     """doc_id, item_id, n_windows (matched window places) and kind of every document that holds a passage whose slots are one-to-one
     throughout: what the SQL counterpart says. ``leaks`` also finds passages that keep to this in parts only."""
-    hits = window_hits(docs, benchmark, size, least)
+    hits = window_hits(docs, item_windows(benchmark, size, least), size, windows_of)
     # sets of one passage are bounded by the length of the item
     passages = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set(slot_pairs()))).alias("pairs"))
     n = F.size("pairs")
@@ -120,12 +124,65 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: i
     return sound.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), F.when(F.max("exact"), "exact").otherwise("reparameterised").alias("kind"))
 
 
+def word_forms(words: Column) -> Column:
+    """What the windows of a text are made of: hashes of the words as written and as templates, and the slots, null if there are none."""
+    written_out = F.transform(words, lambda w: F.xxhash64(F.when(w < PLAIN, F.substring(w, 2, 1 << 30)).otherwise(w)))
+    slots = slot_words(words)
+    return F.struct(F.when(slots.isNotNull(), written_out).alias("literal"), word_hashes(words).alias("typed"), slots.alias("slots"))
+
+
+def window_forms(x: Column, at: Column, size: int, least: int) -> Column:
+    """array<struct<hash, slots, at, own>>: the window as written and, with ``least`` plain words, as a template, which is ``own``. A
+    window without slots has one form."""
+    def take(name: str) -> list[Column]:
+        return [x[name][at + k] for k in range(size)]
+
+    def form(hashes: list[Column], slots: Column, own: bool) -> Column:
+        return F.struct(F.xxhash64(*hashes).alias("hash"), slots.alias("slots"), at.alias("at"), F.lit(own).alias("own"))
+
+    none = F.lit(None).cast("array<string>")
+    literal = F.array(form(take("literal"), none, False))
+
+    def typed(slots: Column) -> Column:
+        return F.when(size - F.size(slots) >= least, F.array(form(take("typed"), slots, True))).otherwise(F.array().cast("array<struct<hash:bigint,slots:array<string>,at:int,own:boolean>>"))
+
+    marked = F.concat(literal, let(F.array_compact(F.array(*take("slots"))), typed)) if size >= least else literal
+    return F.when(F.coalesce(*take("slots")).isNull(), F.array(form(take("typed"), none, size >= least))).otherwise(marked)
+
+
+def all_forms(words: Column, sizes: list[int], least: int) -> Column:
+    """array<struct<hash, slots, at, own>> of all forms of all windows of a text."""
+    def sized(x: Column, size: int) -> Column:
+        n = F.size(x.typed)
+        places = F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(places, lambda i: window_forms(x, i, size, least)))
+
+    def of(x: Column) -> Column:
+        return F.concat(*[sized(x, size) for size in sizes])
+
+    return let(words, lambda w: let(word_forms(w), of))
+
+
+def item_forms(benchmark: DataFrame, size: int, least: int) -> DataFrame:
+    """item_id, size, hash, item_slots, item_at, item_own of all forms of the windows of every item with a word."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_words(F.col("text")).alias("words"))
+    items = items.withColumn("size", F.least(F.lit(size), F.size("words")))
+    rows = None
+    for n in range(1, size + 1):
+        found = items.where(F.col("size") == n).select("item_id", "size", F.explode(all_forms(F.col("words"), [n], least)).alias("w"))
+        rows = found if rows is None else rows.unionByName(found)
+    return rows.select("item_id", "size", "w.hash", F.col("w.slots").alias("item_slots"), F.col("w.at").alias("item_at"), F.col("w.own").alias("item_own")).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5) -> DataFrame:
-    """doc_id, item_id, n_windows (matched window places) and kind of every document that shares a window with an item in which each
-    value of the item stands for one value in the document. Windows are judged one by one; ``exact`` needs a passage of own values only."""
+    """doc_id, item_id, n_windows and kind of every document that shares a window with an item, as written or as a template in which
+    each value of the item stands for one value in the document. Windows are judged one by one; ``exact`` needs a passage of own values
+    only. n_windows is the number of places that match as templates; if there is none, of those that match in another form."""
+    hits = window_hits(docs, item_forms(benchmark, size, least), size, lambda words, sizes: all_forms(words, sizes, least))
     pairs = F.coalesce(slot_pairs(), F.array().cast("array<struct<a:string,b:string>>"))
-    hits = window_hits(docs, benchmark, size, least).select("doc_id", "item_id", "at", "shift", pairs.alias("pairs"))
-    sound = hits.where(F.size(F.array_distinct("pairs.a")) == F.size("pairs"))
-    places = sound.groupBy("doc_id", "item_id", "shift", "at").agg(F.max(~F.exists("pairs", lambda p: p.a != p.b)).alias("exact"))
-    passages = places.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.min("exact").alias("exact"))
-    return passages.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), F.when(F.max("exact"), "exact").otherwise("reparameterised").alias("kind"))
+    sound = hits.select("doc_id", "item_id", "at", "shift", "own", pairs.alias("pairs")).where(F.size(F.array_distinct("pairs.a")) == F.size("pairs"))
+    exact = ~F.exists("pairs", lambda p: p.a != p.b)
+    places = sound.groupBy("doc_id", "item_id", "shift", "at").agg(F.max(exact).alias("exact"), F.max(F.col("own").cast("long")).alias("own"))
+    passages = places.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.sum("own").alias("n_own"), F.min("exact").alias("exact"))
+    n = F.coalesce(F.nullif(F.sum("n_own"), F.lit(0)), F.sum("n"))
+    return passages.groupBy("doc_id", "item_id").agg(n.alias("n_windows"), F.when(F.max("exact"), "exact").otherwise("reparameterised").alias("kind"))

@@ -207,6 +207,14 @@ def test_template_windows_are_judged_one_by_one(spark):
     assert got[1, 1][1] == len(item.split()) - 12
 
 
+def test_short_and_numeric_items_are_found_as_written(spark):
+    items = ["What is 12 + 30 * 5 - 8?", "Compute 17 times 23 minus 4.", " ".join(str(7 * k + 1) for k in range(15)), "Prove it", "   "]
+    rows = [(k, f"some words. {t} other words.", None) for k, t in enumerate(items)] + [(9, items[0].replace("30", "31") + " " + items[1].replace("4", "5") + " prove this", None)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.kind, r.n_windows) for r in templates.leaks(docs_of(spark, rows), bench).collect())
+    assert got == [(0, 0, "exact", 1), (1, 1, "exact", 1), (2, 2, "exact", 3), (3, 3, "exact", 1)]
+
+
 def test_ids_equal_the_tokenizers_file():
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
