@@ -2,7 +2,8 @@ r"""Benchmark decontamination by template canonicalisation, in DataFrame functio
 
 Numbers, names (capitalised words inside a sentence) and units after a number become typed placeholders. Windows of ``size``
 placeholders and lower-case words of every document are joined by hash to those of the benchmark items; an item shorter than that is
-one window of its own length. Windows are also joined as written; one with fewer than ``least`` plain words is joined in this form only.
+one window of its own length. Windows are also joined as written, with names as written and with line breaks and several blanks read
+as one blank, so case and wrapping of a copy do not matter; one with fewer than ``least`` plain words is joined in this form only.
 A matched window counts if each value of the item stands for one value in the document. Counted windows with the same shift between
 document and item form a passage; one whose values are all the item's own is ``exact``, else the question has been ``reparameterised``.
 
@@ -33,6 +34,13 @@ NUMBER = r"(?<![\p{L}\p{N}_])[0-9][0-9_]*(?:st|nd|rd|th)?(?![\p{L}\p{N}_])"
 UNIT = r"(?<=\x02[0-9_]{1,40} ?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
 BETWEEN = r"[^\p{L}\p{N}_\x01-\x03]+"
 
+# The same for folded white space: a name or unit that only counts as one when a line break or several blanks are read as one.
+WIDE_NAME_MARK, WIDE_UNIT_MARK, WIDE_BLANK, WIDE_PLAIN = "\x04", "\x05", "\x06", "\x06"
+WIDE = r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]"
+WIDE_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;]\x06 \p{Lu})\p{Ll}+(?![\p{L}\p{N}])"
+WIDE_UNIT = UNIT.replace(" ?)", "\x06 )", 1)
+WIDE_BETWEEN = BETWEEN.replace("\\x03", "\\x05")
+
 
 def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once for a row, however often the body names it."""
@@ -99,7 +107,7 @@ def window_hits(docs: DataFrame, items: DataFrame, size: int, windows: Callable[
     own ones, if the windows say so."""
     items = written(items, "item-windows")
     sizes = sorted(r.size_ for r in items.select(F.col("size").alias("size_")).distinct().collect())  # at most ``size`` numbers
-    found = F.explode(windows(template_words(F.col("text")), sizes or [size]))
+    found = F.explode(windows(F.col("text"), sizes or [size]))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("w")).select("doc_id", "w.*")
     hits = rows.join(items, "hash").where(F.coalesce(F.size("slots"), F.lit(0)) == F.coalesce(F.size("item_slots"), F.lit(0)))
     own = [(F.col("own") & F.col("item_own")).alias("own")] if "item_own" in items.columns else []
@@ -114,7 +122,7 @@ def slot_pairs() -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5) -> DataFrame:
     """doc_id, item_id, n_windows (matched window places) and kind of every document that holds a passage whose slots are one-to-one
     throughout: what the SQL counterpart says. ``leaks`` also finds passages that keep to this in parts only."""
-    hits = window_hits(docs, item_windows(benchmark, size, least), size, windows_of)
+    hits = window_hits(docs, item_windows(benchmark, size, least), size, lambda text, sizes: windows_of(template_words(text), sizes))
     # sets of one passage are bounded by the length of the item
     passages = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set(slot_pairs()))).alias("pairs"))
     n = F.size("pairs")
@@ -124,30 +132,73 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: i
     return sound.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), F.when(F.max("exact"), "exact").otherwise("reparameterised").alias("kind"))
 
 
+def folded_words(text: Column) -> Column:
+    """Lower-case words as in ``template_words``; names and units after other white space than one blank have marks of their own."""
+    clean = F.translate(F.coalesce(text.cast("string"), F.lit("")), "\x01\x02\x03\x04\x05\x06_", "       ")
+    clean = F.replace(F.replace(clean, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS"))
+
+    def marked(named: Column) -> Column:
+        joined = F.regexp_replace(F.lower(named), SEPARATOR, "_")
+        counted = F.regexp_replace(F.regexp_replace(F.regexp_replace(joined, NUMBER, NUMBER_MARK + "$0"), UNIT, UNIT_MARK + "$0"), WIDE_UNIT, WIDE_UNIT_MARK + "$0")
+        return F.when(F.rlike(named, F.lit("[0-9]")), counted).otherwise(F.lower(named))
+
+    folded = F.regexp_replace(clean, WIDE, WIDE_BLANK + " ")
+    named = F.regexp_replace(F.regexp_replace(folded, NAME, NAME_MARK + "$0"), WIDE_NAME, WIDE_NAME_MARK + "$0")
+    return F.array_remove(F.split(let(named, marked), WIDE_BETWEEN), "")
+
+
 def word_forms(words: Column) -> Column:
-    """What the windows of a text are made of: hashes of the words as written and as templates, and the slots, null if there are none."""
-    written_out = F.transform(words, lambda w: F.xxhash64(F.when(w < PLAIN, F.substring(w, 2, 1 << 30)).otherwise(w)))
-    slots = slot_words(words)
-    return F.struct(F.when(slots.isNotNull(), written_out).alias("literal"), word_hashes(words).alias("typed"), slots.alias("slots"))
+    """What the windows of a text are made of, null but ``typed`` if it has no slot: hashes of the words as written, as templates, as
+    templates with folded white space, and as such with names as written; and the slots of the last three."""
+    def bare(w: Column) -> Column:
+        return F.substring(w, 2, 1 << 30)
+
+    def kind(w: Column) -> Column:
+        return F.translate(F.substring(w, 1, 1), WIDE_NAME_MARK + WIDE_UNIT_MARK, NAME_MARK + UNIT_MARK)
+
+    def of(w: Column) -> Column:
+        any_mark = w < WIDE_PLAIN
+        typed = F.when(w < PLAIN, F.substring(w, 1, 1)).when(any_mark, bare(w)).otherwise(w)
+        folded = F.when(any_mark, kind(w)).otherwise(w)
+        numbered = F.when(any_mark & (kind(w) != NAME_MARK), kind(w)).when(any_mark, bare(w)).otherwise(w)
+        slot = F.when(any_mark, F.concat(kind(w), bare(w)))
+        return F.struct(
+            F.xxhash64(F.when(any_mark, bare(w)).otherwise(w)).alias("literal"), F.xxhash64(typed).alias("typed"), F.xxhash64(folded).alias("folded"), F.xxhash64(numbered).alias("numbered"),
+            F.when(w < PLAIN, w).alias("slots"), slot.alias("folded_slots"), F.when(kind(w) != NAME_MARK, slot).alias("numbered_slots"))
+
+    names = ["literal", "folded", "numbered", "slots", "folded_slots", "numbered_slots"]
+    plain = F.struct(F.transform(words, lambda w: F.xxhash64(w)).alias("typed"), *[F.lit(None).cast("array<string>" if "slots" in k else "array<long>").alias(k) for k in names])
+    full = let(F.transform(words, of), lambda x: F.struct(x["typed"].alias("typed"), *[x[k].alias(k) for k in names]))
+    return F.when(F.exists(words, lambda w: w < WIDE_PLAIN), full).otherwise(plain)
 
 
 def window_forms(x: Column, at: Column, size: int, least: int) -> Column:
-    """array<struct<hash, slots, at, own>>: the window as written and, with ``least`` plain words, as a template, which is ``own``. A
-    window without slots has one form."""
+    """array<struct<hash, slots, at, own>>: the window as written and, with ``least`` plain words, as templates: the ``own`` one, with
+    white space folded, so with names as written, and so with its first word as written, which opens a sentence in the item. A window
+    without slots has one form."""
     def take(name: str) -> list[Column]:
         return [x[name][at + k] for k in range(size)]
 
     def form(hashes: list[Column], slots: Column, own: bool) -> Column:
         return F.struct(F.xxhash64(*hashes).alias("hash"), slots.alias("slots"), at.alias("at"), F.lit(own).alias("own"))
 
-    none = F.lit(None).cast("array<string>")
-    literal = F.array(form(take("literal"), none, False))
+    def typed(name: str, slots: str, own: bool, when: Column, first: int = 0) -> Column:
+        def of(found: Column) -> Column:
+            return F.when(when & (size - F.size(found) >= least), form(take("literal")[:first] + take(name)[first:], F.when(F.size(found) > 0, found), own))
 
-    def typed(slots: Column) -> Column:
-        return F.when(size - F.size(slots) >= least, F.array(form(take("typed"), slots, True))).otherwise(F.array().cast("array<struct<hash:bigint,slots:array<string>,at:int,own:boolean>>"))
+        return let(F.array_compact(F.array(*take(slots)[first:])), of)
 
-    marked = F.concat(literal, let(F.array_compact(F.array(*take("slots"))), typed)) if size >= least else literal
-    return F.when(F.coalesce(*take("slots")).isNull(), F.array(form(take("typed"), none, size >= least))).otherwise(marked)
+    none = F.lit(None).cast("array<string>")
+    literal = form(take("literal"), none, False)
+    if size < least:
+        marked = F.array(literal)
+    else:
+        wide = F.exists(F.array(*[~a.eqNullSafe(b) for a, b in zip(take("slots"), take("folded_slots"))]), lambda d: d)
+        named = F.exists(F.array(*[a.eqNullSafe(b) for a, b in zip(take("numbered_slots"), take("folded_slots"))]), lambda same: ~same)
+        first = x["folded_slots"][at].isNotNull() & x["numbered_slots"][at].isNull()
+        marked = F.array_compact(F.array(literal, typed("typed", "slots", True, F.lit(True)), typed("folded", "folded_slots", False, wide),
+                                         typed("numbered", "numbered_slots", False, named), typed("folded", "folded_slots", False, first, 1)))
+    return F.when(F.coalesce(*take("folded_slots")).isNull(), F.array(form(take("typed"), none, size >= least))).otherwise(marked)
 
 
 def all_forms(words: Column, sizes: list[int], least: int) -> Column:
@@ -165,7 +216,7 @@ def all_forms(words: Column, sizes: list[int], least: int) -> Column:
 
 def item_forms(benchmark: DataFrame, size: int, least: int) -> DataFrame:
     """item_id, size, hash, item_slots, item_at, item_own of all forms of the windows of every item with a word."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_words(F.col("text")).alias("words"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), folded_words(F.col("text")).alias("words"))
     items = items.withColumn("size", F.least(F.lit(size), F.size("words")))
     rows = None
     for n in range(1, size + 1):
@@ -178,7 +229,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 13, least: int = 5)
     """doc_id, item_id, n_windows and kind of every document that shares a window with an item, as written or as a template in which
     each value of the item stands for one value in the document. Windows are judged one by one; ``exact`` needs a passage of own values
     only. n_windows is the number of places that match as templates; if there is none, of those that match in another form."""
-    hits = window_hits(docs, item_forms(benchmark, size, least), size, lambda words, sizes: all_forms(words, sizes, least))
+    hits = window_hits(docs, item_forms(benchmark, size, least), size, lambda text, sizes: all_forms(folded_words(text), sizes, least))
     pairs = F.coalesce(slot_pairs(), F.array().cast("array<struct<a:string,b:string>>"))
     sound = hits.select("doc_id", "item_id", "at", "shift", "own", pairs.alias("pairs")).where(F.size(F.array_distinct("pairs.a")) == F.size("pairs"))
     exact = ~F.exists("pairs", lambda p: p.a != p.b)

@@ -215,6 +215,18 @@ def test_short_and_numeric_items_are_found_as_written(spark):
     assert got == [(0, 0, "exact", 1), (1, 1, "exact", 1), (2, 2, "exact", 3), (3, 3, "exact", 1)]
 
 
+def test_copies_are_found_whatever_their_case_and_wrapping(spark):
+    short = "What does the farmer Anna pay for 12 apples today"
+    german = "Wie viele Tage braucht ein Bauer für 12 Äpfel auf seiner Straße und wann sieht er die Stadt mit dem großen Haus am See"
+    other = short.replace("Anna", "Bruno").replace("12", "40")
+    texts = [short.lower(), short.upper(), short.replace(" Anna", "\nAnna"), short.replace(" Anna", "  Anna"), "so he said " + short, "a heading\n" + short, german.lower(), german.upper()]
+    changed = [other.replace(" Bruno", "\nBruno"), other.replace(" Bruno", " \n Bruno"), "so he said " + other, "a heading\n" + other, short.lower().replace("12", "40"), other.replace("Bruno", "Anna").upper()]
+    bench = spark.createDataFrame([(1, short), (2, german)], "item_id long, text string")
+    rows = [(k, t, None) for k, t in enumerate(texts + changed)] + [(99, other.lower(), None)]
+    got = {r.doc_id: (r.item_id, r.kind) for r in templates.leaks(docs_of(spark, rows), bench).collect()}
+    assert got == {k: (2 if t.lower().startswith("wie") else 1, "exact" if k < len(texts) else "reparameterised") for k, t in enumerate(texts + changed)}
+
+
 def test_ids_equal_the_tokenizers_file():
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
