@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.classes import TERMS, lead_bucket, p_good, score_class, tier_for_lead
@@ -169,6 +169,41 @@ def append_issuance(spark: SparkSession, path: str, rows: DataFrame, created_utc
     return True
 
 
+def append_issuances(spark: SparkSession, path: str, rows: DataFrame, created_utc: Column | None = None) -> None:
+    """Write all issuances not recorded yet, in one partitioned write; existing files are never rewritten.
+
+    Files are those of ``append_issuance``. Numbers follow the issue time; each row's chain value is the digest of the row numbered before
+    it. Only index rows, one per issuance, meet in one place.
+    """
+    fresh, index = rows, None
+    try:
+        index = spark.read.parquet(f"{path}/index")
+        fresh = fresh.join(index.select("issuance_id"), "issuance_id", "left_anti")
+        fresh = fresh.join(index.where("source_ref <> ''").select("source_ref"), "source_ref", "left_anti")
+    except Exception as e:  # no index yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    # of several new issuances with one source the first counts, as it would if they came one by one
+    heads = fresh.select("issuance_id", "issue_utc", "issue_local_date", "origin", "source_ref", "model_version").distinct()
+    if not heads.groupBy("issuance_id").count().where("count > 1").isEmpty():
+        raise ValueError("an issuance has several heads")
+    source = F.when(F.col("source_ref") != "", F.col("source_ref")).otherwise(F.concat(F.lit("\0"), "issuance_id"))
+    first = heads.groupBy(source.alias("_source")).agg(F.min_by("issuance_id", F.struct("issue_utc", "issuance_id")).alias("issuance_id"))
+    fresh = fresh.join(first.select("issuance_id"), "issuance_id", "left_semi")
+    folders = {"issue_month": F.date_format("issue_local_date", "yyyy-MM"), "issuance_part": F.col("issuance_id")}
+    fresh.withColumns(folders).repartition("issuance_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{path}/rows")
+    entry = fresh.groupBy("issuance_id", "issue_utc", "issue_local_date", "origin", "source_ref", "model_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("lead_days").alias("lead_min"), F.max("lead_days").alias("lead_max"), *content_checksum(fresh))
+    order = Window.orderBy("issue_utc", "issuance_id")
+    new = entry.withColumns({"seq": F.row_number().over(order).cast("long") - 1, "prev_index_row_sha256": F.coalesce(F.lag(row_digest(entry, INDEX_HASHED)).over(order), F.lit(""))})
+    if index is not None:
+        head = index.orderBy(F.desc("seq")).limit(1).select("seq", row_digest(index, INDEX_HASHED).alias("digest")).first()
+    if index is not None and head:
+        new = new.withColumns({"seq": F.col("seq") + head["seq"] + 1,
+                               "prev_index_row_sha256": F.when(F.col("seq") == 0, head["digest"]).otherwise(F.col("prev_index_row_sha256"))})
+    new.withColumn("created_utc", created_utc if created_utc is not None else F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/index")
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Rows of indexed issuances only (an interrupted append stays invisible)."""
     rows = spark.read.parquet(f"{path}/rows").drop("issue_month", "issuance_part")

@@ -168,6 +168,18 @@ def ledger_append(spark, sf):
     return spark.read.parquet(f"{path}/index")
 
 
+@query("k03_ledger_append_all", "issuance_id s, seq l, n_rows l, lead_min i, lead_max i", """
+  SELECT issuance_id, row_number() OVER (ORDER BY min(issue_utc), issuance_id) - 1 AS seq, count(*) AS n_rows, min(lead_days) AS lead_min, max(lead_days) AS lead_max
+  FROM p_ledger GROUP BY issuance_id""")
+def ledger_append_all(spark, sf):
+    """Record every issuance of the ledger, once each although all are offered twice."""
+    path = fresh_path(spark, "ledger_store")
+    rows = ev.ledger(spark, sf).withColumns({"issue_local_date": F.col("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": F.col("issuance_id"), "model_version": F.lit("v1")})
+    led.append_issuances(spark, path, rows)
+    led.append_issuances(spark, path, rows)
+    return spark.read.parquet(f"{path}/index")
+
+
 @query("k04_export_records", "l_returnflag s, record s", """
   SELECT l_returnflag, CAST(to_json({'l_returnflag': l_returnflag, 'n': count(*)}) AS VARCHAR) AS record FROM lineitem GROUP BY 1""")
 def export(spark, sf):

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pelagia.functions.text import parse_counts
+from pelagia.plans import ledger as led
 from pelagia.streaming import jobs
 
 
@@ -32,3 +33,21 @@ def test_numbers_out_of_range_do_not_stop_the_parser(spark):
     text = "99999999999999999999 Yellowtail, 99999999999 Dorado, 3 Calico Bass"
     got = spark.range(1).select(parse_counts(F.lit(text)).alias("c")).first()["c"]["kept"]
     assert got["dorado"] == 99999999999 and got["calico_bass"] == 3 and got["yellowtail"] is None
+
+
+def test_all_issuances_are_appended_as_if_one_by_one(spark, tmp_path):
+    def rows(*days):
+        data = [(f"I{d}", f"2001-01-0{d} 15:00:00", f"2001-01-0{d}", "s1" if d == 3 else f"s{d}", k, f"{d}-{k}") for d in days for k in range(d)]
+        df = spark.createDataFrame(data, "issuance_id string, u string, l string, source_ref string, lead_days int, record_id string")
+        return df.select("issuance_id", F.to_timestamp("u").alias("issue_utc"), F.to_date("l").alias("issue_local_date"), F.lit("live").alias("origin"), "source_ref",
+                         F.lit("v1").alias("model_version"), "lead_days", "record_id", F.lit(None).cast("double").alias("wave_ft"), F.lit(None).cast("double").alias("wind_kt"))
+
+    for days in ((2, 1, 3, 4), (4, 2), (5, 6)):  # the third has the source of the first
+        led.append_issuances(spark, f"{tmp_path}/all", rows(*days))
+        for d in sorted(days):
+            led.append_issuance(spark, f"{tmp_path}/one", rows(d))
+    index, single = (spark.read.parquet(f"{tmp_path}/{k}/index").drop("created_utc") for k in ("all", "one"))
+    assert [(r.issuance_id, r.seq, r.n_rows) for r in index.orderBy("seq").collect()] == [("I1", 0, 1), ("I2", 1, 2), ("I4", 2, 4), ("I5", 3, 5), ("I6", 4, 6)]
+    assert index.orderBy("seq").collect() == single.select(index.columns).orderBy("seq").collect()
+    kept = led.read_ledger(spark, f"{tmp_path}/all")
+    assert kept.count() == 18 and led.broken_chain(index).isEmpty()
