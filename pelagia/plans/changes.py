@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classes import TERMS
@@ -97,3 +97,9 @@ def latest_two(index: DataFrame) -> DataFrame:
     top = index.select("issuance_id", "seq").orderBy(F.desc("seq")).limit(2)
     newest = top.agg(F.max("seq").alias("m")).scalar()
     return top.withColumn("rank", (newest - F.col("seq") + 1).cast("int"))
+
+
+def newest_two(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For every target date, zone and species the row of the newest issuance and that of the one before it."""
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("target_date", "zone_id", "species_id").orderBy(F.desc("issue_utc"), F.desc("issuance_id"))))
+    return tuple(ranked.where(F.col("_rank") == k).drop("_rank") for k in (1, 2))

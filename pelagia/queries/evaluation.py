@@ -268,16 +268,27 @@ def _parts_sql(side: str) -> dict[str, str]:
 
 
 _a, _b = _parts_sql("n"), _parts_sql("o")
-part("p_delta", f"""SELECT n.target_date, n.zone_id, n.species_id, n.issuance_id AS current_issuance, o.issuance_id AS prior_issuance, n.bite_score - o.bite_score AS d,
+_delta_sql = f"""SELECT n.target_date, n.zone_id, n.species_id, n.issuance_id AS current_issuance, o.issuance_id AS prior_issuance, n.bite_score - o.bite_score AS d,
   {', '.join(f'coalesce({_a[k]}, 0) - coalesce({_b[k]}, 0) AS d_{k}' for k in _a)}, n.term_swell IS NOT NULL AND o.term_swell IS NULL AND w_swell > 0 AS swell_added, o.bite_score AS was_score, n.bite_score AS now_score
-  FROM p_now n JOIN p_was o USING (target_date, zone_id, species_id) JOIN p_subject_params w ON w.species_id = n.species_id""")
+  FROM p_now n JOIN p_was o USING (target_date, zone_id, species_id) JOIN p_subject_params w ON w.species_id = n.species_id"""
+part("p_delta", _delta_sql)
 _tot = "(" + " + ".join(f"d_{k}" for k in _a) + ")"
 
 
-def changes(spark, sf):
-    led = ledger(spark, sf).withColumns({
+part("p_ranked", "SELECT *, row_number() OVER (PARTITION BY target_date, zone_id, species_id ORDER BY issue_utc DESC, issuance_id DESC) AS newest FROM p_ledger")
+part("p_newest", "SELECT * FROM p_ranked WHERE newest = 1")
+part("p_before", "SELECT * FROM p_ranked WHERE newest = 2")
+part("p_newest_delta", _delta_sql.replace("p_now n", "p_newest n").replace("p_was o", "p_before o"))
+
+
+def changed_rows(spark, sf):
+    return ledger(spark, sf).withColumns({
         "wave_ft": F.col("term_swell") * 10, "wind_kt": F.lit(None).cast("double"), "sst_f": F.col("term_sst") * 50, "sst_anom_f": F.lit(None).cast("double"),
         "tide_range_ft": F.lit(None).cast("double"), "sst_source": F.lit("model"), "model_version": F.lit("v1"), "bite_class": F.lit(None).cast("string")})
+
+
+def changes(spark, sf):
+    led = changed_rows(spark, sf)
     w = i.subjects(spark, sf).select("species_id", "weights")
     return ch.forecast_changes(led.where("lead_days = 2"), led.where("lead_days = 7"), w)
 
@@ -285,7 +296,10 @@ def changes(spark, sf):
 @query("j15_forecast_changes", "target_date t, zone_id s, species_id s, current_issuance s, prior_issuance s, delta d1, pts_sst d1, pts_tide d1, pts_access d1, swell_added b", f"""
   SELECT *, {even_sql('d', 1)} AS delta, {', '.join(f'CASE WHEN abs({_tot}) > 1e-9 AND abs(d * d_{k} / {_tot}) >= 0.1 THEN {even_sql(f"d * d_{k} / {_tot}", 1)} END AS pts_{k}' for k in ('sst', 'tide', 'access'))} FROM p_delta""")
 def forecast_changes(spark, sf):
-    c = changes(spark, sf)
+    return _with_points(changes(spark, sf))
+
+
+def _with_points(c):
     return c.withColumns({f"pts_{k}": F.try_element_at("driver_points", F.lit(k)) for k in ("sst", "tide", "access")}).withColumn(
         "swell_added", F.coalesce(F.col("notes").rlike("driver now available:[^;]*swell"), F.lit(False)))
 
@@ -295,6 +309,22 @@ def material(spark, sf):
     return ch.material_changes(changes(spark, sf))
 
 
+def newest_changes(spark, sf):
+    return ch.forecast_changes(*ch.newest_two(changed_rows(spark, sf)), i.subjects(spark, sf).select("species_id", "weights"))
+
+
+@query("j15_newest_changes", "target_date t, zone_id s, species_id s, current_issuance s, prior_issuance s, delta d1, pts_sst d1, pts_tide d1, pts_access d1, swell_added b", f"""
+  SELECT *, {even_sql('d', 1)} AS delta, {', '.join(f'CASE WHEN abs({_tot}) > 1e-9 AND abs(d * d_{k} / {_tot}) >= 0.1 THEN {even_sql(f"d * d_{k} / {_tot}", 1)} END AS pts_{k}' for k in ('sst', 'tide', 'access'))} FROM p_newest_delta""")
+def newest_forecast_changes(spark, sf):
+    """Every target's newest issuance against the one before it, whatever their leads."""
+    return _with_points(newest_changes(spark, sf))
+
+
+@query("f10_newest_material_changes", "target_date t, zone_id s, species_id s, delta d1, top_drivers s, input_changes s, notes s")
+def newest_material(spark, sf):
+    return ch.material_changes(newest_changes(spark, sf))
+
+
 @query("dash_champion_vs_baseline", "window_name s, dimension s, stratum s, left_value d3, right_value d3", """
   SELECT window_name, dimension, stratum, max(brier) FILTER (model_id = 'v1') AS left_value, max(brier) FILTER (model_id = 'baseline_climatology') AS right_value FROM p_eval GROUP BY 1, 2, 3""")
 def strata(spark, sf):

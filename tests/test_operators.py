@@ -123,3 +123,11 @@ def test_stream_dedup_and_status(spark):
     write(spark.createDataFrame([("s", t + dt.timedelta(days=1), False, None)], a), 1)
     r = jobs.latest_version(spark, path).first()
     assert r.last_successful_fetch_utc == t and r.last_attempted_fetch_utc == t + dt.timedelta(days=1)
+
+
+def test_newest_issuance_of_every_target_and_the_one_before(spark):
+    from pelagia.plans.changes import newest_two
+    rows = spark.createDataFrame([(t, "z", "s", 20 - lead, f"I{20 - lead:02d}") for t, leads in (("a", (0, 5, 9)), ("b", (14, 21)), ("c", (2,))) for lead in leads],
+                                 "target_date string, zone_id string, species_id string, issue_utc int, issuance_id string")
+    now, was = ({r.target_date: r.issuance_id for r in x.collect()} for x in newest_two(rows))
+    assert now == {"a": "I20", "b": "I06", "c": "I18"} and was == {"a": "I15", "b": "I-1"}
