@@ -210,6 +210,26 @@ def challenger_gate(spark, sf):
     return gate(spark, sf).where("check_name <> 'bootstrap confidence'")
 
 
+part("p_gate_day", """SELECT target_date, sum((pr - y_good) ** 2) FILTER (model_id = 'v1.1-cal') AS ms, count(*) FILTER (model_id = 'v1.1-cal') AS mn, sum((pr - y_good) ** 2) FILTER (model_id = 'v1') AS rs,
+  count(*) FILTER (model_id = 'v1') AS rn, row_number() OVER (ORDER BY target_date) - 1 AS i, count(*) OVER () AS d FROM p_long WHERE model_id IN ('v1', 'v1.1-cal') GROUP BY 1""")
+part("p_gate_boot", f"""SELECT {even_sql('avg((v > 0)::INT)', 3)} AS p_positive FROM (SELECT rep, 1 - round(sum(ms) / sum(mn), 4) / nullif(round(sum(rs) / sum(rn), 4), 0) AS v FROM (
+  SELECT rep, CAST('0x' || substr(md5('7|' || rep || '|' || k), 1, 8) AS BIGINT) % d AS i FROM (SELECT d, rep, unnest(range(0, d)) AS k FROM (SELECT d, unnest(range(0, 400)) AS rep FROM p_gate_day WHERE i = 0 AND d >= 5)))
+  JOIN p_gate_day USING (i) GROUP BY 1) WHERE v IS NOT NULL""")
+
+
+@query("a22_challenger_gate_all", "check_name s, passed b", """
+  WITH j AS (SELECT c.dimension, c.stratum, c.n_pairs, c.n_target_dates, c.n_issuances, c.brier AS cb, v.brier AS vb, c.mae AS cm, v.mae AS vm, c.exact_hit AS ch, v.exact_hit AS vh FROM p_gate_m c
+    JOIN p_gate_m v USING (dimension, stratum) WHERE c.model_id = 'v1.1-cal' AND v.model_id = 'v1')
+  SELECT 'minimum sample' AS check_name, n_pairs >= 300 AND n_target_dates >= 45 AND n_issuances >= 30 AS passed FROM j WHERE dimension = 'all'
+  UNION ALL SELECT 'aggregate Brier improvement', 1 - cb / vb >= 0.02 FROM j WHERE dimension = 'all' UNION ALL SELECT 'aggregate MAE not worse', cm <= vm + 0.5 FROM j WHERE dimension = 'all'
+  UNION ALL SELECT 'priority ' || stratum || ' not degraded', cb / vb - 1 <= 0.05 FROM j WHERE n_pairs >= 30 AND ((dimension = 'species_id' AND stratum IN ('ECONOMY', 'SMALL', 'LARGE')) OR (dimension = 'region_id' AND stratum IN ('kelp_nearshore', 'offshore_banks')))
+  UNION ALL SELECT 'short-range lead ' || stratum || ' not degraded', cb / vb - 1 <= 0.02 AND ch >= vh - 0.02 FROM j WHERE n_pairs >= 30 AND dimension = 'lead_bucket' AND stratum IN ('0-3', '4-7')
+  UNION ALL SELECT 'bootstrap confidence', coalesce(n_pairs >= 300 AND n_target_dates >= 45 AND n_issuances >= 30 AND (SELECT p_positive FROM p_gate_boot) >= MIN_POSITIVE, false) FROM j WHERE dimension = 'all'""".replace("MIN_POSITIVE", str(ver.CRITERIA["min_bootstrap_p_positive"])))
+def challenger_gate_all(spark, sf):
+    """All checks of the gate, the bootstrap too."""
+    return gate(spark, sf)
+
+
 @query("dash_failed_checks", "model_id s, recommendation s, failed s, n_passed l")
 def failed(spark, sf):
     return db.failed_checks(gate(spark, sf))

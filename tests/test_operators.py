@@ -131,3 +131,9 @@ def test_newest_issuance_of_every_target_and_the_one_before(spark):
                                  "target_date string, zone_id string, species_id string, issue_utc int, issuance_id string")
     now, was = ({r.target_date: r.issuance_id for r in x.collect()} for x in newest_two(rows))
     assert now == {"a": "I20", "b": "I06", "c": "I18"} and was == {"a": "I15", "b": "I-1"}
+
+
+def test_gate_query_returns_every_check(spark):
+    from pelagia.queries import load
+    checks = [r.check_name for r in load()["a22_challenger_gate_all"].build(spark, "/root/testdata/sf0.001").collect()]
+    assert checks.count("bootstrap confidence") == 1 and "minimum sample" in checks
