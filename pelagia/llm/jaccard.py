@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join: MinHash banding with exact verification; each tree gives one key of a prefix whose length is fixed by constants.
 
 A text is its set of five-word shingles. Texts with equal sets are one class, represented by the smallest id. Each class has a
 label of ``depth`` MinHash values in each of ``trees`` sorted prefix tries. The prefix that two labels must share starts at the full
