@@ -147,6 +147,9 @@ def subjects(spark, sf):
         anomaly_pref double, tide_pref string, moon_pref string, swell_tolerance_ft double, weights map<string,double>,
         season_index array<double>, subject_no int""")
     seen = table(spark, sf, "part").select(F.col("p_type").alias("species_id")).distinct()
+    unknown = [r.species_id for r in seen.where(F.col("species_id").isNotNull()).join(params, "species_id", "left_anti").orderBy("species_id").limit(5).collect()]
+    if unknown:
+        raise ValueError(f"part types without parameters: {unknown}")
     z = zones(spark, sf).select("zone_id", "zone_no")
     bridge = z.select("zone_id", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("subject_no"), "zone_no").where(
         (F.col("zone_no") + F.col("subject_no")) % 6 != 0)

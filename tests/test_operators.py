@@ -137,3 +137,14 @@ def test_gate_query_returns_every_check(spark):
     from pelagia.queries import load
     checks = [r.check_name for r in load()["a22_challenger_gate_all"].build(spark, "/root/testdata/sf0.001").collect()]
     assert checks.count("bootstrap confidence") == 1 and "minimum sample" in checks
+
+
+def test_a_part_type_without_parameters_is_an_error(spark, tmp_path):
+    from pelagia.queries import inputs
+    for t in ("nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    part.unionByName(part.limit(1).withColumn("p_type", F.lit("SEVENTH"))).write.parquet(f"{tmp_path}/part.parquet")
+    assert inputs.subjects(spark, "/root/testdata/sf0.001").count() == part.select("p_type").distinct().count()
+    with pytest.raises(ValueError, match="SEVENTH"):
+        inputs.subjects(spark, str(tmp_path))
