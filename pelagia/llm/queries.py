@@ -107,5 +107,23 @@ def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .polytope import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .variants import spelling_groups
+    return spelling_groups(table(spark, sf_dir, "documents"), slips=True)
+
+
+@query
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .squares import periodic_runs
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 SQL["op2_host_graph"] = host_graph_sql(URL_ALLOW, URL_BLOCK)
 SQL["op10_template_leaks"] = template_leaks_sql()
