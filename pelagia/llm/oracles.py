@@ -75,3 +75,39 @@ def template_leaks_sql(size: int = 13, least: int = 5) -> str:
 SELECT w.doc_id, w.item_id, CAST(sum(n) AS BIGINT) AS n_windows, CASE WHEN bool_or(coalesce(exact, true)) THEN 'exact' ELSE 'reparameterised' END AS kind FROM windows w
 LEFT JOIN slots s ON s.doc_id IS NOT DISTINCT FROM w.doc_id AND s.item_id IS NOT DISTINCT FROM w.item_id AND s.shift = w.shift
 WHERE n_pairs IS NULL OR (n_a = n_pairs AND n_b = n_pairs) GROUP BY 1, 2"""
+
+
+def near_vectors_sql(threshold: float = 0.9) -> str:
+    """All pairs of vectors of one size, and what each reaches by links."""
+    return f"""WITH RECURSIVE given AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+raw AS MATERIALIZED (SELECT *, coalesce(vec_id IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND list_min(list_transform(e, lambda x: isfinite(x)::INT)) = 1
+  AND list_max(list_transform(e, lambda x: abs(x))) > 0, false) AS good FROM given),
+v AS MATERIALIZED (SELECT * FROM raw WHERE good),
+links AS MATERIALIZED (SELECT a.vec_id AS a, a.r AS r, b.vec_id AS b FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {threshold}),
+reach(a, b) AS (SELECT DISTINCT a, a FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+low AS (SELECT a, min(b) AS component FROM reach GROUP BY a),
+many AS (SELECT r, count(*) AS n FROM links GROUP BY r)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id, coalesce(vec_id = coalesce(component, vec_id), true) AS kept
+FROM raw LEFT JOIN many USING (r) LEFT JOIN low ON low.a = vec_id"""
+
+
+def spelling_groups_sql() -> str:
+    """Checksums byte by byte, words one character apart by what is left without a character, and chains of forms."""
+    return r"""WITH RECURSIVE bits(i, k, c) AS (SELECT i, 0, i FROM range(256) t(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+polynomial AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+counted AS (SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, 'null') || ':' || w)) AS h FROM runs WHERE length(w) >= 7 GROUP BY ALL),
+summed AS MATERIALIZED (SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2),
+  lambda i: (16 * (strpos('0123456789ABCDEF', h[i]) - 1) + strpos('0123456789ABCDEF', h[i + 1]) - 1)::BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc FROM counted, polynomial),
+slipped AS (SELECT CASE WHEN crc % 31 = 0 THEN w[:crc % length(w)] || w[crc % length(w) + 2:] ELSE w END AS word, n FROM summed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS MATERIALIZED (SELECT DISTINCT word, i, word[:i] || word[i + 2:] AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+pairs AS MATERIALIZED (SELECT a.word AS word, b.word AS near FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT less.word, words.word FROM less JOIN words ON words.word = rest UNION SELECT words.word, less.word FROM less JOIN words ON words.word = rest),
+best AS (SELECT pairs.word AS word, count(*) AS n_near, min((-x.n, near)) AS top FROM pairs JOIN words x ON x.word = near GROUP BY ALL),
+found AS MATERIALIZED (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= 10 * n THEN top[2] END AS form,
+  CASE WHEN -top[1] >= 10 * n THEN -top[1] END AS form_n FROM words LEFT JOIN best USING (word)),
+chain(word, place, steps) AS (SELECT word, word, 0 FROM found UNION ALL SELECT chain.word, form, steps + 1 FROM chain JOIN found ON found.word = place WHERE form IS NOT NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM found JOIN (SELECT word, arg_max(place, steps) AS root FROM chain GROUP BY word) USING (word)"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .common import table
-from .oracles import host_graph_sql, template_leaks_sql
+from .oracles import host_graph_sql, near_vectors_sql, spelling_groups_sql, template_leaks_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -127,3 +127,5 @@ def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op2_host_graph"] = host_graph_sql(URL_ALLOW, URL_BLOCK)
 SQL["op10_template_leaks"] = template_leaks_sql()
+SQL["op11_cross_polytope"] = near_vectors_sql()
+SQL["op12_spelling_groups"] = spelling_groups_sql()
