@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, written
+from .common import arrow_batches, components, written
 from .words import coded
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -210,26 +210,6 @@ def bucket_edges(signed: DataFrame, signature: DataFrame) -> DataFrame:
     return first.where("a <> b").select("a", "b").union(second).distinct()
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """node, label (smallest node it is connected to) of all nodes of the edges (a, b).
-
-    Labels move to neighbours and then to the label of the label; each round is written, and the loop ends when none changes.
-    """
-    both = written(edges.union(edges.select("b", "a")).distinct().toDF("node", "to"), "component-edges")
-    labels = written(both.groupBy("node").agg(F.least(F.min("to"), F.first("node")).alias("label")), "component-labels")
-    for _ in range(most):
-        near = both.join(labels.select(F.col("node").alias("to"), "label"), "to").groupBy("node").agg(F.min("label").alias("low"))
-        moved = labels.join(near, "node", "left").select("node", F.least("label", F.coalesce("low", "label")).alias("label"))
-        jump = moved.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = moved.join(jump, "label", "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label"))
-        new = written(new, "component-labels")
-        changed = new.join(labels.select("node", F.col("label").alias("old")), "node").where("label <> old").isEmpty()
-        labels = new
-        if changed:
-            return labels
-    raise RuntimeError(f"components did not settle in {most} rounds")
-
-
 def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per pair of blocks: every member's number of texts at the threshold or above, and one connection within what is linked."""
     for part in runs(batches, ["grp", "i", "j"]):
