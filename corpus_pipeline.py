@@ -26,8 +26,8 @@ LANGUAGE_SHARE = 0.5
 
 def keep_by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Rows of ``docs`` whose doc_id is in ``ids`` (left_semi) or is not (left_anti); a null id equals a null id."""
-    chosen = ids.select(F.col("doc_id").alias("chosen_id")).distinct()
-    return docs.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("chosen_id")), how)
+    chosen = ids.select("doc_id").distinct()
+    return docs.join(chosen, docs.doc_id.cast("long").eqNullSafe(chosen.doc_id), how)
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
