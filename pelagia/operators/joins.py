@@ -7,7 +7,7 @@ cells, so no join pairs every row with every row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cell_size_nm
@@ -102,21 +102,59 @@ def polygon_edges(polygons: DataFrame, rings: str = "rings") -> DataFrame:
     return per_ring.select(*keep, F.inline(closed))
 
 
+def polygon_cells(polygons: DataFrame, polygon_id: str, cell: float, rings: str = "rings") -> tuple[DataFrame, DataFrame]:
+    """Two-dimensional cell index of polygons: cells that lie wholly inside, and the edges of the cells that the outline crosses.
+
+    Cells that are in neither table are outside. A crossed cell carries the parity of its lower right corner (``odd``) and its number of
+    edges, so a point of the cell needs those edges only: its parity is that of the corner, changed by every edge met on the way from
+    the point to the right border and down that border. Corners are counted from the crossings of each cell row's lower border, and a
+    gap between crossed cells of a row is inside if the corner on its left is; each window holds one polygon's part of one row.
+    """
+    key, eps = [polygon_id, "_i", "_j"], cell * 1e-9
+    e = polygon_edges(polygons.select(polygon_id, rings), rings).withColumns({"_lo": F.least("y1", "y2"), "_hi": F.greatest("y1", "y2")})
+    dy, dx = F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)), F.col("x2") - F.col("x1")
+    rows = e.withColumn("_j", F.explode(F.sequence(grid_cell(F.col("_lo") - eps, 0.0, cell), grid_cell(F.col("_hi") + eps, 0.0, cell))))
+    # the part of the edge in this row of cells, from one height to another
+    at = lambda y: F.coalesce(F.col("x1") + dx * (F.least(F.greatest(y, F.col("_lo")), F.col("_hi")) - F.col("y1")) / dy, F.col("x1"))
+    a, b = at(F.col("_j") * cell), F.when(dy.isNull(), F.col("x2")).otherwise(at((F.col("_j") + 1) * cell))
+    spread = rows.withColumn("_i", F.explode(F.sequence(grid_cell(F.least(a, b) - eps, 0.0, cell), grid_cell(F.greatest(a, b) + eps, 0.0, cell))))
+    edges = spread.select(*key, "x1", "y1", "x2", "y2")
+
+    crossed = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    low = F.col("_j") * cell
+    met = rows.where((F.col("y1") > low) != (F.col("y2") > low)).select(
+        polygon_id, "_j", (F.col("x1") + dx * (low - F.col("y1")) / dy).alias("_x"), F.lit(None).cast("long").alias("_i"), F.lit(None).cast("long").alias("_n"))
+    corners = crossed.select(polygon_id, "_j", ((F.col("_i") + 1) * cell).alias("_x"), "_i", "_n").unionByName(met)
+    to_the_right = Window.partitionBy(polygon_id, "_j").orderBy(F.desc("_x"), F.col("_i").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    counted = corners.withColumn("odd", F.count_if(F.col("_i").isNull()).over(to_the_right) % 2).where(F.col("_i").isNotNull())
+    following = F.lead("_i").over(Window.partitionBy(polygon_id, "_j").orderBy("_i"))
+    gaps = counted.withColumn("_next", following).where((F.col("odd") == 1) & (F.col("_next") > F.col("_i") + 1))
+    inside = gaps.select(polygon_id, "_j", F.explode(F.sequence(F.col("_i") + 1, F.col("_next") - 1)).alias("_i"))
+    return inside, edges.join(counted.select(*key, "odd", "_n"), key)
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, cell: float,
                        rings: str = "rings") -> DataFrame:
-    """(point, polygon) pairs by even-odd ring crossing; holes fall out of the parity.
+    """(point, polygon) pairs by the even-odd rule; holes fall out of the parity.
 
-    Edges are listed in the horizontal strips (height ``cell``) they touch and meet only the points
-    of that strip. Crossings are counted per pair; an odd count means inside.
+    Points meet polygons by an equi-join on two-dimensional cells (see ``polygon_cells``): those of an inside cell need no test, those of
+    a crossed cell meet that cell's edges only. Points without finite coordinates are in no polygon; repeated points give one pair.
     """
-    edges = polygon_edges(polygons.select(polygon_id, rings), rings).where("y1 <> y2")
-    edges = edges.select("*", F.explode(F.sequence(grid_cell(F.least("y1", "y2"), 0.0, cell),
-                                                   grid_cell(F.greatest("y1", "y2"), 0.0, cell))).alias("_strip"))
-    pts = points.select(point_id, "x", "y").withColumn("_strip", grid_cell("y", 0.0, cell))
-    crossing = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (
-        F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    hits = pts.join(edges, "_strip").where(crossing).groupBy(point_id, polygon_id).agg(F.count(F.lit(1)).alias("_n"))
-    return hits.where(F.col("_n") % 2 == 1).select(point_id, polygon_id)
+    inside, edges = polygon_cells(polygons, polygon_id, cell, rings)
+    finite = (F.abs("x") < 1e15 * cell) & (F.abs("y") < 1e15 * cell)
+    pts = points.select(point_id, "x", "y").where(finite).withColumns({"_i": grid_cell("x", 0.0, cell), "_j": grid_cell("y", 0.0, cell)})
+    c = F.col
+    right, low = (c("_i") + 1) * cell, c("_j") * cell
+    x_there = c("x1") + (c("x2") - c("x1")) * (c("y") - c("y1")) / F.nullif(c("y2") - c("y1"), F.lit(0.0))
+    y_there = c("y1") + (c("y2") - c("y1")) * (right - c("x1")) / F.nullif(c("x2") - c("x1"), F.lit(0.0))
+    across = ((c("y1") > c("y")) != (c("y2") > c("y"))) & (x_there > c("x")) & (x_there <= right)
+    down = ((c("x1") > right) != (c("x2") > right)) & (y_there > low) & (y_there <= c("y"))
+    crossings = F.sum(F.when(across, 1).otherwise(0) + F.when(down, 1).otherwise(0))
+    tested = pts.join(edges, ["_i", "_j"]).groupBy(point_id, "x", "y", polygon_id, "odd", "_n").agg(crossings.alias("_c"), F.count(F.lit(1)).alias("_m"))
+    # a point that is listed k times meets each of the n edges k times
+    hits = tested.where((c("odd") + (c("_c") * c("_n") / c("_m")).cast("long")) % 2 == 1)
+    whole = pts.join(inside, ["_i", "_j"])
+    return hits.select(point_id, polygon_id).unionByName(whole.select(point_id, polygon_id)).distinct()
 
 
 def sample_outlook(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, cell: float) -> DataFrame:
@@ -161,8 +199,6 @@ def gradient(grid: DataFrame, value: str, date: str = "date", row: str = "lat_id
     Neighbours come from equi-joins on the shifted index through one window per grid row or column,
     each as long as the grid is wide.
     """
-    from pyspark.sql import Window
-
     def slope(part: list[str], order: str) -> Column:
         w = Window.partitionBy(*part).orderBy(order)
         before, after = F.lag(value).over(w), F.lead(value).over(w)

@@ -121,6 +121,27 @@ def in_polygon(spark, sf):
     return joins.points_in_polygons(points(spark, sf), polygons(spark, sf), "vec_id", "polygon_id", 0.05)
 
 
+# many polygons: a diamond with a hole for each supplier, and a point for each order
+part("p_parcels", "SELECT s_suppkey, (s_suppkey % 97) / 10.0::DOUBLE AS cx, (s_acctbal + 1000) / 1100 AS cy, 0.2::DOUBLE + s_nationkey / 25.0::DOUBLE AS r FROM supplier")
+part("p_parcel_edges", "SELECT s_suppkey, cx + a * r AS x1, cy + b * r AS y1, cx + c * r AS x2, cy + d * r AS y2 FROM p_parcels, (VALUES " + ", ".join(
+    f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for s in (1.0, 0.5) for a, b, c, d in ((s, 0, 0, s), (0, s, -s, 0), (-s, 0, 0, -s), (0, -s, s, 0))) + ") v(a, b, c, d)")
+
+
+def parcels(spark, sf):
+    s = i.table(spark, sf, "supplier").select("s_suppkey", ((F.col("s_suppkey") % 97) / 10.0).alias("cx"), ((F.col("s_acctbal") + 1000) / 1100).alias("cy"),
+                                              (F.lit(0.2) + F.col("s_nationkey") / 25.0).alias("r"))
+    ring = lambda k: F.array(*[F.struct((F.col("cx") + a * k * F.col("r")).alias("x"), (F.col("cy") + b * k * F.col("r")).alias("y")) for a, b in ((1, 0), (0, 1), (-1, 0), (0, -1))])
+    return s.select("s_suppkey", F.array(ring(1.0), ring(0.5)).alias("rings"))
+
+
+@query("j11_orders_in_parcels", "o_orderkey l, s_suppkey l", """
+  SELECT o_orderkey, s_suppkey FROM (SELECT o_orderkey, o_totalprice / 50000 AS x, (o_custkey % 1000) / 100.0::DOUBLE + o_totalprice / 1e6::DOUBLE AS y FROM orders) p
+  JOIN p_parcel_edges ON (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY 1, 2 HAVING count(*) % 2 = 1""")
+def orders_in_parcels(spark, sf):
+    at = i.table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 50000).alias("x"), (F.col("o_custkey") % 1000 / 100.0 + F.col("o_totalprice") / 1e6).alias("y"))
+    return joins.points_in_polygons(at, parcels(spark, sf), "o_orderkey", "s_suppkey", 0.1)
+
+
 @query("s14_polygon_outlook_sample", "vec_id l, cat s, prob d1", """
   SELECT p.vec_id, coalesce(b.cat, 'EC') AS cat, coalesce(b.prob, 33.3) AS prob FROM p_pts p LEFT JOIN (
     SELECT vec_id, cat, prob FROM p_inside JOIN p_polys USING (polygon_id) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, cat DESC) = 1) b USING (vec_id)""")

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import statistics
 
@@ -73,6 +74,27 @@ def test_polygon_with_hole(spark):
     assert got == {1: ("Above", 40.0), 2: ("EC", 33.3), 3: ("Below", 50.0), 4: ("EC", 33.3)}
 
 
+@pytest.mark.parametrize("cell", [0.07, 0.5, 30.0])
+def test_polygon_cells_give_the_even_odd_rule(spark, cell):
+    rng = random.Random(2)
+    shapes = [(99, [[(-2.0, -2.0), (2.0, -2.0), (2.0, 2.0), (-2.0, 2.0)], [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0)]])]
+    for k in range(25):
+        cx, cy, r, n = rng.uniform(-3, 3), rng.uniform(-3, 3), rng.choice([0.02, 0.3, 1.0, 2.0]), rng.randrange(3, 30)
+        star = lambda s: [(cx + r * s * rng.uniform(0.5, 1) * math.cos(2 * math.pi * i / n), cy + r * s * rng.uniform(0.5, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        shapes.append((k, [star(1)] + ([star(0.4)] if k % 2 else [])))
+    pts = [(k, rng.uniform(-4, 4), rng.uniform(-4, 4)) for k in range(1500)]
+
+    def inside(x, y, rings):
+        return sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for r in rings for (x1, y1), (x2, y2) in zip(r, r[1:] + r[:1])) % 2
+
+    polys = spark.createDataFrame(shapes, "gid int, rings array<array<struct<x:double,y:double>>>")
+    odd = [(-1, None, 1.0), (-2, float("nan"), 0.0), (-3, float("inf"), 0.0), *pts[:40]]
+    got = [tuple(r) for r in joins.points_in_polygons(spark.createDataFrame(pts + odd, "pid long, x double, y double"), polys, "pid", "gid", cell).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(i, k) for i, x, y in pts for k, r in shapes if inside(x, y, r)}
+    whole, edges = joins.polygon_cells(polys, "gid", cell)
+    assert (whole.count() > 0) == (cell < 1) and edges.groupBy("gid", "_i", "_j").agg({"_n": "max", "*": "count"}).where("`max(_n)` <> `count(1)`").isEmpty()
+
+
 def test_fallback_chain_and_products(spark):
     zones = spark.createDataFrame([("z1", ["a", "b"]), ("z2", ["c"])], "zone string, chain array<string>")
     clim = spark.createDataFrame([("a", 1, None, 5.0), ("b", 1, 2.0, 6.0), ("r", 1, 3.0, 7.0)], "station string, doy int, wind double, wave double")
