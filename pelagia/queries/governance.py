@@ -196,8 +196,8 @@ def streaming_hourly(spark, sf):
     path = fresh_path(spark, "stream_hourly")
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     stream = jobs.stream_table(spark, f"{sf}/events.parquet*", schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    hourly = jobs.hourly(stream, "event_type", "ts", "value", "3 days")
-    jobs.run_available(hourly, f"{path}/checkpoint", jobs.upsert_sink(spark, f"{path}/table", ["event_type", "ts_hour"], ["n_obs"]), mode="update")
+    hourly = jobs.hourly(stream, "event_type", "ts", "value", "3 days").withColumn("day", F.to_date("ts_hour"))
+    jobs.run_available(hourly, f"{path}/checkpoint", jobs.upsert_sink(spark, f"{path}/table", ["event_type", "ts_hour"], ["n_obs"], "day"), mode="update")
     return jobs.latest_version(spark, f"{path}/table")
 
 

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+import uuid
+from collections.abc import Iterator
+
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.dedup import pick_row, unseen
 from ..sources.sinks import stored
 
+# The state processor sent to Python workers carries its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -30,38 +38,85 @@ def hourly(stream: DataFrame, station: str, ts: str, value: str, delay: str) ->
     return out.select(station, F.col("window.start").alias("ts_hour"), "mean_value", "n_obs")
 
 
-def upsert_sink(spark: SparkSession, path: str, keys: list[str], order: list[str]):
-    """foreachBatch writer that keeps the newest row per key as numbered versions of a table.
+def upsert_sink(spark: SparkSession, path: str, keys: list[str], order: list[str], partition: str, keep: int = 2, merge=None):
+    """foreachBatch writer that keeps the newest row per key (or what ``merge`` makes of the rows), copying only the partitions that a batch touches.
 
-    Each micro-batch is merged into the newest version that exists, whatever its own id, and written as the next one, so a new
-    checkpoint or a missing version loses no history. Merging a batch twice changes nothing. Updates of late data within the
-    watermark replace the provisional row.
+    ``partition`` is a column that the keys determine (the day of an hour, say), so all rows of a key lie in one partition. A batch
+    reads the partitions that it touches, merges them and writes them to a folder of its own; then one small manifest file, which
+    names the folder of every partition, makes the new version valid at once. What was written without a manifest is never read.
+    A table has one writer at a time. Merging a batch twice changes nothing. Of the versions, the last ``keep`` stay for readers; files that none of them names go.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        previous, number = newest_version(spark, path)
-        merged = pick_row(previous.select(*batch.columns).unionByName(batch) if previous is not None else batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/v={number + 1}")
+        manifest, _ = newest_manifest(spark, path)
+        # a number whose manifest was never finished is not used again
+        number = max((int(p.getName().removeprefix("v=")) for p in listed(spark, f"{path}/manifest/v=*")), default=-1)
+        rows = batch.withColumn("_part", part_name(partition))
+        touched = [r["_part"] for r in rows.select("_part").distinct().collect()]  # one per partition of a micro-batch
+        if not touched:
+            return
+        folder = f"{number + 1}-{uuid.uuid4().hex}"
+        if manifest is not None:
+            old = read_parts(spark, path, manifest.where(F.col("_part").isin(touched)))
+            rows = rows.unionByName(old.select(*rows.columns)) if old is not None else rows
+        merged = merge(rows) if merge else pick_row(rows, keys, order)
+        merged.repartition("_part", *keys).write.partitionBy("_part").parquet(f"{path}/data/_folder={folder}")
+        entries = spark.createDataFrame([(p, folder) for p in touched], "_part string, _folder string")
+        if manifest is not None:
+            entries = entries.unionByName(manifest.where(~F.col("_part").isin(touched)))
+        # one file, and an error if another writer has committed this number
+        entries.coalesce(1).write.parquet(f"{path}/manifest/v={number + 1}")
+        remove_unnamed(spark, path, number + 2 - keep)
     return write
 
 
-def newest_version(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
-    """Newest version of an upserted table with its number; None and -1 if there is none."""
+def part_name(partition: str) -> Column:
+    """Folder name of a partition's value; the prefix keeps it from being read as a date or number."""
+    return F.concat(F.lit("p-"), F.coalesce(F.col(partition).cast("string"), F.lit("null")))
+
+
+def newest_manifest(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """Rows (_part, _folder) of the newest complete version and its number; None and -1 if there is none."""
     try:
-        versions = spark.read.parquet(path)
+        versions = spark.read.schema("_part string, _folder string, v long").parquet(f"{path}/manifest")
+        newest = versions.agg(F.max("v").alias("v")).first()["v"]
     except AnalysisException as e:
-        if not {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"} & {e.getCondition()}:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None, -1
-    newest = versions.agg(F.max("v").alias("v")).first()["v"]
     return (versions.where(F.col("v") == newest).drop("v"), int(newest)) if newest is not None else (None, -1)
 
 
+def read_parts(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame | None:
+    """Rows of the partitions that the manifest names, with ``_part``; None if it names none."""
+    named = [f"{path}/data/_folder={r['_folder']}/_part={r['_part']}" for r in manifest.collect()]  # one per partition, not per row
+    return spark.read.option("basePath", f"{path}/data").parquet(*named).drop("_folder") if named else None
+
+
+def listed(spark: SparkSession, pattern: str) -> list:
+    """Hadoop paths that match a pattern, in whatever store the table lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [s.getPath() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []]
+
+
+def remove_unnamed(spark: SparkSession, path: str, oldest: int) -> None:
+    """Delete manifests before the number ``oldest`` and the partition folders that no later manifest names."""
+    kept = spark.read.schema("_part string, _folder string, v long").parquet(f"{path}/manifest").where(F.col("v") >= oldest)
+    named = {(f"_folder={r['_folder']}", f"_part={r['_part']}") for r in kept.select("_folder", "_part").distinct().collect()}
+    folders = {f for f, _ in named}
+    gone = [p for p in listed(spark, f"{path}/manifest/v=*") if int(p.getName().removeprefix("v=")) < oldest]
+    gone += [p for p in listed(spark, f"{path}/data/_folder=*") if p.getName() not in folders]
+    gone += [p for p in listed(spark, f"{path}/data/_folder=*/_part=*") if p.getParent().getName() in folders and (p.getParent().getName(), p.getName()) not in named]
+    for p in gone:
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
     """Newest complete version of an upserted table."""
-    table, _ = newest_version(spark, path)
-    if table is None:
+    manifest, _ = newest_manifest(spark, path)
+    rows = read_parts(spark, path, manifest) if manifest is not None else None
+    if rows is None:
         raise ValueError(f"no version of the table in {path}")
-    return table
+    return rows.drop("_part")
 
 
 def append_unseen_sink(spark: SparkSession, path: str, key: str):
@@ -80,17 +135,85 @@ def run_available(stream: DataFrame, checkpoint: str, sink=None, path: str | Non
 
 
 def freshness_sink(spark: SparkSession, path: str):
-    """Status per source from a stream of attempts: a failure keeps the last success.
+    """Status per source from a stream of attempts: a failure keeps the last success. One partition per source.
 
     attempts: source_identifier, attempted_utc, success, newest.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        new = batch.groupBy("source_identifier").agg(
-            F.max("attempted_utc").alias("last_attempted_fetch_utc"),
-            F.max(F.when(F.col("success"), F.col("attempted_utc"))).alias("last_successful_fetch_utc"),
-            F.max(F.when(F.col("success"), F.col("newest"))).alias("newest_valid_source_timestamp"))
-        old, number = newest_version(spark, path)
-        rows = old.select(*new.columns).unionByName(new) if old is not None else new
-        merged = rows.groupBy("source_identifier").agg(*[F.max(c).alias(c) for c in new.columns[1:]])
-        merged.write.mode("overwrite").parquet(f"{path}/v={number + 1}")
-    return write
+    fields = ["last_attempted_fetch_utc", "last_successful_fetch_utc", "newest_valid_source_timestamp"]
+    write = upsert_sink(spark, path, ["source_identifier"], [], "source_identifier",
+                        merge=lambda rows: rows.groupBy("source_identifier", "_part").agg(*[F.max(c).alias(c) for c in fields]))
+
+    def attempts(batch: DataFrame, batch_id: int) -> None:
+        write(batch.groupBy("source_identifier").agg(
+            F.max("attempted_utc").alias(fields[0]), F.max(F.when(F.col("success"), F.col("attempted_utc"))).alias(fields[1]),
+            F.max(F.when(F.col("success"), F.col("newest"))).alias(fields[2])), batch_id)
+    return attempts
+
+
+class Freshness(StatefulProcessor):
+    """Per source: when it last succeeded, and whether it has been silent for too long since. Times are microseconds since 1970.
+
+    A success makes a source fresh, a failure leaves the last success as it is, and ``limit`` after the last success a timer turns the
+    source stale, whether or not rows come. State is one row per source; attempts of one trigger are taken in order of time.
+    """
+
+    OUTPUT = "source_identifier string, at long, freshness string, success long, newest long"
+
+    def __init__(self, limit: int):
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("freshness", "success long, newest long, freshness string")
+
+    def known(self) -> tuple:
+        return tuple(self.state.get()) if self.state.exists() else (None, None, None)
+
+    def turn(self, key: str, at: int, freshness: str, success: int | None, newest: int | None) -> Iterator[Row]:
+        """Keep the new state, and give a row if the freshness differs from before."""
+        before = self.known()[2]
+        self.state.update((success, newest, freshness))
+        if before != freshness:
+            yield Row(source_identifier=key, at=at, freshness=freshness, success=success, newest=newest)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in sorted(rows, key=lambda r: (r.at, r.success)):
+            success, newest, freshness = self.known()
+            if freshness == "fresh" and r.at > success + self.limit:
+                yield from self.turn(key[0], success + self.limit, "stale", success, newest)
+            if r.success and (success is None or r.at >= success):
+                valid = [x for x in (newest, r.newest) if x is not None]
+                yield from self.turn(key[0], r.at, "fresh", r.at, max(valid, default=None))
+            elif success is None:
+                yield from self.turn(key[0], r.at, "failed", None, None)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        success, _, freshness = self.known()
+        if freshness == "fresh":
+            self.handle.registerTimer((success + self.limit) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        success, newest, freshness = self.known()
+        if freshness == "fresh":
+            yield from self.turn(key[0], success + self.limit, "stale", success, newest)
+
+    def close(self) -> None:
+        pass
+
+
+def freshness_transitions(attempts: DataFrame, stale_after: int, delay: str) -> DataFrame:
+    """Changes of freshness of every source, as a stream; a source that is silent for ``stale_after`` seconds turns stale when the watermark passes that time.
+
+    attempts: source_identifier, attempted_utc, success, newest.
+    """
+    rows = attempts.withWatermark("attempted_utc", delay).select(
+        "source_identifier", "attempted_utc", F.unix_micros("attempted_utc").alias("at"), F.coalesce("success", F.lit(False)).alias("success"), F.unix_micros("newest").alias("newest"))
+    turns = rows.groupBy("source_identifier").transformWithState(
+        statefulProcessor=Freshness(stale_after * 1_000_000), outputStructType=Freshness.OUTPUT, outputMode="append", timeMode="eventTime")
+    return turns.select("source_identifier", F.timestamp_micros("at").alias("at"), "freshness", F.timestamp_micros("success").alias("last_successful_fetch_utc"),
+                        F.timestamp_micros("newest").alias("newest_valid_source_timestamp"))
+
+
+def with_state_store(spark: SparkSession) -> None:
+    """Timers and typed state need the RocksDB state store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

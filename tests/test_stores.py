@@ -1,5 +1,7 @@
 """Restarts and retries of the stores: no history is lost and nothing is written twice."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from pelagia.functions.text import parse_counts
@@ -7,16 +9,56 @@ from pelagia.plans import ledger as led
 from pelagia.streaming import jobs
 
 
-def test_upsert_survives_a_new_checkpoint_and_a_missing_version(spark, tmp_path):
+def test_upsert_survives_a_new_checkpoint_and_copies_touched_partitions_only(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    rows = lambda *x: spark.createDataFrame([(k[0], k, n) for k, n in x], "day string, k string, n long")
+    files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.glob("table/data/*/*/*.parquet")}
+    sink = jobs.upsert_sink(spark, path, ["day", "k"], ["n"], "day")
+    sink(rows(("a1", 1), ("b1", 7)), 0)
+    sink(rows(("b2", 1)), 1)
+    a_files = {p: t for p, t in files().items() if "_part=p-a" in str(p)}
+    sink(rows(("c1", 5), ("b1", 2)), 0)  # a new checkpoint counts from 0 again, and late data does not win
+    sink(rows(("d1", 1)), 9)
+    sink(rows(("d1", 1)), 9)  # the batch is tried again
+    sink(rows(), 10)
+    want = {("a1", 1), ("b1", 7), ("b2", 1), ("c1", 5), ("d1", 1)}
+    assert {tuple(r) for r in jobs.latest_version(spark, path).select("k", "n").collect()} == want
+    assert a_files and a_files.items() <= files().items()  # untouched since the first batch
+    assert len({p.parent.parent for p in files()}) <= 4 and len(list(tmp_path.glob("table/manifest/v=*"))) == 2
+
+
+def test_a_half_committed_version_is_never_read(spark, tmp_path):
     path = f"file://{tmp_path}/table"
-    rows = lambda *x: spark.createDataFrame(x, "k string, n long")
-    sink = jobs.upsert_sink(spark, path, ["k"], ["n"])
-    sink(rows(("a", 1)), 0)
-    sink(rows(("b", 1)), 1)
-    sink(rows(("c", 5), ("a", 2)), 0)  # a new checkpoint counts from 0 again
-    sink(rows(("d", 1)), 9)
-    sink(rows(("d", 1)), 9)  # the batch is tried again
-    assert {tuple(r) for r in jobs.latest_version(spark, path).collect()} == {("a", 2), ("b", 1), ("c", 5), ("d", 1)}
+    rows = lambda *x: spark.createDataFrame(x, "day string, k string, n long")
+    sink = jobs.upsert_sink(spark, path, ["day", "k"], ["n"], "day")
+    sink(rows(("x", "a", 1), ("y", "b", 1)), 0)
+    # the driver is lost after it wrote some data files and before the manifest
+    rows(("x", "a", 99)).selectExpr("k", "n", "day", "'p-x' AS _part").write.partitionBy("_part").parquet(f"{path}/data/_folder=1-lost")
+    (tmp_path / "table/manifest/v=1/_temporary/0").mkdir(parents=True)
+    assert {tuple(r) for r in jobs.latest_version(spark, path).select("k", "n").collect()} == {("a", 1), ("b", 1)}
+    sink(rows(("x", "c", 3)), 1)
+    assert {tuple(r) for r in jobs.latest_version(spark, path).select("k", "n").collect()} == {("a", 1), ("b", 1), ("c", 3)}
+    assert not list(tmp_path.glob("table/data/_folder=1-lost"))
+
+
+def test_sources_turn_stale_in_stream_order(spark, tmp_path):
+    jobs.with_state_store(spark)
+    t = lambda day, hour=0: datetime(2026, 1, day, hour)
+    parts = [[("a", t(1), True, t(1)), ("b", t(1), False, None), ("b", t(1, 5), False, None), ("c", t(1), True, None)],
+             [("a", t(2), False, None), ("b", t(2), True, t(1)), ("d", t(2), True, t(2))],
+             [("a", t(6), True, t(5)), ("b", t(3), True, t(2)), ("b", t(3), True, t(3))]]
+    schema = "source_identifier string, attempted_utc timestamp, success boolean, newest timestamp"
+    got = {}
+    for run, groups in (("many", parts), ("one", [[x for p in parts for x in p]])):
+        src = f"file://{tmp_path}/{run}"
+        for rows in groups:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{src}/in")
+            changes = jobs.freshness_transitions(jobs.stream_table(spark, f"{src}/in", schema), 3 * 86_400, "1 hour")
+            jobs.run_available(changes, f"{src}/ck", path=f"{src}/out")
+        got[run] = sorted(tuple(r) for r in spark.read.parquet(f"{src}/out").select("source_identifier", "at", "freshness", "last_successful_fetch_utc").collect())
+    want = [("a", t(1), "fresh", t(1)), ("a", t(4), "stale", t(1)), ("a", t(6), "fresh", t(6)), ("b", t(1), "failed", None), ("b", t(2), "fresh", t(2)),
+            ("c", t(1), "fresh", t(1)), ("c", t(4), "stale", t(1)), ("d", t(2), "fresh", t(2)), ("d", t(5), "stale", t(2))]
+    assert got["one"] == want and got["many"] == want
 
 
 def test_freshness_keeps_the_last_success(spark, tmp_path):
