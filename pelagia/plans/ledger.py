@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,97 +120,118 @@ def finish_issuance(rows: DataFrame, zone_region: DataFrame, issue_utc: Column,
 
 
 def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """SHA-256 of a row's canonical text (columns in name order, nulls marked)."""
+    """SHA-256 of a row as JSON, columns in name order and nulls written out, so that no two different rows have one text.
+
+    Timestamps go in as microseconds, so the session's time zone has no effect.
+    """
+    kinds = dict(df.dtypes)
+    plain = lambda c: F.unix_micros(F.col(c)) if kinds[c] == "timestamp" else F.col(c)
     cols = sorted(columns or df.columns)
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols]), 256)
+    return F.sha2(F.to_json(F.struct(*[plain(c).alias(c) for c in cols]), {"ignoreNullFields": "false"}), 256)
 
 
-def content_checksum(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
-    """Order-free checksum aggregates of a table: two sums of digest parts, plus the row count."""
+def content_checksum(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Order-free checksum of a table with repeated rows, as one aggregate: sums of both halves of 64 digest bits, and the row count."""
     d = row_digest(df, columns)
-    part = lambda a: F.sum(F.conv(F.substring(d, a, 8), 16, 10).cast("decimal(38,0)"))
-    return [F.concat_ws("-", part(1).cast("string"), part(9).cast("string"), F.count(F.lit(1)).cast("string")).alias("content_sha256")]
+    part = lambda a: F.sum(F.conv(F.substring(d, a, 8), 16, 10).cast("decimal(38,0)")).cast("string")
+    return F.concat_ws("-", part(1), part(9), F.count(F.lit(1)).cast("string"))
 
 
-def append_issuance(spark: SparkSession, path: str, rows: DataFrame, created_utc: Column | None = None) -> bool:
-    """Write issuances not recorded yet; False when nothing was new. Existing files are never rewritten.
+#: Rows that a leaf of an issuance's hash tree holds, on average.
+LEAF_ROWS = 1000
 
-    Rows go to ``path/rows`` partitioned by month and issuance, one index row per issuance to
-    ``path/index`` with a content checksum and the digest of the previous index row.
-    """
-    fresh = rows
+
+def leaf_of(record_id: str, leaves: str | Column) -> Column:
+    """Number of the leaf that a record belongs to."""
+    return F.pmod(F.conv(F.substring(F.sha2(F.col(record_id), 256), 1, 8), 16, 10).cast("long"), F.col(leaves) if isinstance(leaves, str) else leaves).cast("int")
+
+
+def hash_leaves(rows: DataFrame) -> DataFrame:
+    """Lower level of the hash tree: per (issuance_id, leaf) the number of rows and the SHA-256 of its row digests in order."""
+    return rows.groupBy("issuance_id", "leaf").agg(
+        F.count(F.lit(1)).cast("long").alias("n"), F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("row_sha256"))), 256).alias("leaf_sha256"))
+
+
+def hash_roots(leaves: DataFrame) -> DataFrame:
+    """Upper level of the hash tree: per issuance the SHA-256 of its leaves, with their numbers, in order."""
+    named = F.concat_ws(":", F.lpad(F.col("leaf").cast("string"), 10, "0"), "leaf_sha256")
+    return leaves.groupBy("issuance_id").agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list(named))), 256).alias("content_sha256"))
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        index = spark.read.parquet(f"{path}/index")
-        known = index.select("issuance_id")
-        fresh = fresh.join(known, "issuance_id", "left_anti")
-        refs = index.where("source_ref <> ''").select("source_ref")
-        fresh = fresh.join(refs, "source_ref", "left_anti")
-        last = index.orderBy(F.desc("seq")).limit(1)
-        head = last.select("seq", row_digest(index, INDEX_HASHED).alias("digest")).first()
-    except Exception as e:  # no index yet
-        if "PATH_NOT_FOUND" not in str(e):
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        head = None
-    entry = fresh.groupBy("issuance_id", "issue_utc", "issue_local_date", "origin", "source_ref", "model_version").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("lead_days").alias("lead_min"), F.max("lead_days").alias("lead_max"),
-        *content_checksum(fresh))
-    entry = entry.orderBy("issue_utc").limit(2).collect()  # one issuance per run; two are refused
-    if not entry:
-        return False
-    if len(entry) > 1:
+        return None
+
+
+def append_issuance(spark: SparkSession, path: str, rows: DataFrame, created_utc: Column | None = None) -> bool:
+    """Write one issuance if it is not recorded yet; False when nothing was new, an error for several new ones."""
+    index = _stored(spark, f"{path}/index")
+    new = rows.select("issuance_id", "source_ref").distinct()
+    if index is not None:
+        new = new.join(index.select("issuance_id"), "issuance_id", "left_anti").join(index.where("source_ref <> ''").select("source_ref"), "source_ref", "left_anti")
+    n = new.select("issuance_id").distinct().limit(2).count()
+    if n > 1:
         raise ValueError("append one issuance at a time")
-    seq, prev = (head["seq"] + 1, head["digest"]) if head else (0, "")
-    folders = {"issue_month": F.date_format("issue_local_date", "yyyy-MM"), "issuance_part": F.col("issuance_id")}
-    # only the issuance's own folder is replaced, so an append that stopped before its index row can be repeated
-    fresh.withColumns(folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{path}/rows")
-    spark.createDataFrame(entry).withColumns({
-        "seq": F.lit(seq).cast("long"), "prev_index_row_sha256": F.lit(prev),
-        "created_utc": created_utc if created_utc is not None else F.current_timestamp()}).coalesce(1).write.mode(
-        "append").parquet(f"{path}/index")
-    return True
+    if n:
+        append_issuances(spark, path, rows, created_utc)
+    return n == 1
 
 
-def append_issuances(spark: SparkSession, path: str, rows: DataFrame, created_utc: Column | None = None) -> None:
+def append_issuances(spark: SparkSession, path: str, rows: DataFrame, created_utc: Column | None = None, leaf_rows: int = LEAF_ROWS) -> None:
     """Write all issuances not recorded yet, in one partitioned write; existing files are never rewritten.
 
-    Files are those of ``append_issuance``. Numbers follow the issue time; each row's chain value is the digest of the row numbered before
-    it. Only index rows, one per issuance, meet in one place.
+    Rows go to ``path/rows`` with their digest and leaf, partitioned by month and issuance; the leaves of each issuance's hash tree to
+    ``path/leaves``; then one index row per issuance, with the root of its tree, to ``path/index``. An append that stopped before its
+    index rows is invisible and can be repeated. Numbers follow the issue time; each index row holds the digest of the row numbered
+    before it. Only index rows, one per issuance, meet in one place.
     """
-    fresh, index = rows, None
-    try:
-        index = spark.read.parquet(f"{path}/index")
+    index = _stored(spark, f"{path}/index")
+    fresh = rows
+    if index is not None:
         fresh = fresh.join(index.select("issuance_id"), "issuance_id", "left_anti")
         fresh = fresh.join(index.where("source_ref <> ''").select("source_ref"), "source_ref", "left_anti")
-    except Exception as e:  # no index yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    # of several new issuances with one source the first counts, as it would if they came one by one
-    heads = fresh.select("issuance_id", "issue_utc", "issue_local_date", "origin", "source_ref", "model_version").distinct()
-    if not heads.groupBy("issuance_id").count().where("count > 1").isEmpty():
+    heads = ["issuance_id", "issue_utc", "issue_local_date", "origin", "source_ref", "model_version"]
+    entry = fresh.groupBy(*heads).agg(F.count(F.lit(1)).alias("n_rows"), F.min("lead_days").alias("lead_min"), F.max("lead_days").alias("lead_max"))
+    if not entry.groupBy("issuance_id").count().where("count > 1").isEmpty():
         raise ValueError("an issuance has several heads")
+    # of several new issuances with one source the first counts, as it would if they came one by one
     source = F.when(F.col("source_ref") != "", F.col("source_ref")).otherwise(F.concat(F.lit("\0"), "issuance_id"))
-    first = heads.groupBy(source.alias("_source")).agg(F.min_by("issuance_id", F.struct("issue_utc", "issuance_id")).alias("issuance_id"))
-    fresh = fresh.join(first.select("issuance_id"), "issuance_id", "left_semi")
+    first = entry.groupBy(source.alias("_source")).agg(F.min_by("issuance_id", F.struct("issue_utc", "issuance_id")).alias("issuance_id"))
+    entry = entry.join(first.select("issuance_id"), "issuance_id", "left_semi").withColumn("n_leaves", F.ceil(F.col("n_rows") / leaf_rows).cast("int"))
     folders = {"issue_month": F.date_format("issue_local_date", "yyyy-MM"), "issuance_part": F.col("issuance_id")}
-    fresh.withColumns(folders).repartition("issuance_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{path}/rows")
-    entry = fresh.groupBy("issuance_id", "issue_utc", "issue_local_date", "origin", "source_ref", "model_version").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("lead_days").alias("lead_min"), F.max("lead_days").alias("lead_max"), *content_checksum(fresh))
+    hashed = fresh.withColumn("row_sha256", row_digest(fresh)).join(entry.select("issuance_id", "n_leaves"), "issuance_id")
+    hashed = hashed.withColumn("leaf", leaf_of("record_id", "n_leaves")).drop("n_leaves").withColumns(folders)
+    # a task writes a thousand leaves of an issuance at most
+    dealt = hashed.repartition("issuance_id", F.floor(F.col("leaf") / 1000))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{path}/rows")
+    leaves = hash_leaves(hashed)
+    leaves.withColumn("issuance_part", F.col("issuance_id")).repartition("issuance_id").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("issuance_part").parquet(f"{path}/leaves")
+    entry = entry.join(hash_roots(leaves), "issuance_id")
     order = Window.orderBy("issue_utc", "issuance_id")
     new = entry.withColumns({"seq": F.row_number().over(order).cast("long") - 1, "prev_index_row_sha256": F.coalesce(F.lag(row_digest(entry, INDEX_HASHED)).over(order), F.lit(""))})
-    if index is not None:
-        head = index.orderBy(F.desc("seq")).limit(1).select("seq", row_digest(index, INDEX_HASHED).alias("digest")).first()
-    if index is not None and head:
+    head = index.orderBy(F.desc("seq")).limit(1).select("seq", row_digest(index, INDEX_HASHED).alias("digest")).first() if index is not None else None
+    if head:
         new = new.withColumns({"seq": F.col("seq") + head["seq"] + 1,
                                "prev_index_row_sha256": F.when(F.col("seq") == 0, head["digest"]).otherwise(F.col("prev_index_row_sha256"))})
     new.withColumn("created_utc", created_utc if created_utc is not None else F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/index")
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of indexed issuances only (an interrupted append stays invisible)."""
-    rows = spark.read.parquet(f"{path}/rows").drop("issue_month", "issuance_part")
+def read_ledger(spark: SparkSession, path: str, hashes: bool = False) -> DataFrame:
+    """Rows of indexed issuances only (an interrupted append stays invisible); with ``hashes`` also row_sha256 and leaf."""
+    rows = spark.read.parquet(f"{path}/rows").drop("issue_month", "issuance_part", *([] if hashes else ["row_sha256", "leaf"]))
     return rows.join(spark.read.parquet(f"{path}/index").select("issuance_id"), "issuance_id", "left_semi")
 
 
+def read_leaves(spark: SparkSession, path: str) -> DataFrame:
+    """Stored leaves of the hash trees of indexed issuances."""
+    return spark.read.parquet(f"{path}/leaves").drop("issuance_part").join(spark.read.parquet(f"{path}/index").select("issuance_id"), "issuance_id", "left_semi")
+
+
 def broken_chain(index: DataFrame) -> DataFrame:
     """Index rows whose stored previous digest differs from the row before (matched on seq, no global sort)."""
     prev = index.select((F.col("seq") + 1).alias("seq"), row_digest(index, INDEX_HASHED).alias("_prev"))
@@ -237,21 +259,33 @@ def forbidden_far_values(rows: DataFrame, columns: list[str] = ("wave_ft", "wind
     return far.where(bad).groupBy("issuance_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def verify_ledger(rows: DataFrame, index: DataFrame, source_columns: list[str], baseline: DataFrame | None = None) -> DataFrame:
-    """All violations as (issuance_id, error): counts, content, duplicates, chain, look-ahead, far sea state."""
-    actual = rows.groupBy("issuance_id").agg(F.count(F.lit(1)).alias("_n"), *[a.alias("_sum") for a in content_checksum(rows)])
-    j = index.join(actual, "issuance_id", "left")
-    checks = j.select("issuance_id", F.explode(F.array_compact(F.array(
-        F.when(F.col("_n").isNull(), "rows_missing"), F.when(F.col("_n") != F.col("n_rows"), "row_count_mismatch"),
-        F.when(F.col("_sum") != F.col("content_sha256"), "content_mismatch")))).alias("error"))
-    dup = rows.groupBy("issuance_id", "record_id").count().where("count > 1").select(
-        "issuance_id", F.lit("duplicate_record").alias("error")).distinct()
-    out = checks.unionByName(dup).unionByName(broken_chain(index))
-    out = out.unionByName(lookahead(rows, source_columns).select("issuance_id", "error").distinct())
-    out = out.unionByName(forbidden_far_values(rows).select("issuance_id", F.lit("far_sea_state").alias("error")))
+def verify_ledger(rows: DataFrame, leaves: DataFrame, index: DataFrame, source_columns: list[str], baseline: DataFrame | None = None) -> DataFrame:
+    """All violations of a ledger as (issuance_id, error, detail).
+
+    ``rows`` carry row_sha256 and leaf, ``leaves`` and ``index`` are as stored, ``baseline`` is an older index. A row that differs from its
+    own digest is named; rows that were added, removed or rewritten together with their digest show in their leaf, and leaves that were
+    rewritten as well show in the root. Also found: missing rows, wrong counts, duplicate records, a broken chain of the index,
+    sources later than the issue, sea state at far leads, and issuances that the baseline had and the index lost or rewrote.
+    """
+    content = [c for c in rows.columns if c not in ("row_sha256", "leaf")]
+    said = lambda df, error, detail=F.lit(None).cast("string"): df.select("issuance_id", F.lit(error).alias("error"), detail.cast("string").alias("detail"))
+    changed = rows.where(row_digest(rows.select(content)) != F.col("row_sha256"))
+    now = hash_leaves(rows)
+    state = now.groupBy("issuance_id").agg(F.sum("n").alias("_n")).join(hash_roots(now).withColumnRenamed("content_sha256", "_root"), "issuance_id")
+    indexed = index.select("issuance_id", "n_rows", "content_sha256").join(state, "issuance_id", "left")
+    here = indexed.where("_n is not null").select("issuance_id")
+    present = now.join(here, "issuance_id", "left_semi")
+    stored = leaves.join(here, "issuance_id", "left_semi").select("issuance_id", "leaf", F.col("leaf_sha256").alias("_stored"))
+    different = present.join(stored, ["issuance_id", "leaf"], "full_outer").where(~F.col("leaf_sha256").eqNullSafe(F.col("_stored")))
+    out = said(indexed.where("_n is null"), "rows_missing")
+    for part in (said(indexed.where("_n <> n_rows"), "row_count_mismatch"), said(indexed.where("_root <> content_sha256"), "content_mismatch"),
+                 said(changed, "row_modified", F.col("record_id")), said(different, "leaf_mismatch", F.col("leaf")),
+                 said(rows.groupBy("issuance_id", "record_id").count().where("count > 1"), "duplicate_record", F.col("record_id")),
+                 broken_chain(index).withColumn("detail", F.lit(None).cast("string")),
+                 said(lookahead(rows, source_columns), "look_ahead", F.col("source_column")), said(forbidden_far_values(rows), "far_sea_state", F.col("n"))):
+        out = out.unionByName(part)
     if baseline is not None:
         old = baseline.select("issuance_id", F.col("content_sha256").alias("_old"))
-        cmp = old.join(index.select("issuance_id", "content_sha256"), "issuance_id", "left")
-        out = out.unionByName(cmp.where("content_sha256 is null").select("issuance_id", F.lit("issuance_removed").alias("error")))
-        out = out.unionByName(cmp.where("content_sha256 <> _old").select("issuance_id", F.lit("issuance_rewritten").alias("error")))
+        both = old.join(index.select("issuance_id", "content_sha256"), "issuance_id", "left")
+        out = out.unionByName(said(both.where("content_sha256 is null"), "issuance_removed")).unionByName(said(both.where("content_sha256 <> _old"), "issuance_rewritten"))
     return out

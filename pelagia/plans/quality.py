@@ -95,8 +95,8 @@ def registry_violations(models: DataFrame, decisions: DataFrame, production_mode
 def copies_agree(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
     """Two published copies of a table: equal row count and order-free content checksum."""
     cols = sorted(left.columns)
-    a = left.agg(F.count(F.lit(1)).alias("n_left"), content_checksum(left, cols)[0].alias("_a"))
-    b = right.agg(F.count(F.lit(1)).alias("n_right"), content_checksum(right, cols)[0].alias("_b"))
+    a = left.agg(F.count(F.lit(1)).alias("n_left"), content_checksum(left, cols).alias("_a"))
+    b = right.agg(F.count(F.lit(1)).alias("n_right"), content_checksum(right, cols).alias("_b"))
     return a.join(b, F.lit(True)).select(F.lit(name).alias("table_name"), "n_left", "n_right", (F.col("_a") == F.col("_b")).alias("same_content"))
 
 

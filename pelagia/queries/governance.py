@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..plans import dashboard as db
 from ..plans import ledger as led
 from ..plans import quality as ql
-from ..session import fresh_path
+from ..session import fresh_path, staged
 from ..sources import sinks
 from ..streaming import jobs
 from . import effort as ef
@@ -160,7 +161,7 @@ def append_versions(spark, sf):
 def ledger_append(spark, sf):
     """Record the two largest issuances, once each although each is offered twice."""
     path = fresh_path(spark, "ledger_store")
-    rows = ev.ledger(spark, sf).withColumns({"issue_local_date": F.col("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": F.col("issuance_id"), "model_version": F.lit("v1")})
+    rows = ev.ledger(spark, sf).withColumns({"issue_local_date": F.col("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": F.col("issuance_id"), "model_version": F.lit("v1"), "record_id": F.concat_ws("|", "issuance_id", "target_date", "zone_id", "species_id")})
     for top in rows.groupBy("issuance_id").count().orderBy(F.desc("count"), "issuance_id").limit(2).collect():
         one = rows.where(F.col("issuance_id") == top["issuance_id"])
         led.append_issuance(spark, path, one)
@@ -174,12 +175,65 @@ def ledger_append(spark, sf):
 def ledger_append_all(spark, sf):
     """Record every issuance of the ledger, once each although all are offered twice."""
     path = fresh_path(spark, "ledger_store")
-    rows = ev.ledger(spark, sf).withColumns({"issue_local_date": F.col("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": F.col("issuance_id"), "model_version": F.lit("v1")})
+    rows = ev.ledger(spark, sf).withColumns({"issue_local_date": F.col("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": F.col("issuance_id"), "model_version": F.lit("v1"), "record_id": F.concat_ws("|", "issuance_id", "target_date", "zone_id", "species_id")})
     led.append_issuances(spark, path, rows)
     led.append_issuances(spark, path, rows)
     return spark.read.parquet(f"{path}/index")
 
 
+# one fault for every issuance, by its number modulo 12, in its first record
+part("p_faults", """SELECT *, (dense_rank() OVER (ORDER BY issue_utc, issuance_id) - 1) AS seq, (dense_rank() OVER (ORDER BY issue_utc, issuance_id) - 1) % 12 AS fault,
+    record_id = min(record_id) OVER (PARTITION BY issuance_id) AS victim, count(*) OVER (PARTITION BY issuance_id) AS n_rows,
+    ('0x' || substr(sha256(record_id), 1, 8))::BIGINT % ceil(count(*) OVER (PARTITION BY issuance_id) / 16)::BIGINT AS leaf
+  FROM (SELECT issuance_id, issue_utc, lead_days, concat_ws('|', issuance_id, target_date, zone_id, species_id) AS record_id FROM p_ledger)""")
+_LOST = "fault = 7"
+
+
+@query("q08_ledger_verification", "issuance_id s, error s, detail s", f"""
+  WITH one AS (SELECT * FROM p_faults WHERE victim)
+  SELECT issuance_id, 'rows_missing' AS error, NULL AS detail FROM one WHERE fault = 9
+  UNION ALL SELECT issuance_id, 'row_count_mismatch', NULL FROM one WHERE fault IN (0, 3, 5) AND n_rows - (fault = 0)::INT > 0
+  UNION ALL SELECT issuance_id, 'rows_missing', NULL FROM one WHERE fault = 0 AND n_rows = 1
+  UNION ALL SELECT issuance_id, 'content_mismatch', NULL FROM one WHERE fault IN (0, 2, 3, 8) AND n_rows - (fault = 0)::INT > 0
+  UNION ALL SELECT issuance_id, 'row_modified', record_id FROM one WHERE fault = 1
+  UNION ALL SELECT issuance_id, 'leaf_mismatch', leaf::VARCHAR FROM one WHERE fault IN (0, 2, 3) AND n_rows - (fault = 0)::INT > 0
+  UNION ALL SELECT issuance_id, 'duplicate_record', record_id FROM one WHERE fault = 3
+  UNION ALL SELECT issuance_id, 'hash_chain_broken', NULL FROM one WHERE fault IN (4, 6, 8, 9) AND seq > 0
+  UNION ALL SELECT issuance_id, 'far_sea_state', count(*)::VARCHAR FROM p_faults WHERE fault = 10 AND lead_days >= 15 GROUP BY 1
+  UNION ALL SELECT issuance_id, 'look_ahead', 'src_fetched' FROM one WHERE fault = 11
+  UNION ALL SELECT issuance_id, 'issuance_removed', NULL FROM one WHERE {_LOST}
+  UNION ALL SELECT issuance_id, 'issuance_rewritten', NULL FROM one WHERE fault = 8""")
+def ledger_verification(spark, sf):
+    """A ledger of all issuances in which every one has a fault: lost, changed, repeated and forged rows, forged and lost index rows, late sources."""
+    path = fresh_path(spark, "ledger_store")
+    c = F.col
+    rows = ev.ledger(spark, sf).withColumn("record_id", F.concat_ws("|", "issuance_id", "target_date", "zone_id", "species_id"))
+    heads = rows.select("issuance_id", "issue_utc").distinct()
+    numbers = heads.select("issuance_id", (F.row_number().over(Window.orderBy("issue_utc", "issuance_id")) - 1).alias("seq"))  # one row per issuance
+    fault = numbers.select("issuance_id", (c("seq") % 12).alias("fault"))
+    first = rows.groupBy("issuance_id").agg(F.min("record_id").alias("first_record"))
+    faults = staged(spark, sf, "ledger_faults", lambda: fault.join(first, "issuance_id"))
+    late = F.when(c("fault") == 11, c("issue_utc") + F.expr("interval 6 minutes")).otherwise(c("issue_utc"))
+    given = rows.join(faults, "issuance_id").withColumns({
+        "issue_local_date": c("issue_date"), "origin": F.lit("live_daily_refresh"), "source_ref": c("issuance_id"), "model_version": F.lit("v1"),
+        "wave_ft": F.when(c("fault") == 10, F.lit(3.0)), "wind_kt": F.lit(None).cast("double"), "src_fetched": F.date_format(late, "yyyy-MM-dd'T'HH:mm:ss'Z'")})
+    led.append_issuances(spark, path, given.drop("fault", "first_record"), leaf_rows=16)
+
+    index = spark.read.parquet(f"{path}/index")
+    stored = led.read_ledger(spark, path, hashes=True).join(faults, "issuance_id")
+    victim = c("record_id") == c("first_record")
+    kept = stored.where(~((c("fault") == 9) | (c("fault") == 0) & victim))
+    kept = kept.withColumn("bite_score", F.when(c("fault").isin(1, 2) & victim, c("bite_score") + 1).otherwise(c("bite_score")))
+    content = [x for x in kept.columns if x not in ("row_sha256", "leaf", "fault", "first_record")]
+    kept = kept.withColumn("row_sha256", F.when((c("fault") == 2) & victim, led.row_digest(kept, content)).otherwise(c("row_sha256")))
+    kept = kept.unionByName(kept.where((c("fault") == 3) & victim)).drop("fault", "first_record")
+    forged = index.join(faults.select("issuance_id", "fault"), "issuance_id").where("fault <> 7").withColumns({
+        "n_rows": c("n_rows") + F.when(c("fault") == 5, 1).otherwise(0),
+        "content_sha256": F.when(c("fault") == 8, F.sha2("content_sha256", 256)).otherwise(c("content_sha256")),
+        "prev_index_row_sha256": F.when(c("fault") == 4, F.lit("forged")).otherwise(c("prev_index_row_sha256"))}).drop("fault")
+    return led.verify_ledger(kept, led.read_leaves(spark, path), forged, ["src_fetched"], index)
+
+
 @query("k04_export_records", "l_returnflag s, record s", """
   SELECT l_returnflag, CAST(to_json({'l_returnflag': l_returnflag, 'n': count(*)}) AS VARCHAR) AS record FROM lineitem GROUP BY 1""")
 def export(spark, sf):

@@ -73,13 +73,31 @@ def test_ledger_is_write_once_and_tamper_evident(spark):
     assert ledger.append_issuance(spark, path, issuance(spark, "10", 5)) is True
     assert ledger.append_issuance(spark, path, issuance(spark, "10", 5, score=10.0)) is False
     assert ledger.append_issuance(spark, path, issuance(spark, "12", 3)) is True
-    index, rows = spark.read.parquet(f"{path}/index"), ledger.read_ledger(spark, path)
-    assert rows.count() == 2 and index.agg(F.max("seq")).first()[0] == 1
-    assert ledger.verify_ledger(rows, index, ["src_a"], index).count() == 0
+    index, rows, leaves = spark.read.parquet(f"{path}/index"), ledger.read_ledger(spark, path, hashes=True), ledger.read_leaves(spark, path)
+    assert rows.count() == 2 and index.agg(F.max("seq")).first()[0] == 1 and "row_sha256" not in ledger.read_ledger(spark, path).columns
+    found = lambda r, v, i: sorted(tuple(x) for x in ledger.verify_ledger(r, v, i, ["src_a"], index).collect())
+    assert found(rows, leaves, index) == []
     edited = rows.withColumn("bite_score", F.when(F.col("issuance_id") == "10", F.col("bite_score") + 1).otherwise(F.col("bite_score")))
-    assert [tuple(r) for r in ledger.verify_ledger(edited, index, ["src_a"]).collect()] == [("10", "content_mismatch")]
+    assert found(edited, leaves, index) == [("10", "row_modified", "10|x")]
+    # the forger writes the row's digest anew, then the leaf too
+    rehashed = edited.withColumn("row_sha256", ledger.row_digest(edited.drop("row_sha256", "leaf")))
+    assert found(rehashed, leaves, index) == [("10", "content_mismatch", None), ("10", "leaf_mismatch", "0")]
+    assert found(rehashed, ledger.hash_leaves(rehashed), index) == [("10", "content_mismatch", None)]
     forged = index.withColumn("n_rows", F.when(F.col("seq") == 0, F.lit(7)).otherwise(F.col("n_rows")))
-    assert "hash_chain_broken" in {r.error for r in ledger.verify_ledger(rows, forged, ["src_a"]).collect()}
+    assert found(rows, leaves, forged) == [("10", "row_count_mismatch", None), ("12", "hash_chain_broken", None)]
+    assert found(rows, leaves, index.where("seq = 1")) == [("10", "issuance_removed", None), ("12", "hash_chain_broken", None)]
+
+
+def test_digests_tell_rows_apart_and_ignore_the_time_zone(spark):
+    df = spark.createDataFrame([("a|b", "c", None), ("a", "b|c", None), ("a", None, "b"), ("a", "b", None)], "x string, y string, z string")
+    assert df.select(ledger.row_digest(df).alias("d")).distinct().count() == 4
+    t = spark.sql("select timestamp'2026-01-01 00:00:00Z' as t")
+    before = t.select(ledger.row_digest(t)).first()[0]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert t.select(ledger.row_digest(t)).first()[0] == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_lookahead_and_far_sea_state(spark):
