@@ -17,9 +17,38 @@ SHARED_SENSOR_ZONES = ["sd_bay", "mission_bay"]
 FAR_LEAD = 15
 FAR_FORBIDDEN = ["wave_model_ft", "wind_model_kt", "wave_model_period_s", "wave_proj_ft", "wind_proj_kt"]
 LIVE_ORIGIN = "live_daily_refresh"
+SCHEMA_VERSION = 1
+
+# Inputs kept with a near-term and with an extended row, and the columns of the ledger in order.
+NEAR_INPUTS = [
+    "sst_f", "sst_source", "sst_norm", "sst_anom_f", "sst_pctile", "sst_trend_7d", "shore_sst_f", "wave_ft", "swell_ft", "wave_period_s",
+    "swell_period_s", "wave_dir_deg", "wind_kt", "gust_kt", "wind_dir_deg", "pressure_hpa", "pressure_trend_24h", "cloud_pct", "air_temp_f",
+    "precip_mm", "tide_range_ft", "tide_exchanges", "max_exchange_rate_ft_h", "best_water_hour", "moon_illum", "moon_phase", "moon_age_days",
+    "front_f_per_nm", "sst_spread_f", "wave_norm", "wind_norm", "is_forecast", "enso_regime", "oni_latest"]
+EXTENDED_INPUTS = [
+    "sst_norm_f", "sst_proj_f", "sst_anom_proj_f", "sst_proj_lo_f", "sst_proj_hi_f", "sst_basis", "w_persistence", "w_enso_analog",
+    "w_cpc_outlook", "cpc_nudge_f", "sst_anom_core_f", "wave_proj_ft", "wind_proj_kt", "wave_norm_ft", "wind_norm_kt", "sea_state_published",
+    "sea_state_basis", "model_blend_weight", "pressure_trend_model_24h", "cpc_product", "cpc_temp_cat", "cpc_temp_prob", "enso_regime", "oni",
+    "enso_expected_anom_f", "analog_years", "tide_range_ft", "max_exchange_rate_ft_h", "best_water_hour", "moon_illum", "moon_phase"]
+SOURCE_COLUMNS = [
+    "src_mur_newest", "src_mur_freshness", "src_ndbc_newest_utc", "src_coops_wtemp_newest", "src_openmeteo_fetched_utc", "src_openmeteo_valid_to",
+    "src_cpc_814_issued", "src_cpc_wk34_issued", "src_oni_checked", "src_tides_fetched_utc", "src_failed"]
+LEDGER_COLUMNS = [
+    "record_id", "issuance_id", "schema_version", "origin", "source_ref", "issue_utc", "issue_local", "issue_local_date", "data_cutoff_utc",
+    "target_date", "lead_days", "lead_bucket", "horizon_tier", "confidence_key", "confidence_label", "zone_id", "region_id", "species_id",
+    "model_version", "bite_score", "bite_class", "p_good_or_better", "score_lo", "score_hi", "baseline_clim_score", "baseline_enso_score",
+    "baseline_enso_anom_f", "enso_regime", "oni", "core_score", "fishability", "anomaly_term", *[f"term_{t}" for t in TERMS],
+    "missing_drivers", "basis", "sst_f", "sst_anom_f", "sst_source", "wave_ft", "wind_kt", "tide_range_ft", "moon_illum",
+    "pressure_trend_24h", "front_f_per_nm", "inputs_json", *SOURCE_COLUMNS, "dq_flags"]
 INDEX_HASHED = ["issuance_id", "issue_utc", "origin", "source_ref", "model_version", "n_rows", "content_sha256"]
 
 
+def status_rows(documents: DataFrame, json: str) -> DataFrame:
+    """Rows of the source status, one per source, from its JSON document (or several); one that cannot be read gives none."""
+    source = "source_identifier string, freshness string, newest_valid_source_timestamp string, last_successful_fetch_utc string"
+    return documents.select(F.inline(F.from_json(json, f"sources array<struct<{source.replace(' string', ': string')}>>")["sources"])).where("source_identifier is not null")
+
+
 def source_fields(sources: DataFrame) -> DataFrame:
     """One row of provenance columns from the per-source status rows."""
     s, newest, got = F.col("source_identifier"), F.col("newest_valid_source_timestamp"), F.col("last_successful_fetch_utc")
@@ -87,7 +116,10 @@ def issuance_rows(near: DataFrame, extended: DataFrame, today: Column) -> DataFr
     common = ["date", "lead_days", "zone_id", "species_id", "bite_score", "score_lo", "score_hi", "core_score",
               "fishability", "anomaly_term", *[f"term_{t}" for t in TERMS], "missing_drivers", "basis", "sst_f",
               "sst_anom_f", "sst_source", "wave_ft", "wind_kt", "tide_range_ft", "moon_illum", "pressure_trend_24h",
-              "inputs_json"]
+              "front_f_per_nm", "inputs_json"]
+    if "front_f_per_nm" not in a.columns:
+        a = a.withColumn("front_f_per_nm", F.lit(None).cast("double"))
+    b = b.withColumn("front_f_per_nm", F.lit(None).cast("double"))
     return a.select(*common).unionByName(b.select(*common)).withColumnRenamed("date", "target_date")
 
 
@@ -119,6 +151,44 @@ def finish_issuance(rows: DataFrame, zone_region: DataFrame, issue_utc: Column,
         "dq_flags": own}).drop("labelled")
 
 
+def build_issuance(near: DataFrame, conditions: DataFrame, extended: DataFrame, outlook: DataFrame, curve: DataFrame, composite: DataFrame,
+                   current: DataFrame, subjects: DataFrame, zone_region: DataFrame, status: DataFrame, issued: DataFrame, *, issue_utc: Column,
+                   data_cutoff_utc: Column, today: Column, origin: str, source_ref: str, model_version: str, zone: str = LOCAL_ZONE) -> DataFrame:
+    """All rows of one issuance, in the ledger's columns: near-term scores for leads 0 to 6 and extended ones for 7 to 30.
+
+    ``near`` and ``extended`` are score rows, ``conditions`` and ``outlook`` the zone-days they came from, ``status`` the rows of the source
+    status, ``issued`` (product, issued) the outlook products' dates, ``current`` one row with oni and simple_regime, ``zone_region`` one
+    row per zone. Inputs are packed per zone-day of the horizon before they meet the scores. One-row states enter as scalar subqueries.
+    """
+    c, horizon = F.col, lambda df, a, b: df.where(c("date").between(F.date_add(today, a), F.date_add(today, b)))
+    lead = F.datediff("date", today)
+
+    def inputs(df: DataFrame, names: list[str], taken: list[str]) -> DataFrame:
+        days = df.withColumn("lead_days", lead)
+        return days.select("zone_id", "date", *[c(x) for x in taken if x in df.columns], inputs_json([x for x in names if x in df.columns]).alias("inputs_json"))
+
+    scored = ["date", "zone_id", "species_id", "missing_drivers", "anomaly_term"]
+    a = horizon(near, 0, 6).select(*scored, "score", "core_score", "fishability", *[f"term_{t}" for t in TERMS])
+    a = a.join(inputs(horizon(conditions, 0, 6), NEAR_INPUTS, ["sst_f", "sst_anom_f", "sst_source", "wave_ft", "wind_kt", "tide_range_ft", "moon_illum",
+                                                              "pressure_trend_24h", "front_f_per_nm"]), ["zone_id", "date"], "left")
+    b = horizon(extended, 7, 30).select(*scored, "score_outlook", "score_lo", "score_hi", "fishability_outlook", "basis",
+                                        *[x for x in (f"term_{t}" for t in TERMS) if x in extended.columns])
+    b = b.join(inputs(horizon(outlook, 7, 30), EXTENDED_INPUTS, ["sst_proj_f", "sst_anom_proj_f", "wave_proj_ft", "wind_proj_kt", "tide_range_ft", "moon_illum",
+                                                                "pressure_trend_model_24h"]), ["zone_id", "date"], "left")
+    rows = issuance_rows(a, b, today).withColumns({
+        "inputs_json": F.coalesce("inputs_json", F.lit("{}")), "missing_drivers": F.coalesce("missing_drivers", F.lit("")),
+        "_now": current.select(F.struct(c("simple_regime"), c("oni"))).scalar(), "_src": source_fields(status).select(F.struct("*")).scalar(),
+        "_issued": issued.agg(F.map_from_entries(F.collect_list(F.struct("product", "issued")))).scalar()})
+    rows = with_baselines(rows.withColumn("simple_regime", c("_now.simple_regime")), curve, composite, subjects)
+    rows = rows.withColumns({
+        **{x: c(f"_src.{x}") for x in SOURCE_COLUMNS if "cpc" not in x}, "src_cpc_814_issued": F.try_element_at("_issued", F.lit("cpc_814_temp")),
+        "src_cpc_wk34_issued": F.try_element_at("_issued", F.lit("cpc_wk34_temp")), "enso_regime": c("simple_regime"), "oni": c("_now.oni"),
+        "schema_version": F.lit(SCHEMA_VERSION), "data_cutoff_utc": data_cutoff_utc,
+        "issue_local": F.date_format(F.from_utc_timestamp(issue_utc, zone), "yyyy-MM-dd'T'HH:mm:ss")})
+    done = finish_issuance(rows, zone_region, issue_utc, today, origin, source_ref, model_version, c("_src.src_flags"), zone)
+    return done.select(*LEDGER_COLUMNS)
+
+
 def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
     """SHA-256 of a row as JSON, columns in name order and nulls written out, so that no two different rows have one text.
 

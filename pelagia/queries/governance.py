@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import features as ft
+from ..plans import conditions as cond
 from ..plans import dashboard as db
 from ..plans import ledger as led
 from ..plans import quality as ql
@@ -14,9 +16,10 @@ from ..streaming import jobs
 from . import effort as ef
 from . import evaluation as ev
 from . import inputs as i
+from . import outlook as ou
 from .outlook import outlook
 from .registry import query
-from .sqlparts import part
+from .sqlparts import clamp_sql, even_sql, part, soft_sql
 
 
 @query("q01_table_checks", "table_name s, n_rows l, duplicate_keys l, null_keys l, ok b", """
@@ -181,6 +184,71 @@ def ledger_append_all(spark, sf):
     return spark.read.parquet(f"{path}/index")
 
 
+# a source status in six families, from the events of each user
+part("p_status", """SELECT CASE user_id % 6 WHEN 0 THEN 'mur_sst' WHEN 1 THEN 'ndbc:' || user_id WHEN 2 THEN 'coops:' || user_id || ':water_temperature' WHEN 3 THEN 'coops:' || user_id || ':predictions'
+    WHEN 4 THEN 'openmeteo:' || user_id ELSE 'cpc_oni' END AS source_identifier, max(ts) FILTER (value < 200) AS newest, max(ts) AS fetched,
+  CASE count(*) % 4 WHEN 0 THEN 'failed' WHEN 1 THEN 'stale' ELSE 'fresh' END AS freshness FROM events GROUP BY 1""")
+_TODAY = i.AS_OF_DAY
+_iso = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
+part("p_source_fields", f"""SELECT max({_iso.format('newest')}) FILTER (source_identifier = 'mur_sst') AS mur, max(freshness) FILTER (source_identifier = 'mur_sst') AS mur_freshness,
+  max(date_trunc('second', newest)) FILTER (starts_with(source_identifier, 'ndbc:')) AS ndbc, max({_iso.format('newest')}) FILTER (starts_with(source_identifier, 'coops:') AND ends_with(source_identifier, 'water_temperature')) AS wtemp,
+  min({_iso.format('fetched')}) FILTER (starts_with(source_identifier, 'openmeteo:')) AS meteo, min({_iso.format('newest')}) FILTER (starts_with(source_identifier, 'openmeteo:')) AS meteo_to,
+  max({_iso.format('fetched')}) FILTER (source_identifier = 'cpc_oni') AS oni_checked, min({_iso.format('fetched')}) FILTER (starts_with(source_identifier, 'coops:') AND ends_with(source_identifier, 'predictions')) AS tides,
+  string_agg(source_identifier, ',' ORDER BY source_identifier) FILTER (freshness = 'failed') AS failed, count(*) FILTER (freshness = 'failed') AS n_failed FROM p_status""")
+part("p_issue_ext", f"""SELECT o.zone_id, o.species_id, o.date, o.lead_days, o.doy, o.month, o.anomaly_pref, e.mid AS score, greatest(1.0, e.mid - e.rl) AS lo, least(99.9, e.mid + e.rh) AS hi, CAST(NULL AS DOUBLE) AS core_score, NULL AS term_pressure, {even_sql('t_tide', 3)} AS term_tide,
+  CASE WHEN o.published THEN {even_sql('100 * acc', 1)} END AS fishability, CASE WHEN o.published THEN 'model-blended conditions + exact tide/moon' ELSE 'climatology + ENSO analog + exact tide/moon' END AS basis, 'projected (persistence + ENSO analog + CPC)' AS sst_source,
+  {even_sql('o.sst', 2)} AS sst_f, CASE WHEN o.lead_days < 15 THEN {even_sql('o.wave_p', 2)} END AS wave_ft, CASE WHEN o.lead_days < 15 THEN {even_sql('o.wind_p', 2)} END AS wind_kt, CASE WHEN o.lead_days < 15 THEN o.pressure_trend_model_24h END AS pressure, CAST(NULL AS DOUBLE) AS front,
+  concat_ws(',', CASE WHEN o.sst IS NULL AND w_sst > 0 THEN 'sst' END, CASE WHEN t_season IS NULL AND w_season > 0 THEN 'season' END, CASE WHEN t_tide IS NULL AND w_tide > 0 THEN 'tide' END, CASE WHEN t_moon IS NULL AND w_moon > 0 THEN 'moon' END,
+    CASE WHEN w_pressure > 0 THEN 'pressure' END, CASE WHEN t_swell IS NULL AND w_swell > 0 THEN 'swell' END, CASE WHEN w_front > 0 THEN 'front' END, CASE WHEN w_chl > 0 THEN 'chl' END) AS missing,
+  o.wave_p IS NOT NULL AND o.lead_days < 15 AS has_wave FROM p_os2 o JOIN p_os5 e ON e.zone_id = o.zone_id AND e.species_id = o.species_id AND e.date = o.date""")
+part("p_issue_near", f"""SELECT s.zone_id, s.species_id, s.date, CAST(s.date - DATE '{_TODAY}' AS INT) AS lead_days, s.doy, s.month, s.anomaly_pref, s.score, NULL AS lo, NULL AS hi, s.core_score, s.term_pressure, s.term_tide, s.fishability,
+  CASE WHEN s.date > DATE '{_TODAY}' THEN 'observed + deterministic forecast' ELSE 'observed/nowcast' END AS basis, c.sst_source, c.sst_f, c.wave_ft, c.wind_kt, c.pressure_trend_24h AS pressure, c.front_f_per_nm AS front, s.missing_drivers AS missing,
+  c.wave_ft IS NOT NULL AS has_wave FROM p_scores s JOIN p_conditions c ON c.zone_id = s.zone_id AND c.date = s.date WHERE s.score IS NOT NULL AND s.date BETWEEN DATE '{_TODAY}' AND DATE '{_TODAY}' + 6""")
+_inverse = "(CASE WHEN clim / 100.0 <= 0.9 THEN clim / 100.0 ELSE 0.9 - 0.1 * ln(1.0 - least((clim / 100.0 - 0.9) / 0.1, 0.999999)) END)"
+_turned = clamp_sql(_inverse + " * " + clamp_sql("1.0 + anomaly_pref * (an / 2.5) * 0.45", 0.35, 1.35), 0.01, 1.35)
+
+
+@query("b06_build_issuance", "record_id s, issuance_id s, issue_local s, target_date t, lead_days i, lead_bucket s, horizon_tier i, confidence_key s, region_id s, bite_score d1, bite_class s, p_good_or_better d4, score_lo d1, score_hi d1, baseline_clim_score d1, "
+       "baseline_enso_score d1, baseline_enso_anom_f d3, enso_regime s, oni d2, core_score d1, fishability d1, term_tide d3, term_pressure d3, missing_drivers s, basis s, sst_f d2, sst_source s, wave_ft d2, wind_kt d2, pressure_trend_24h d3, "
+       "front_f_per_nm d4, has_wave b, src_mur_newest s, src_mur_freshness s, src_ndbc_newest_utc z, src_coops_wtemp_newest s, src_openmeteo_fetched_utc s, src_openmeteo_valid_to s, src_cpc_814_issued s, src_oni_checked s, src_tides_fetched_utc s, "
+       "src_failed s, dq_flags s", f"""
+  SELECT concat_ws('|', '{_TODAY}T1330PT_v1', date, zone_id, species_id) AS record_id, '{_TODAY}T1330PT_v1' AS issuance_id, '{_TODAY}T13:30:00' AS issue_local, date AS target_date, lead_days,
+    CASE WHEN lead_days <= 3 THEN '0-3' WHEN lead_days <= 7 THEN '4-7' WHEN lead_days <= 14 THEN '8-14' ELSE '15-30' END AS lead_bucket, CASE WHEN lead_days <= 6 THEN 1 WHEN lead_days <= 14 THEN 2 ELSE 3 END AS horizon_tier,
+    CASE WHEN lead_days <= 6 THEN 'high' WHEN lead_days <= 14 THEN 'moderate' ELSE 'outlook' END AS confidence_key, region_id, score AS bite_score,
+    CASE WHEN score >= 90 THEN 'Excellent' WHEN score >= 75 THEN 'Very Good' WHEN score >= 60 THEN 'Good' WHEN score >= 40 THEN 'Fair' ELSE 'Poor' END AS bite_class,
+    {even_sql('1 / (1 + exp(-(score - 60) / CASE WHEN lead_days <= 3 THEN 8 WHEN lead_days <= 7 THEN 10 WHEN lead_days <= 14 THEN 14 ELSE 20 END))', 4)} AS p_good_or_better, lo AS score_lo, hi AS score_hi, clim AS baseline_clim_score,
+    CASE WHEN clim IS NOT NULL AND an IS NOT NULL THEN {even_sql('100 * ' + soft_sql('r'), 1)} END AS baseline_enso_score, CASE WHEN clim IS NOT NULL THEN an END AS baseline_enso_anom_f, simple_regime AS enso_regime, oni, core_score, fishability, term_tide, term_pressure,
+    nullif(missing, '') AS missing_drivers, basis, sst_f, sst_source, wave_ft, wind_kt, pressure AS pressure_trend_24h, front AS front_f_per_nm, has_wave, mur AS src_mur_newest, mur_freshness AS src_mur_freshness, ndbc AS src_ndbc_newest_utc,
+    wtemp AS src_coops_wtemp_newest, meteo AS src_openmeteo_fetched_utc, meteo_to AS src_openmeteo_valid_to, '2001-06-29' AS src_cpc_814_issued, oni_checked AS src_oni_checked, tides AS src_tides_fetched_utc, failed AS src_failed,
+    nullif(concat_ws(';', CASE WHEN mur_freshness IN ('failed', 'stale', 'delayed') THEN 'mur_' || mur_freshness END, CASE WHEN n_failed > 0 THEN 'sources_failed=' || n_failed END, CASE WHEN missing <> '' THEN 'missing_drivers' END,
+      CASE WHEN lead_days <= 6 AND contains(lower(sst_source), 'model') THEN 'sst_modelled_not_observed' END, CASE WHEN lead_days = 0 THEN 'lead0_issued_after_local_noon' END, CASE WHEN NOT labelled THEN 'no_outcome_source' END,
+      CASE WHEN lead_days >= 15 THEN 'no_daily_sea_state;fishability_default' WHEN lead_days >= 7 THEN 'model_decayed_toward_climatology' END), '') AS dq_flags
+  FROM (SELECT q.*, k.mean_anom_f AS an, c.climatological_score AS clim, {_turned.replace('clim', 'c.climatological_score').replace('(an ', '(k.mean_anom_f ')} AS r, z.region_id, z.labelled, w.simple_regime, w.oni, f.*
+    FROM (SELECT * FROM p_issue_near UNION ALL BY NAME SELECT * FROM p_issue_ext) q CROSS JOIN p_current w CROSS JOIN p_source_fields f
+    LEFT JOIN p_curve c ON c.zone_id = q.zone_id AND c.species_id = q.species_id AND c.doy = q.doy LEFT JOIN p_comp k ON k.zone_id = q.zone_id AND k.month = q.month AND k.simple_regime = w.simple_regime
+    LEFT JOIN (SELECT * FROM p_zone_region QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY region_id) = 1) z ON z.zone_id = q.zone_id)""")
+def build_issuance(spark, sf):
+    """One whole issuance of today's scores and the outlook, with its provenance, recorded and read back."""
+    path, c = fresh_path(spark, "issuance_store"), F.col
+    family = c("user_id") % 6
+    ident = (F.when(family == 0, "mur_sst").when(family == 1, F.concat(F.lit("ndbc:"), "user_id")).when(family == 2, F.concat(F.lit("coops:"), "user_id", F.lit(":water_temperature")))
+             .when(family == 3, F.concat(F.lit("coops:"), "user_id", F.lit(":predictions"))).when(family == 4, F.concat(F.lit("openmeteo:"), "user_id")).otherwise("cpc_oni"))
+    iso = lambda x: F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    sources = i.events(spark, sf).groupBy(ident.alias("source_identifier")).agg(
+        iso(F.max(F.when(c("value") < 200, c("ts")))).alias("newest_valid_source_timestamp"), iso(F.max("ts")).alias("last_successful_fetch_utc"),
+        F.when(F.count("*") % 4 == 0, "failed").when(F.count("*") % 4 == 1, "stale").otherwise("fresh").alias("freshness"))
+    document = sources.agg(F.to_json(F.struct(F.collect_list(F.struct("*")).alias("sources"))).alias("status"))  # one row per source
+    issued = spark.createDataFrame([("cpc_814_temp", "2001-06-29"), ("cpc_month_temp", "2001-06-21")], "product string, issued string")
+    region = ev.zone_region(spark, sf).groupBy("zone_id").agg(F.min(F.struct("region_id", "labelled")).alias("r")).select("zone_id", "r.*")
+    comp = ft.regime_composite(i.satellite_anomaly(spark, sf), i.labelled_index(spark, sf), "zone_id", "sst_anom_f")
+    rows = led.build_issuance(
+        i.scores(spark, sf), i.conditions(spark, sf), ou.outlook_scores(spark, sf), ou.outlook(spark, sf), i.curve(spark, sf), comp, cond.current_index(i.climate_index(spark, sf)),
+        i.subjects(spark, sf), region, led.status_rows(document, "status"), issued, issue_utc=F.lit(f"{_TODAY} 20:30:00").cast("timestamp"),
+        data_cutoff_utc=F.lit(f"{_TODAY} 20:00:00").cast("timestamp"), today=F.lit(_TODAY).cast("date"), origin=led.LIVE_ORIGIN, source_ref="run:1", model_version="v1")
+    led.append_issuances(spark, path, rows)
+    return led.read_ledger(spark, path).withColumn("has_wave", F.col("inputs_json").rlike('"(wave_ft|wave_proj_ft)"'))
+
+
 # one fault for every issuance, by its number modulo 12, in its first record
 part("p_faults", """SELECT *, (dense_rank() OVER (ORDER BY issue_utc, issuance_id) - 1) AS seq, (dense_rank() OVER (ORDER BY issue_utc, issuance_id) - 1) % 12 AS fault,
     record_id = min(record_id) OVER (PARTITION BY issuance_id) AS victim, count(*) OVER (PARTITION BY issuance_id) AS n_rows,

@@ -137,3 +137,39 @@ def test_entry_and_sql_share_names(spark):
     import __spark_entry__ as e
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and e.FLAGSHIP in q and len(q) > 100
+
+
+def test_an_issuance_is_built_whole(spark):
+    """Both horizons, far-lead fields removed, provenance from the status document, hindcast days left out."""
+    day = lambda k: D(2026, 9, 10) + dt.timedelta(days=k)
+    terms = [f"term_{t}" for t in TERMS]
+    near = spark.createDataFrame([(day(k), z, "s", "front" if k == 1 else "", 1.0, 70.0, 72.0, 80.0, *[0.5] * 8) for k in range(-2, 9) for z in ("sd_bay", "far")],
+                                 "date date, zone_id string, species_id string, missing_drivers string, anomaly_term double, score double, core_score double, fishability double, " + ", ".join(f"{t} double" for t in terms))
+    cond = spark.createDataFrame([(day(k), z, 66.0, "Open-Meteo marine model", 3.0, None, "x") for k in range(-2, 9) for z in ("sd_bay",)],
+                                 "date date, zone_id string, sst_f double, sst_source string, wave_ft double, wind_kt double, unlisted string").withColumn("sst_anom_f", F.lit(1.0)).withColumn(
+        "tide_range_ft", F.lit(4.0)).withColumn("moon_illum", F.lit(0.5)).withColumn("pressure_trend_24h", F.lit(-1.0))
+    ext = spark.createDataFrame([(day(k), "sd_bay", "s", "", 1.0, 55.0, 50.0, 60.0, 75.0, "b", 0.4) for k in range(5, 33)],
+                                "date date, zone_id string, species_id string, missing_drivers string, anomaly_term double, score_outlook double, score_lo double, score_hi double, fishability_outlook double, basis string, term_sst double")
+    out = spark.createDataFrame([(day(k), "sd_bay", 65.0, 0.5, 4.0, 9.0, 4.0, 0.5, 2.0) for k in range(5, 33)],
+                                "date date, zone_id string, sst_proj_f double, sst_anom_proj_f double, wave_proj_ft double, wind_proj_kt double, tide_range_ft double, moon_illum double, pressure_trend_model_24h double")
+    curve = spark.createDataFrame([("sd_bay", "s", d, 50.0) for d in range(240, 300)], "zone_id string, species_id string, doy int, climatological_score double")
+    comp = spark.createDataFrame([("sd_bay", 9, "El Nino", 1.25)], "zone_id string, month int, simple_regime string, mean_anom_f double")
+    now = spark.createDataFrame([("El Nino", 1.1)], "simple_regime string, oni double")
+    subjects = spark.createDataFrame([("s", 1.0)], "species_id string, anomaly_pref double")
+    region = spark.createDataFrame([("sd_bay", "bays", False), ("far", "offshore", True)], "zone_id string, region_id string, labelled boolean")
+    status = '{"sources": [{"source_identifier": "mur_sst:1", "freshness": "stale", "newest_valid_source_timestamp": "2026-09-08"}, {"source_identifier": "ndbc:1", "freshness": "failed", "newest_valid_source_timestamp": "2026-09-10T10:00:00Z"}]}'
+    docs = spark.createDataFrame([(status,), ("not json",), (None,)], "status string")
+    issued = spark.createDataFrame([("cpc_814_temp", "2026-09-09")], "product string, issued string")
+    rows = ledger.build_issuance(near, cond, ext, out, curve, comp, now, subjects, region, ledger.status_rows(docs, "status"), issued, issue_utc=F.lit("2026-09-10 20:30:00").cast("timestamp"),
+                                 data_cutoff_utc=F.lit("2026-09-10 20:00:00").cast("timestamp"), today=F.lit("2026-09-10").cast("date"), origin="backfill", source_ref="r", model_version="v1")
+    got = {(r.zone_id, r.lead_days): r for r in rows.collect()}
+    assert rows.columns == ledger.LEDGER_COLUMNS and sorted(got) == sorted([("sd_bay", k) for k in range(31)] + [("far", k) for k in range(7)])
+    a, b, c, d = got["sd_bay", 0], got["sd_bay", 14], got["sd_bay", 15], got["far", 1]
+    assert a.inputs_json == '{"moon_illum":0.5,"pressure_trend_24h":-1.0,"sst_anom_f":1.0,"sst_f":66.0,"sst_source":"Open-Meteo marine model","tide_range_ft":4.0,"wave_ft":3.0}'
+    assert a.dq_flags == "mur_stale;sources_failed=1;backfill;sst_modelled_not_observed;lead0_issued_after_local_noon;shared_bay_thermistor;no_outcome_source"
+    assert (b.wave_ft, b.wind_kt, b.pressure_trend_24h, b.term_sst, b.term_moon, b.core_score) == (4.0, 9.0, 2.0, 0.4, None, None) and "wave_proj_ft" in b.inputs_json
+    assert (c.wave_ft, c.wind_kt, c.pressure_trend_24h) == (None, None, None) and "wave_proj_ft" not in c.inputs_json and c.dq_flags.endswith("no_daily_sea_state;fishability_default")
+    assert (d.inputs_json, d.sst_f, d.baseline_clim_score, d.missing_drivers) == ("{}", None, None, "front") and "missing_drivers" in d.dq_flags
+    assert (a.src_mur_newest, a.src_failed, a.src_cpc_814_issued, a.src_cpc_wk34_issued) == ("2026-09-08", "ndbc:1", "2026-09-09", None) and a.issue_local == "2026-09-10T13:30:00"
+    assert (a.baseline_clim_score, a.baseline_enso_anom_f, a.enso_regime, a.oni, a.record_id) == (50.0, 1.25, "El Nino", 1.1, "2026-09-10T1330PT_v1|2026-09-10|sd_bay|s")
+    assert ledger.forbidden_far_values(rows).isEmpty()
