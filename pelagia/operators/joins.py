@@ -210,6 +210,31 @@ def gradient(grid: DataFrame, value: str, date: str = "date", row: str = "lat_id
     return grid.withColumn("d_col", slope([date, row], col)).withColumn("d_row", slope([date, col], row))
 
 
+def nearest_node(grid: DataFrame, date: str, value: str, idx: str, targets: DataFrame, target_id: str, target: str, out: str) -> DataFrame:
+    """Per day and target, the index of the axis node whose value is nearest; ties go to the lower index.
+
+    The axis is cut into cells as wide as the widest gap between neighbouring nodes of any day. A node lies in one cell, a target is
+    looked up in its own cell and the two beside it, which hold the nearest node of every target between a day's ends; the first and
+    last node of a day are also listed in the cells beyond, where nothing else is nearer. Targets without a value have no node.
+    """
+    known = F.col(value).isNotNull() & ~F.isnan(value)
+    nodes = grid.where(known).select(date, value, idx).distinct()
+    w = Window.partitionBy(date)  # one axis of a day
+    nodes = nodes.withColumns({"_gap": F.lead(value).over(w.orderBy(value, idx)) - F.col(value), "_first": F.min(value).over(w), "_last": F.max(value).over(w)})
+    ends = nodes.agg(F.coalesce(F.nullif(F.max("_gap"), F.lit(0.0)), F.lit(1.0)).alias("w"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+    span = ends.select(F.struct("w", "lo", "hi")).scalar()
+    cell = lambda x: F.floor((x - F.col("_span.lo")) / F.col("_span.w")).cast("long")
+    nodes = nodes.withColumn("_span", span)
+    own = cell(F.col(value))
+    cells = F.sequence(F.when(F.col(value) == F.col("_first"), F.lit(-1)).otherwise(own), F.when(F.col(value) == F.col("_last"), cell(F.col("_span.hi")) + 1).otherwise(own))
+    nodes = nodes.select(date, F.col(value).alias("_v"), F.col(idx).alias("_idx"), F.explode(cells).alias("_cell"))
+    places = targets.where(F.col(target).isNotNull() & ~F.isnan(target)).select(target_id, F.col(target).alias("_t")).withColumn("_span", span)
+    at = cell(F.greatest(F.least(F.col("_t"), F.col("_span.hi")), F.col("_span.lo")))
+    places = places.select(target_id, "_t", F.explode(F.array(at - 1, at, at + 1)).alias("_cell"))
+    near = nodes.join(places, "_cell").groupBy(date, target_id).agg(F.min(F.struct(F.abs(F.col("_v") - F.col("_t")).alias("d"), "_idx")).alias("_best"))
+    return near.select(date, target_id, F.col("_best._idx").alias(out))
+
+
 def front_strength(grid: DataFrame, zones: DataFrame, zone: str, half_cells: int = 8, date: str = "date") -> DataFrame:
     """Per zone and day: strongest and mean gradient (degF per nm) and spread in the surrounding block.
 
@@ -227,17 +252,8 @@ def front_strength(grid: DataFrame, zones: DataFrame, zone: str, half_cells: int
     g = gradient(grid, "sst_c", date).join(axes, date).withColumn(
         "grad", F.hypot(F.col("d_row") / F.col("_h"), F.col("d_col") / F.col("_w")) * 9.0 / 5.0)
 
-    def nearest(values: str, idx: str, target: str, out: str) -> DataFrame:
-        nodes = grid.select(date, values, idx).distinct()
-        # a day's axis (a few hundred nodes) is packed into one array and searched in place
-        packed = nodes.groupBy(date).agg(F.array_sort(F.collect_list(F.struct(idx, values))).alias("_axis"))
-        z = zones.select(zone, target)
-        pairs = packed.withColumn("_z", z.agg(F.array_sort(F.collect_list(F.struct(zone, target)))).scalar()) \
-            .select(date, "_axis", F.inline("_z"))
-        best = F.array_min(F.transform("_axis", lambda n: F.struct(F.abs(n[values] - F.col(target)), n[idx])))
-        return pairs.select(date, zone, best[idx].alias(out))
-
-    centre = nearest("latitude", "lat_idx", "lat", "_iy").join(nearest("longitude", "lon_idx", "lon", "_ix"), [date, zone])
+    centre = nearest_node(grid, date, "latitude", "lat_idx", zones, zone, "lat", "_iy").join(
+        nearest_node(grid, date, "longitude", "lon_idx", zones, zone, "lon", "_ix"), [date, zone])
     block = (centre.withColumn("lat_idx", F.explode(F.sequence(F.col("_iy") - half_cells, F.col("_iy") + half_cells)))
                    .withColumn("lon_idx", F.explode(F.sequence(F.col("_ix") - half_cells, F.col("_ix") + half_cells))))
     out = block.join(g, [date, "lat_idx", "lon_idx"]).groupBy(zone, date).agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import GOOD_INDEX, score_class, score_class_index
 from ..functions.dates import fishing_days, local_date
 from ..functions.numeric import piecewise_linear, round_to, safe_ratio
-from ..functions.text import classify_trip, content_id, flags, key_text
+from ..functions.text import classify_trip, flags, key_text
 from ..operators.dedup import pick_row
 
 LABEL_VERSION = "L1"
@@ -26,8 +26,9 @@ BASIS_OWN, BASIS_SPECIES, BASIS_DEFAULT = ("species-region median", "species med
 
 
 def raw_id() -> Column:
-    """Content version of a trip."""
-    return content_id("report_date", "landing", "boat", "trip_type_raw", "anglers", "kept_json", "released_json")
+    """Content version of a trip: the full SHA-256 of its fields as JSON, which no two different trips share."""
+    fields = ["report_date", "landing", "boat", "trip_type_raw", "anglers", "kept_json", "released_json"]
+    return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
 
 
 def ratio_score(ratio: Column) -> Column:

@@ -158,6 +158,49 @@ def append_versions(spark, sf):
     return spark.read.parquet(path).groupBy("raw_id", "report_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+part("p_versions", """SELECT report_date, raw_id, 0 AS version FROM p_trips UNION ALL SELECT report_date, raw_id, 1 FROM p_trips WHERE raw_id % 5 = 0""")
+
+
+def _pages(trips, hours: int, changed: bool = False):
+    """Fetch envelopes: one page per report date with its trips; ``changed`` gives every fifth trip another count."""
+    more = F.when(F.lit(changed) & (F.col("raw_id") % 5 == 0), 1).otherwise(0)
+    trip = F.struct(F.lit("Seaforth").alias("landing"), F.concat(F.lit("Boat "), "raw_id").alias("boat"), F.col("trip_type_raw"), (F.col("anglers") + more).alias("anglers"),
+                    F.lit("{}").alias("kept_json"), F.lit(None).cast("string").alias("released_json"))
+    return trips.groupBy("report_date").agg(F.collect_list(trip).alias("trips")).withColumns({
+        "fetched_at_utc": F.col("report_date").cast("timestamp") + F.expr(f"interval {hours} hours"), "ingest_method": F.lit("daily_refresh"), "ok": F.dayofmonth("report_date") % 7 != 0,
+        "error": F.lit(None).cast("string")})
+
+
+@query("k02_append_loads", "report_date t, n_versions l, n_fetches l, n_ok l, n_listed l", """
+  SELECT report_date, n_versions, CASE WHEN day(report_date) <= 20 THEN 3 ELSE 2 END AS n_fetches, CASE WHEN day(report_date) % 7 = 0 THEN 0 WHEN day(report_date) <= 20 THEN 3 ELSE 2 END AS n_ok,
+    n_trips * CASE WHEN day(report_date) <= 20 THEN 3 ELSE 2 END AS n_listed
+  FROM (SELECT report_date, count(*) AS n_versions, count(*) FILTER (version = 0) AS n_trips FROM p_versions GROUP BY 1)""")
+def append_loads(spark, sf):
+    """Loads that overlap, are repeated, and list changed trips: every version once, every fetch once."""
+    path = fresh_path(spark, "trip_loads")
+    t = ef.trips(spark, sf).select("raw_id", "report_date", "anglers", "trip_type_raw")
+    early, whole, later = _pages(t.where(F.dayofmonth("report_date") <= 20), 20), _pages(t, 44), _pages(t, 70, changed=True)
+    for load in (early, early, whole.unionByName(early), later, whole):
+        sinks.append_load(spark, load, path)
+    versions = sinks.read_trips(spark, path).groupBy("report_date").agg(F.count(F.lit(1)).alias("n_versions"))
+    log = spark.read.parquet(f"{path}/fetches").groupBy("report_date").agg(F.count(F.lit(1)).alias("n_fetches"), F.count_if("ok").alias("n_ok"), F.sum("n_trips").alias("n_listed"))
+    return versions.join(log, "report_date")
+
+
+@query("k05_ordered_write", "n_rows l, n_files_out_of_order l, n_rows_out_of_order l", "SELECT count(*) AS n_rows, 0 AS n_files_out_of_order, 0 AS n_rows_out_of_order FROM p_ledger")
+def ordered_write(spark, sf):
+    """The ledger written in its contractual order over many files, and read back in the order of the files' names."""
+    path, order = fresh_path(spark, "ordered"), ["issuance_id", "target_date", "zone_id", "species_id"]
+    rows = ev.ledger(spark, sf)
+    sinks.write_ordered(rows, [*order, "lead_days", "bite_score"], path, order, files=16)
+    back = sinks.read_in_order(spark, path).withColumn("k", F.struct(*order))
+    before = F.lag("k").over(Window.partitionBy("file_no").orderBy("row_no"))
+    checked = back.withColumn("late", before > F.col("k"))
+    files = checked.groupBy("file_no").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count(F.lit(1)).alias("n"), F.count_if("late").alias("late"))
+    late = files.withColumn("w", F.lag("b").over(Window.orderBy("file_no")) > F.col("a"))  # one row per file
+    return late.agg(F.sum("n").alias("n_rows"), F.count_if("w").alias("n_files_out_of_order"), F.sum("late").alias("n_rows_out_of_order"))
+
+
 @query("k03_ledger_append_verify", "issuance_id s, seq l, n_rows l, lead_min i, lead_max i", """
   SELECT issuance_id, row_number() OVER (ORDER BY count(*) DESC, issuance_id) - 1 AS seq, count(*) AS n_rows, min(lead_days) AS lead_min, max(lead_days) AS lead_max
   FROM p_ledger GROUP BY 1 ORDER BY count(*) DESC, issuance_id LIMIT 2""")

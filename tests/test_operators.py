@@ -95,6 +95,17 @@ def test_polygon_cells_give_the_even_odd_rule(spark, cell):
     assert (whole.count() > 0) == (cell < 1) and edges.groupBy("gid", "_i", "_j").agg({"_n": "max", "*": "count"}).where("`max(_n)` <> `count(1)`").isEmpty()
 
 
+def test_nearest_node_is_exact_at_cell_edges_and_beyond_the_axis(spark):
+    rng = random.Random(4)
+    axes = {"a": [10.0 + 0.25 * k for k in range(9)], "b": sorted(rng.uniform(11, 15) for _ in range(12)), "c": [12.0], "d": [10.0, 11.0, 18.0]}
+    targets = [(k, rng.uniform(5, 25)) for k in range(200)] + [(1000 + k, 10.0 + 0.125 * k) for k in range(40)] + [(2000, None), (2001, float("nan"))]
+    grid = spark.createDataFrame([(d, v, n) for d, vs in axes.items() for n, v in enumerate(vs)] * 2 + [("a", None, 99)], "date string, v double, idx int")
+    places = spark.createDataFrame(targets, "id int, t double")
+    got = {(r.date, r.id): r.n for r in joins.nearest_node(grid, "date", "v", "idx", places, "id", "t", "n").collect()}
+    want = {(d, i): min(range(len(vs)), key=lambda n: (abs(vs[n] - t), n)) for d, vs in axes.items() for i, t in targets if t is not None and t == t}
+    assert got == want
+
+
 def test_fallback_chain_and_products(spark):
     zones = spark.createDataFrame([("z1", ["a", "b"]), ("z2", ["c"])], "zone string, chain array<string>")
     clim = spark.createDataFrame([("a", 1, None, 5.0), ("b", 1, 2.0, 6.0), ("r", 1, 3.0, 7.0)], "station string, doy int, wind double, wave double")
