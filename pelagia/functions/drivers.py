@@ -8,6 +8,7 @@ times an anomaly multiplier and an access gate.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -185,6 +186,16 @@ def regime_baseline(clim_score: ColumnLike, anomaly: ColumnLike, pref: ColumnLik
     return F.when(factor.isNotNull(), round_to(100.0 * soft_ceiling(clamp(raw, *SCORE_LIMITS)), 1))
 
 
+def weight_columns(df: DataFrame) -> DataFrame:
+    """One column ``_w_<driver>`` for each entry of the ``weights`` map (0 where absent), unless the rows have them.
+
+    Taken on the few subject rows, they spare the map on every zone-day.
+    """
+    if f"_w_{TERMS[0]}" in df.columns:
+        return df
+    return df.withColumns({f"_w_{k}": F.coalesce(F.try_element_at("weights", F.lit(k)), F.lit(0.0)) for k in TERMS})
+
+
 def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst: str = "sst_f",
                anomaly: str = "sst_anom_f", score_only: bool = False) -> DataFrame:
     """Append score columns to rows that carry conditions and subject parameters.
@@ -213,16 +224,12 @@ def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst:
             "tide": tide_by_preference("tide_pref", "_strength", "_timing", "_push"),
             "moon": moon_term("moon_pref", "moon_illum", "moon_age_days"), "pressure": pressure_term("pressure_trend_24h"),
             "front": front_term("front_f_per_nm", "sst_spread_f"), "chl": chl_term("group", "chl_mg_m3")})}
-    staged = staged.withColumn("_terms", F.array(*[
-        F.struct(F.lit(k).alias("k"), terms[k].alias("v")) for k in TERMS]))
-    # the short array of (driver, term, weight) is folded per row; this also keeps each generated method small
-    weighed = F.transform("_terms", lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v"),
-                                                       F.coalesce(F.try_element_at("weights", x["k"]), F.lit(0.0)).alias("w")))
-    staged = staged.withColumn("_active", F.filter(weighed, lambda x: x["w"] > 0))
-    staged = staged.withColumn("_used", F.filter("_active", lambda x: x["v"].isNotNull()))
-    staged = staged.withColumns({
-        "_weight": F.aggregate("_used", F.lit(0.0), lambda acc, x: acc + x["w"]),
-        "_log": F.aggregate("_used", F.lit(0.0), lambda acc, x: acc + x["w"] * F.log(F.greatest(x["v"], F.lit(TERM_FLOOR))))})
+    # one column per driver; the sums over them are folded into two columns, so that few columns pass from step to step
+    staged = weight_columns(staged).withColumns({f"_t_{k}": terms[k] for k in TERMS})
+    used = {k: c(f"_t_{k}").isNotNull() & (c(f"_w_{k}") > 0) for k in TERMS}
+    total = lambda part: reduce(lambda acc, k: acc + F.when(used[k], part(k)).otherwise(0.0), TERMS, F.lit(0.0))
+    ln = {k: F.log(F.greatest(c(f"_t_{k}"), F.lit(TERM_FLOOR))) for k in TERMS}
+    staged = staged.withColumns({"_weight": total(lambda k: c(f"_w_{k}")), "_log": total(lambda k: c(f"_w_{k}") * ln[k])})
     staged = staged.withColumns({
         **{f"_{k}": v for k, v in access_limits("distance_nm").items()},
         "_multiplier": F.lit(1.0) if climatology else anomaly_multiplier("anomaly_pref", anomaly)})
@@ -232,12 +239,12 @@ def with_score(df: DataFrame, prefix: str = "", climatology: bool = False, sst:
     staged = staged.withColumn("_gated", limit(c("_core") * (0.35 + 0.65 * c("_access")), *SCORE_LIMITS))
     out = {f"{p}score": F.when(c("_core").isNotNull(), round_to(100.0 * soft_ceiling("_gated"), 1))}
     if not score_only:
-        share = lambda x: round_to(x["w"] / c("_weight") * (F.log(F.greatest(x["v"], F.lit(TERM_FLOOR))) - LN_HALF), 4)
+        share = lambda k: round_to(c(f"_w_{k}") / c("_weight") * (ln[k] - LN_HALF), 4)
+        shares = F.array_compact(F.array(*[F.when(used[k], F.struct(F.lit(k).alias("k"), share(k).alias("v"))) for k in TERMS]))
         out |= {
             f"{p}core_score": round_to(100.0 * soft_ceiling("_core"), 1), f"{p}fishability": round_to(100.0 * c("_access"), 1),
-            f"{p}access_note": access_note(wind, wave, "distance_nm"),
-            f"{p}contrib": F.map_from_entries(F.transform("_used", lambda x: F.struct(x["k"], share(x)))),
-            f"{p}missing_drivers": F.array_join(F.transform(F.filter("_active", lambda x: x["v"].isNull()), lambda x: x["k"]), ","),
+            f"{p}access_note": access_note(wind, wave, "distance_nm"), f"{p}contrib": F.map_from_entries(shares),
+            f"{p}missing_drivers": F.concat_ws(",", *[F.when(c(f"_t_{k}").isNull() & (c(f"_w_{k}") > 0), k) for k in TERMS]),
             f"{p}anomaly_term": round_to("_multiplier", 3),
-            **{f"{p}term_{k}": round_to(c("_terms")[n]["v"], 3) for n, k in enumerate(TERMS)}}
+            **{f"{p}term_{k}": round_to(f"_t_{k}", 3) for k in TERMS}}
     return staged.select(*before, *[v.alias(k) for k, v in out.items()])

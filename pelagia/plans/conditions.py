@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import index_regime, simple_regime
 from ..functions.dates import doy_to_month, local_date, moon, sun
-from ..functions.drivers import with_score
+from ..functions.drivers import weight_columns, with_score
 from ..functions.numeric import anomaly_percentile, round_to
 from ..operators.climatology import curve_percentile
 from ..operators.ordered import lag_change
@@ -93,7 +93,7 @@ def today_local(now_utc: Column | None = None, hours: int = -7) -> Column:
 
 def eligible_pairs(conditions: DataFrame, subjects: DataFrame, zones: DataFrame) -> DataFrame:
     """Zone-day rows with every subject modelled in the zone, through the zone-subject bridge."""
-    pairs = subjects.withColumn("zone_id", F.explode("zones")).drop("zones")
+    pairs = weight_columns(subjects).withColumn("zone_id", F.explode("zones")).drop("zones")
     place = zones.select("zone_id", "distance_nm", "depth_mid_ft")
     return conditions.join(pairs.join(place, "zone_id"), "zone_id")
 

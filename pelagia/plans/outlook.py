@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import tier_for_lead, trend_label
 from ..functions.dates import date_spine, moon, sun
-from ..functions.drivers import with_score
+from ..functions.drivers import weight_columns, with_score
 from ..functions.numeric import ColumnLike, as_col, clamp, round_to
 from ..operators.ordered import ratchet
 
@@ -143,7 +143,7 @@ def score_outlook(outlook: DataFrame, subjects: DataFrame, zones: DataFrame, cur
     """Scores of the outlook with a sensitivity band that never narrows with lead."""
     c = F.col
     null = F.lit(None).cast("double")
-    pairs = subjects.withColumn("zone_id", F.explode("zones")).drop("zones")
+    pairs = weight_columns(subjects).withColumn("zone_id", F.explode("zones")).drop("zones")
     place = zones.select("zone_id", "distance_nm", "depth_mid_ft")
     base = outlook.drop("distance_nm", "depth_mid_ft").join(pairs.join(place, "zone_id"), "zone_id")
     base = base.withColumns({

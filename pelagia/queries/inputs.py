@@ -140,6 +140,10 @@ def zones(spark, sf):
 
 
 def subjects(spark, sf):
+    return staged(spark, sf, "subjects", lambda: _subjects(spark, sf))
+
+
+def _subjects(spark, sf):
     """Subjects modelled per zone: the literal parameters joined to the part types that occur."""
     rows = [(t, g, ref, list(win), a, tide, moon, tol, dict(zip(TERM_NAMES, w)), season_curve(ph), i)
             for i, (t, g, ref, win, a, tide, moon, tol, w, ph) in enumerate(SUBJECT_ROWS)]

@@ -42,7 +42,7 @@ def scores(spark, sf):
 
 @query("build_scores", SCORE_SPEC, 'SELECT *, grp AS "group" FROM p_scores WHERE score IS NOT NULL')
 def build_scores(spark, sf):
-    return cond.build_scores(i.conditions(spark, sf), i.subjects(spark, sf), i.zones(spark, sf))
+    return scores(spark, sf)
 
 
 @query("climatological_curve", "zone_id s, species_id s, doy i, month i, climatological_score d1, sst_norm_f d4, wave_norm_ft d4, wind_norm_kt d4, climatology_source s",
