@@ -67,8 +67,9 @@ def seeds(verdicts: DataFrame) -> DataFrame:
                          (2 * F.col("b") > F.col("n")).cast("double").alias("blocked"))
 
 
-def propagate(edges: DataFrame, start: DataFrame, rounds: int = 12, follow: float = 0.85, every: int = 4) -> DataFrame:
-    """host, trust, distrust after ``rounds`` steps. Hosts that no edge touches keep their seed values.
+def propagate(edges: DataFrame, start: DataFrame, follow: float = 0.85, tolerance: float = 1e-5, every: int = 4, most: int = 400) -> DataFrame:
+    """host, trust, distrust, carried on until no score changes by ``tolerance`` or more in a step; then each is within 6 times that of its
+    limit. Hosts that no edge touches keep their seed values. It is an error if ``most`` steps do not suffice.
 
     Trust moves along edges in shares of the source's links, distrust against them in shares of the target's; both move in one
     join, as an edge is stored once for each direction. What a host without a way out holds stays with it.
@@ -86,7 +87,9 @@ def propagate(edges: DataFrame, start: DataFrame, rounds: int = 12, follow: floa
     score = base.select("host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust"))
     if moves.isEmpty():
         return score
-    for k in range(1, rounds + 1):
+    # what comes back to a seed must not start as a wave of its whole mass
+    score = base.select("host", ((1 - follow) * F.col("trusted")).alias("trust"), ((1 - follow) * F.col("blocked")).alias("distrust"))
+    for k in range(1, most + 1):
         got = moves.join(score, "host").groupBy(F.col("to").alias("host")).agg(
             F.sum(F.when(F.col("forward"), F.col("share") * F.col("trust")).otherwise(0.0)).alias("t"),
             F.sum(F.when(~F.col("forward"), F.col("share") * F.col("distrust")).otherwise(0.0)).alias("d"))
@@ -95,10 +98,16 @@ def propagate(edges: DataFrame, start: DataFrame, rounds: int = 12, follow: floa
         def step(seed: str, old_score: str, came: str, way: str) -> Column:
             return (1 - follow) * F.col(seed) + follow * (F.coalesce(came, F.lit(0.0)) + F.when(F.col(way), 0.0).otherwise(F.col(old_score)))
 
-        score = old.select("host", step("trusted", "trust", "t", "out").alias("trust"), step("blocked", "distrust", "d", "back").alias("distrust"))
-        if k % every == 0 or k == rounds:
-            score = written(score, "host-scores")
-    return score
+        score = old.select("host", step("trusted", "trust", "t", "out").alias("trust"), step("blocked", "distrust", "d", "back").alias("distrust"),
+                           F.col("trust").alias("was"), F.col("distrust").alias("was_distrust"))
+        if k % every == 0:
+            stored = written(score, "host-scores")
+            moved = stored.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("was")), F.abs(F.col("distrust") - F.col("was_distrust"))))).first()[0]
+            score = stored.select("host", "trust", "distrust")
+            if moved < tolerance:
+                return score
+        score = score.select("host", "trust", "distrust")
+    raise RuntimeError(f"host scores did not settle in {most} steps")
 
 
 def filter_urls(pages: DataFrame, allow: Sequence[str], block: Sequence[str], threshold: float = 0.05) -> DataFrame:

@@ -30,8 +30,8 @@ SCRIPTS = [("latin", 0x0041, 0x024F), ("latin", 0x1E00, 0x1EFF), ("greek", 0x037
 SCRIPT_NAMES = sorted({s for s, _, _ in SCRIPTS}) + ["other"]
 
 ORDERS, BUCKETS = (1, 2, 3, 4), 1 << 16
-#: Most languages that are learned, those with the most documents.
-LANGUAGE_LIMIT = 200
+#: The model is a table of BUCKETS x languages; more languages than this are an error, none is left out.
+LANGUAGE_LIMIT = 1000
 
 
 @dataclass
@@ -75,7 +75,10 @@ def fit_languages(docs: DataFrame, per_language: int = 1500) -> LanguageModel:
     # a share of each language by hash, so that no language is gathered in one task
     sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    chosen = known.select("doc_id", "lang").join(F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGE_LIMIT)), "lang").where(place * F.col("n") < per_language)
+    sizes = written(sizes, "language-sizes")
+    if sizes.count() > LANGUAGE_LIMIT:
+        raise ValueError(f"more than {LANGUAGE_LIMIT} languages")
+    chosen = known.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(place * F.col("n") < per_language)
     chosen = written(chosen.select("doc_id", "lang").distinct(), "language-sample")
     counts = known.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text").mapInPandas(count_ngrams, "lang string, bucket long, n long")
     rows = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -94,7 +97,8 @@ def fit_languages(docs: DataFrame, per_language: int = 1500) -> LanguageModel:
 def word_scores(words: list[str], model: LanguageModel) -> np.ndarray:
     """(words, languages): log likelihood less the best one; languages that do not write in the word's script are far behind."""
     key, owner = ngrams(words, ORDERS, BUCKETS)
-    out = np.column_stack([np.bincount(owner, c, len(words)) for c in model.table[key].T]) * model.spread
+    # one language at a time, so memory is that of the n-grams and not of n-grams x languages
+    out = np.column_stack([np.bincount(owner, model.table[key, k], len(words)) for k in range(len(model.languages))]) * model.spread
     allowed = model.scripts[word_scripts(words)]
     out = np.where(allowed | ~allowed.any(1)[:, None], out, -1e6)
     return np.maximum(out - out.max(1)[:, None], -1e3)
@@ -110,10 +114,10 @@ def viterbi(scores: np.ndarray, ends: np.ndarray, penalty: float) -> np.ndarray:
     start, size = ends[:-1][order], sizes[order]
     alive = len(size) - np.searchsorted(size[::-1], np.arange(size[0] if len(size) else 0), side="right")
     kinds = scores.shape[1]
-    came = np.zeros(scores.shape, np.int8)
+    came = np.zeros(scores.shape, np.int16)
     path = np.zeros(len(scores), np.int64)
     value = np.zeros((len(size), kinds))
-    own = np.arange(kinds, dtype=np.int8)
+    own = np.arange(kinds, dtype=np.int16)
     for t, a in enumerate(alive):
         at = start[:a] + t
         if t:

@@ -6,7 +6,7 @@ from .hosts import ordered_rules
 from .templates import UNITS
 
 
-def host_graph_sql(allow: list[str], block: list[str], threshold: float = 0.05, rounds: int = 12, follow: float = 0.85) -> str:
+def host_graph_sql(allow: list[str], block: list[str], threshold: float = 0.05, rounds: int = 80, follow: float = 0.85) -> str:
     """Rules, seeds and all rounds of trust and distrust, one common table expression each."""
     def case(column: int) -> str:
         fits = [(h, p, (r, v)[column]) for h, p, r, v in ordered_rules(allow, block)]
@@ -25,7 +25,7 @@ def host_graph_sql(allow: list[str], block: list[str], threshold: float = 0.05,
   FROM (SELECT host, count(*) AS n, count_if(given = 'allow') AS a, count_if(given = 'block') AS b FROM judged WHERE host <> '' GROUP BY 1))""",
              """away AS MATERIALIZED (SELECT source, target, weight / sum(weight) OVER (PARTITION BY source) AS share FROM links)""",
              """back AS MATERIALIZED (SELECT source, target, weight / sum(weight) OVER (PARTITION BY target) AS share FROM links)""",
-             """s0 AS MATERIALIZED (SELECT host, coalesce(trusted, 0)::DOUBLE AS t, coalesce(blocked, 0)::DOUBLE AS d, coalesce(trusted, 0) AS t0, coalesce(blocked, 0) AS d0,
+             f"""s0 AS MATERIALIZED (SELECT host, (CASE WHEN EXISTS (FROM links) THEN {1 - follow!r} ELSE 1 END * coalesce(trusted, 0))::DOUBLE AS t, (CASE WHEN EXISTS (FROM links) THEN {1 - follow!r} ELSE 1 END * coalesce(blocked, 0))::DOUBLE AS d, coalesce(trusted, 0) AS t0, coalesce(blocked, 0) AS d0,
   host NOT IN (SELECT source FROM links) AS no_way_out, host NOT IN (SELECT target FROM links) AS no_way_back
   FROM (SELECT host FROM seeds UNION SELECT source FROM links UNION SELECT target FROM links) LEFT JOIN seeds USING (host))"""]
     for k in range(1, rounds + 1):
