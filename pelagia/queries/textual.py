@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import LANDINGS, content_id, page_date, parse_counts, trip_type, trip_type_page, zone_hint, zone_hint_naive
+from ..session import fresh_path
 from ..sources import readers as rd
 from . import effort as ef
 from . import inputs as i
@@ -134,6 +135,80 @@ def report_pages(spark, sf):
     return r.withColumns({"n_kept": total("kept"), "n_released": total("released"), "n_unmapped": total("unmapped")})
 
 
+def daily_trips(spark, sf):
+    """Trips of a report date with their count texts, by landing: those of a page's sections."""
+    return ef.trips(spark, sf).join(count_texts(spark, sf), "raw_id").withColumn("k", F.col("raw_id") % 3)
+
+
+def lines_of(k: int, line):
+    """The lines of one section of a page, in the order of their trips."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("raw_id", line.alias("line"))))), lambda x: x["line"]), "")
+
+
+@query("s09_daily_pages", "page_date t, landing s, boat s, trip_type s, trip_type_raw s, anglers i, n_kept l, n_released l", f"""
+  SELECT report_date AS page_date, CASE WHEN t.raw_id % 3 = 0 THEN 'Seaforth' ELSE 'H&M' END AS landing, 'Boat ' || t.raw_id AS boat, {_type_page} AS trip_type, trip_type_raw, CASE WHEN t.raw_id % 7 <> 0 THEN anglers END AS anglers,
+    coalesce(sum(c.kept) FILTER (species_id <> 'STANDARD'), 0) AS n_kept, coalesce(sum(c.released) FILTER (species_id <> 'STANDARD'), 0) AS n_released
+  FROM p_trips t JOIN p_catch c USING (raw_id) WHERE t.raw_id % 3 < 2 GROUP BY ALL""")
+def daily_pages(spark, sf):
+    """One page for each report date with three sections of several trips; the middle one is of a landing that is not listed, and every seventh count of anglers is no number that fits."""
+    anglers = F.when(F.col("raw_id") % 7 == 0, F.lit("99999999999")).otherwise(F.col("anglers").cast("string"))
+    line = lambda landing: F.format_string(f"|Boat %d {landing}San Diego, CA|%s Anglers %s|%s|\n", "raw_id", anglers, "trip_type_raw", "counts")
+    table = "|Boat|Trip Details|Counts|\n|--|--|--|\n"
+    content = F.concat(*[x for k, name in ((0, "Seaforth Sportfishing"), (2, "Elsewhere Pier"), (1, "H&M Landing"))
+                         for x in (F.lit(f"intro of {name}\n## {name} Fish Counts\n{table}"), lines_of(k, line(name)), F.lit("|Dock Total|none|none|\n\n"))])
+    pages = daily_trips(spark, sf).groupBy("report_date").agg(content.alias("content"))
+    pages = pages.withColumn("title", F.concat(F.lit("Fish Counts by Boat - "), F.date_format("report_date", "MMMM d, yyyy")))
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return rd.parse_report_rows(pages, "content", "title", []).withColumns({"n_kept": total("kept"), "n_released": total("released")})
+
+
+@query("s09_daily_html", "page_date t, landing s, boat s, trip_type s, anglers i, n_kept l", """
+  SELECT report_date AS page_date, CASE WHEN t.raw_id % 3 = 0 THEN 'Seaforth' ELSE 'H&M' END AS landing, 'Vessel ' || t.raw_id AS boat,
+    CASE WHEN trip_type_raw LIKE 'Full Day%' THEN 'full_day' WHEN trip_type_raw = '1/2 Day AM' THEN 'half_day' WHEN trip_type_raw = 'Overnight' THEN 'overnight' ELSE replace(lower(trip_type_raw), ' ', '_') END AS trip_type,
+    CASE WHEN t.raw_id % 7 <> 0 THEN anglers END AS anglers, coalesce(sum(c.kept) FILTER (species_id <> 'STANDARD'), 0) AS n_kept FROM p_trips t JOIN p_catch c USING (raw_id) GROUP BY ALL""")
+def daily_html(spark, sf):
+    """One page for each report date: a table before any landing is no trip, a heading without a landing keeps the one before it."""
+    anglers = F.when(F.col("raw_id") % 7 == 0, F.lit("99999999999")).otherwise(F.col("anglers").cast("string"))
+    row = F.format_string("<tr><td><b>Vessel %d</b> H&amp;M Landing</td><td>%s Anglers %s</td><td>%s</td></tr>", "raw_id", anglers, "trip_type_raw", "counts")
+    table = lambda k: F.concat(F.lit("<table><tr><th>Boat</th><th>Trip</th><th>Counts</th></tr>"), lines_of(k, row), F.lit("</table>"))
+    doc = F.concat(F.lit("<h1>Dock Totals - "), F.date_format("report_date", "MMMM d, yyyy"), F.lit("</h1><table><tr><td>Stray</td><td>5 Anglers Full Day</td><td>1 Dorado</td></tr></table>"),
+                   F.lit("<h2>Seaforth Sportfishing Fish Counts</h2>"), table(0), F.lit("<h3>H&amp;M Landing</h3>"), table(1), F.lit("<h2>More boats</h2>"), table(2))
+    r = rd.parse_report_html(daily_trips(spark, sf).groupBy("report_date").agg(doc.alias("html")), "html", [])
+    return r.withColumn("n_kept", F.aggregate(F.map_values("kept"), F.lit(0).cast("bigint"), lambda a, v: a + v))
+
+
+part("p_station_minutes", """SELECT replace(event_type, '_', '-') AS station, date_trunc('minute', ts) AS ts, min(event_id) AS event_id, round(arg_min(value, event_id), 2) AS v FROM events GROUP BY 1, 2""")
+
+
+@query("s04_station_files", "station s, ts z, src s, WTMP d2", """
+  SELECT station, ts, CASE WHEN event_id % 3 = 0 THEN 'historical' ELSE 'realtime' END AS src, CASE WHEN x NOT IN (99.0, 999.0) THEN x END AS WTMP
+  FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN round(v + 1, 2) ELSE v END AS x FROM p_station_minutes)""")
+def station_files(spark, sf):
+    """Real-time and historical files of every station, overlapping on a third of the readings, where the real-time one counts."""
+    path, c = fresh_path(spark, "station_files"), F.col
+    m = i.events(spark, sf).groupBy(F.translate("event_type", "_", "-").alias("station"), F.date_trunc("minute", "ts").alias("ts")).agg(
+        F.min("event_id").alias("event_id"), F.round(F.min_by("value", "event_id"), 2).alias("v"))
+    both = m.where("event_id % 3 <> 0").withColumn("kind", F.lit("rt")).unionByName(m.where("event_id % 3 <> 1").withColumns({"kind": F.lit("hist"), "v": c("v") + 1}))
+    line = F.concat_ws(" ", F.date_format("ts", "yyyy MM dd HH mm"), F.lit("270 5.0 6.0 1.5 MM 5.5 200 1013.2 15.5"), F.format_string("%.2f", "v"), F.lit("MM MM MM"), F.when(c("kind") == "rt", "-0.4"))
+    text = both.select(F.concat(F.lit("ndbc_"), "kind", F.lit("_"), "station").alias("name"), line.alias("value"))
+    text.write.partitionBy("name").text(path)
+    return rd.read_station_text(spark, f"{path}/*")
+
+
+@query("s02_model_16day", "zone_id s, date t, wave_model_ft d3, wind_model_kt d3, pressure_model_hpa d3, pressure_trend_model_24h d3", """
+  SELECT zone_id, date, round(wave_ft * 3.28084, 3) AS wave_model_ft, round(wind_kt * 0.539957, 3) AS wind_model_kt, floor(pressure_hpa * 100) / 100 AS pressure_model_hpa,
+    floor(pressure_hpa * 100) / 100 - lag(floor(pressure_hpa * 100) / 100) OVER (PARTITION BY zone_id ORDER BY date) AS pressure_trend_model_24h FROM p_zone_daily""")
+def model_16day(spark, sf):
+    """One document for each year that maps every zone to its parallel arrays; the years are parsed together."""
+    d = i.zone_daily(spark, sf)
+    rows = d.groupBy("zone_id", F.year("date").alias("year")).agg(F.array_sort(F.collect_list(F.struct(F.col("date").cast("string").alias("time"), "wave_ft", "wind_kt", (F.floor(F.col("pressure_hpa") * 100) / 100).alias("pressure_hpa")))).alias("a"))
+    null = F.transform("a", lambda x: F.lit(None).cast("double"))
+    marine = F.struct(F.struct(F.col("a.time").alias("time"), F.col("a.wave_ft").alias("wave_height_max"), null.alias("wave_period_max"), null.alias("swell_wave_height_max")).alias("daily"))
+    weather = F.struct(F.struct(F.col("a.time").alias("time"), F.col("a.wind_kt").alias("wind_speed_10m_max"), null.alias("wind_gusts_10m_max"), F.col("a.pressure_hpa").alias("pressure_msl_mean"), null.alias("cloud_cover_mean")).alias("daily"))
+    docs = rows.groupBy("year").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("zone_id", F.struct(marine.alias("marine"), weather.alias("weather")))))).alias("doc"))
+    return rd.parse_model_16day(docs, "doc")
+
+
 @query("s09_report_html", "raw_id l, page_date t, landing s, boat s, trip_type s, anglers i, n_kept l", """
   SELECT t.raw_id, report_date AS page_date, CASE WHEN t.raw_id % 3 = 0 THEN 'Seaforth' ELSE 'H&M' END AS landing, 'Vessel ' || t.raw_id AS boat,
     CASE WHEN trip_type_raw LIKE 'Full Day%' THEN 'full_day' WHEN trip_type_raw = '1/2 Day AM' THEN 'half_day' WHEN trip_type_raw = 'Overnight' THEN 'overnight' ELSE replace(lower(trip_type_raw), ' ', '_') END AS trip_type, anglers,

@@ -59,12 +59,12 @@ def parse_station_lines(df: DataFrame, line: str, keep: list[str]) -> DataFrame:
 
 
 def read_station_text(spark: SparkSession, path: str) -> DataFrame:
-    """Station files with station and source taken from names like ``ndbc_rt_46086.txt``; first source wins.
+    """Station files (or folders of files) with station and source taken from names like ``ndbc_rt_46086.txt``; first source wins.
 
     Real-time files rank before historical ones for the same station and time.
     """
-    lines = spark.read.text(path).withColumn("_f", file_name())
-    lines = lines.withColumns({"station": F.regexp_extract("_f", r"ndbc_(?:rt|hist)_([^_.]+)", 1),
+    lines = spark.read.text(path).withColumn("_f", F.input_file_name())
+    lines = lines.withColumns({"station": F.regexp_extract("_f", r"ndbc_(?:rt|hist)_([^_./]+)", 1),
                                "src": F.when(F.col("_f").contains("_rt_"), "realtime").otherwise("historical")})
     rows = parse_station_lines(lines, "value", ["station", "src", "_f"])
     return first_per_reading(rows, [-F.col("src").eqNullSafe("realtime").cast("int"), F.col("_f")]).drop("_f")
@@ -166,12 +166,12 @@ def read_units_csv(spark: SparkSession, path: str, time: str, values: list[str],
 
 
 def parse_index_lines(df: DataFrame, line: str) -> DataFrame:
-    """Lines "season year total anomaly" to monthly index rows; other lines are skipped."""
+    """Lines "season year total anomaly" to monthly index rows; other lines are skipped, a number that cannot be read is null."""
     t = F.split(F.trim(line), r"\s+")
     month = F.try_element_at(literal_map(SEASON_MONTH), t[0])
     rows = df.where((F.size(t) == 4) & month.isNotNull())
-    return rows.select(t[0].alias("season"), t[1].cast("int").alias("year"), month.alias("month"),
-                       t[2].cast("double").alias("sst_c"), t[3].cast("double").alias("oni"))
+    return rows.select(t[0].alias("season"), t[1].try_cast("int").alias("year"), month.alias("month"),
+                       t[2].try_cast("double").alias("sst_c"), t[3].try_cast("double").alias("oni"))
 
 
 def upwelling_daily(rows: DataFrame, latitudes: list[float] = (33.0, 32.5), value: str = "CUTI") -> DataFrame:
@@ -240,7 +240,7 @@ def parse_report_html(pages: DataFrame, html: str, keep: list[str], all_trips: b
     named = r"\s+(?:Fisherman's Landing|H&M Landing|Point Loma Sportfishing|Seaforth Sportfishing)\b.*$"
     raw = F.trim(F.regexp_replace(trip, r"(?i)\d+\s*Anglers?", ""))
     out = rows.select(*keep, "page_date", "landing", F.trim(F.regexp_replace(boat, named, "")).alias("boat"), raw.alias("trip_type_raw"),
-                      F.regexp_extract(trip, r"(?i)(\d+)\s*Anglers?", 1).cast("int").alias("anglers"), parse_counts(counts).alias("_p"))
+                      F.regexp_extract(trip, r"(?i)(\d+)\s*Anglers?", 1).try_cast("int").alias("anglers"), parse_counts(counts).alias("_p"))
     out = out.withColumns({"trip_type": trip_type("trip_type_raw"), "kept": F.col("_p.kept"), "released": F.col("_p.released")})
     out = out.withColumn("trip_days", trip_days("trip_type")).drop("_p")
     return out if all_trips else out.where((F.size("kept") > 0) | (F.size("released") > 0))
@@ -267,9 +267,9 @@ def read_dimension_json(spark: SparkSession, path: str, schema: str) -> DataFram
 def parse_dimension_csv(df: DataFrame) -> DataFrame:
     """Species dimension stored flat: comma lists and a JSON weights map back to typed columns."""
     return df.select("species_id", F.split("zones", ",").alias("zones"),
-                     F.transform(F.split("season_index_monthly", ","), lambda x: x.cast("double")).alias("season_index"),
+                     F.transform(F.split("season_index_monthly", ","), lambda x: x.try_cast("double")).alias("season_index"),
                      F.from_json("weights_json", "map<string,double>").alias("weights"),
-                     F.array(*[F.col(c).cast("double") for c in ("sst_min_f", "sst_opt_lo_f", "sst_opt_hi_f", "sst_max_f")]).alias("sst_window"))
+                     F.array(*[F.col(c).try_cast("double") for c in ("sst_min_f", "sst_opt_lo_f", "sst_opt_hi_f", "sst_max_f")]).alias("sst_window"))
 
 
 def newest_sample(samples: DataFrame, cached: DataFrame, key: str = "product") -> DataFrame:

@@ -131,3 +131,15 @@ def test_ordered_files_read_in_name_order(spark, tmp_path):
         rows = [(int(r.a), int(r.b), int(r.c)) for r in sinks.read_in_order(spark, path, fmt).orderBy("file_no", "row_no").collect()]
         assert rows == sorted((r.a, r.b, r.c) for r in df.collect()) and len(list((tmp_path / fmt).glob("part-*"))) == 7
     assert spark.read.parquet(f"file://{tmp_path}/parquet").columns == ["b", "a", "c"]
+
+
+def test_dirty_numbers_leave_the_rest_of_a_row(spark):
+    from pyspark.sql import Row
+
+    from pelagia.sources import readers as rd
+    lines = spark.createDataFrame([("DJF 1999 25.1 -1.2",), ("JFM 19x9 25.1 -1.2",), ("FMA 2000 n/a --",), ("bad",)], "line string")
+    assert [(r.year, r.sst_c, r.oni) for r in rd.parse_index_lines(lines, "line").collect()] == [(1999, 25.1, -1.2), (None, 25.1, -1.2), (2000, None, None)]
+    dim = spark.createDataFrame([Row(species_id="s", zones="a,b", season_index_monthly="0.5,x", weights_json='{"sst":0.5}', sst_min_f="50", sst_opt_lo_f="?", sst_opt_hi_f="70", sst_max_f=None)],
+                                "species_id string, zones string, season_index_monthly string, weights_json string, sst_min_f string, sst_opt_lo_f string, sst_opt_hi_f string, sst_max_f string")
+    r = rd.parse_dimension_csv(dim).first()
+    assert (r.zones, r.season_index, r.sst_window) == (["a", "b"], [0.5, None], [50.0, None, 70.0, None])
