@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
+
 
 def time_bucket(ts: str | Column, width_seconds: int) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -45,21 +47,42 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], values: li
     return out.withColumns(picked).drop(b, "_prev", "_next", "_edge_prev", "_edge_next")
 
 
-def running_totals(df: DataFrame, keys: list[str], order: list[str], measures: list[str], bucket: str) -> DataFrame:
+#: Rows of one key and bucket that a task may window; beyond it the key's rows are dealt into blocks of about this size.
+BLOCK_ROWS = 1_000_000
+
+
+def range_blocks(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
+    """``df`` with ``_block``: number of a contiguous range of (keys, order) of about ``rows`` rows, however they fall on keys and times.
+
+    Ranges come from Spark's own sample of the sort columns; the table is written once in them, so the numbers stay what they are.
+    """
+    n = max(1, -(-df.count() // rows))
+    path = fresh_path(df.sparkSession, "range-blocks")
+    df.repartitionByRange(n, *keys, *order).withColumn("_block", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def running_totals(df: DataFrame, keys: list[str], order: list[str], measures: list[str], bucket: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Append ``cum_<m>``: the sum of each measure over rows up to and including this one per key.
 
-    ``bucket`` is a column that never decreases along ``order`` (a day, an hour); totals of earlier
-    buckets are carried in as one row per (key, bucket).
+    ``bucket`` is a column that never decreases along ``order`` (a day, an hour). Rows are summed within a part of their key, and the
+    total of the key's earlier parts is carried in as one row per (key, part). Parts are the buckets where the measured counts show
+    that each fits a task; otherwise they are ranges of the order, so that one key's single bucket, a third of all rows even, spreads over many
+    tasks. Only the carried rows, one for each key and part, meet per key.
     """
-    within = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = df.withColumns({f"cum_{m}": F.sum(F.coalesce(m, F.lit(0))).over(within) for m in measures})
-    totals = df.groupBy(*keys, bucket).agg(*[F.sum(F.coalesce(m, F.lit(0))).alias(f"_t_{m}") for m in measures])
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, bucket, *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_c_{m}")
-                                             for m in measures])
-    out = rows.join(carried, [*keys, bucket], "left")
-    return out.withColumns({f"cum_{m}": F.col(f"cum_{m}") + F.col(f"_c_{m}") for m in measures}).drop(
-        *[f"_c_{m}" for m in measures])
+    sums = [F.sum(F.coalesce(m, F.lit(0))).alias(f"_t_{m}") for m in measures]
+    part, rows = bucket, df
+    totals = df.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    widest = totals.agg(F.max("_n")).first()[0] or 0
+    if widest > block_rows:
+        part, rows = "_block", range_blocks(df, keys, order, block_rows)
+        totals = rows.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*keys, part, *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_c_{m}") for m in measures])
+    within = Window.partitionBy(*keys, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"cum_{m}": F.sum(F.coalesce(m, F.lit(0))).over(within) for m in measures})
+    out = rows.join(carried, [*keys, part], "left").withColumns({f"cum_{m}": F.col(f"cum_{m}") + F.col(f"_c_{m}") for m in measures})
+    return out.select(*df.columns, *[f"cum_{m}" for m in measures])
 
 
 def lag_change(daily: DataFrame, entity: str | list[str], date: str, value: str, rows_back: int, out: str) -> DataFrame:

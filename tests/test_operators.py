@@ -95,6 +95,25 @@ def test_polygon_cells_give_the_even_odd_rule(spark, cell):
     assert (whole.count() > 0) == (cell < 1) and edges.groupBy("gid", "_i", "_j").agg({"_n": "max", "*": "count"}).where("`max(_n)` <> `count(1)`").isEmpty()
 
 
+@pytest.mark.parametrize("block_rows", [10**6, 300])
+def test_running_totals_of_a_hot_key_and_day(spark, block_rows):
+    rng = random.Random(9)
+    rows = [("hot", 5, n // 3, n, rng.randrange(-5, 9)) for n in range(4000)] + [(k, d, 0, 10**6 + n, n % 4) for n, (k, d) in enumerate((k, d) for k in ("a", "hot", "z") for d in (1, 5, 9) for _ in range(40))]
+    rng.shuffle(rows)
+    rows.append(("a", 1, 0, 5 * 10**6, None))
+    df = spark.createDataFrame(rows, "k string, day int, t int, id int, v int")
+    got = {r.id: r.cum_v for r in ordered.running_totals(df, ["k"], ["day", "t", "id"], ["v"], "day", block_rows).collect()}
+    want, total = {}, {}
+    for k, _, _, n, v in sorted(rows, key=lambda r: r[:4]):
+        total[k] = total.get(k, 0) + (v or 0)
+        want[n] = total[k]
+    assert got == want
+    if block_rows == 300:
+        blocks = ordered.range_blocks(df, ["k"], ["day", "t", "id"], 300)
+        sizes = blocks.where("k = 'hot' and day = 5").groupBy("_block").count().collect()
+        assert len(sizes) > 8 and max(r["count"] for r in sizes) < 1200
+
+
 def test_nearest_node_is_exact_at_cell_edges_and_beyond_the_axis(spark):
     rng = random.Random(4)
     axes = {"a": [10.0 + 0.25 * k for k in range(9)], "b": sorted(rng.uniform(11, 15) for _ in range(12)), "c": [12.0], "d": [10.0, 11.0, 18.0]}
