@@ -94,6 +94,21 @@ def metric_aggregates() -> list[Column]:
             F.avg("score").alias("_fs"), F.avg("observed_score").alias("_os")]
 
 
+#: Parts that are averaged, and their columns.
+AVERAGED = {"_hit": "_hit", "_near": "_near", "_ae": "_ae", "_sq": "_sq", "_fs": "score", "_os": "observed_score"}
+
+
+def metric_sums() -> list[Column]:
+    """Sums and counts that ``merged_metrics`` can add up again."""
+    return [F.count(F.lit(1)).alias("n_pairs"), *[F.sum(c).alias(k) for k, c in AVERAGED.items()], *[F.count(c).alias(f"{k}_n") for k, c in AVERAGED.items()],
+            *[F.sum(c).alias(c) for c in ("_pred", "_tp", "_y")]]
+
+
+def merged_metrics() -> list[Column]:
+    """The aggregates of ``metric_aggregates``, but for distinct counts, from rows of ``metric_sums``."""
+    return [F.sum("n_pairs").alias("n_pairs"), *[F.try_divide(F.sum(k), F.sum(f"{k}_n")).alias(k) for k in AVERAGED], *[F.sum(c).alias(c) for c in ("_pred", "_tp", "_y")]]
+
+
 def finish_metrics(agg: DataFrame, min_events: int) -> DataFrame:
     part = ("_hit", "_near", "_ae", "_sq", "_pred", "_tp", "_y", "_fs", "_os")
     return agg.withColumns({

@@ -12,7 +12,7 @@ from ..functions.numeric import round_to, safe_ratio
 from ..functions.text import has_flag
 from ..operators.dedup import pick_row
 from ..operators.ordered import running_totals
-from ..operators.stats import (block_bootstrap, finish_metrics, long_by_model, metric_aggregates, metric_columns,
+from ..operators.stats import (block_bootstrap, finish_metrics, long_by_model, metric_sums, merged_metrics, metric_columns,
                                metrics, with_skill)
 
 BASE_MODELS = {"v1": "bite_score", "baseline_climatology": "baseline_clim_score", "baseline_enso": "baseline_enso_score"}
@@ -122,19 +122,31 @@ def window_names(target: str | Column, as_of: Column) -> Column:
 
 
 def evaluate(pairs: DataFrame, models: list[str], as_of: Column, dimensions: list[str] | None = None) -> DataFrame:
-    """Metrics and skill for every window x dimension x stratum x model in one grouped pass.
+    """Metrics and skill for every window x dimension x stratum x model.
 
-    Each (pair, model) row is listed under its windows (at most four) and its dimensions.
+    Rows are reduced before they are listed: once to sums and target dates per (set of windows, model, all dimensions), once to the
+    distinct issuances of those. Only these reduced rows are listed under their windows (at most four) and dimensions. Each table has
+    one distinct count, so no row is expanded for two of them.
     """
     dims = dimensions or DIMENSIONS
-    rows = long_by_model(pairs, models).withColumns(metric_columns())
-    rows = rows.withColumn("window", F.explode(window_names("target_date", as_of)))
-    strata = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("stratum")) for d in dims])
-    need = ["window", "model_id", "score", "observed_score", "target_date", "issuance_id", *metric_columns()]
-    listed = rows.select(*need, F.inline(strata)).where(F.col("stratum").isNotNull())
-    keys = ["window", "dimension", "stratum"]
-    table = finish_metrics(listed.groupBy(*keys, "model_id").agg(*metric_aggregates()), 10)
-    return with_skill(table, keys).withColumn("as_of", as_of)
+    names = {d: f"_d_{d}" for d in dims}
+    rows = long_by_model(pairs, models).withColumns(metric_columns()).withColumns({names[d]: F.col(d).cast("string") for d in dims})
+    rows = rows.withColumn("windows", window_names("target_date", as_of))
+    base = ["windows", "model_id", *names.values()]
+    keys = ["window", "dimension", "stratum", "model_id"]
+
+    def listed(df: DataFrame) -> DataFrame:
+        strata = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(n).alias("stratum")) for d, n in names.items()])
+        rest = [c for c in df.columns if c not in ("windows", *names.values())]
+        out = df.withColumn("window", F.explode("windows")).select("window", *rest, F.inline(strata))
+        return out.where(F.col("stratum").isNotNull())
+
+    daily = rows.groupBy(*base, "target_date").agg(*metric_sums())
+    issued = rows.groupBy(*base, "issuance_id").agg(F.lit(1).alias("_one"))
+    sums = listed(daily).groupBy(*keys).agg(*merged_metrics(), F.countDistinct("target_date").alias("n_target_dates"))
+    issuances = listed(issued).groupBy(*keys).agg(F.countDistinct("issuance_id").alias("n_issuances"))
+    table = finish_metrics(sums.join(issuances, keys), 10)
+    return with_skill(table, keys[:3]).withColumn("as_of", as_of)
 
 
 def timeline(pairs: DataFrame, as_of: Column, days: int = 60) -> DataFrame:

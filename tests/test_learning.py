@@ -173,3 +173,27 @@ def test_an_issuance_is_built_whole(spark):
     assert (a.src_mur_newest, a.src_failed, a.src_cpc_814_issued, a.src_cpc_wk34_issued) == ("2026-09-08", "ndbc:1", "2026-09-09", None) and a.issue_local == "2026-09-10T13:30:00"
     assert (a.baseline_clim_score, a.baseline_enso_anom_f, a.enso_regime, a.oni, a.record_id) == (50.0, 1.25, "El Nino", 1.1, "2026-09-10T1330PT_v1|2026-09-10|sd_bay|s")
     assert ledger.forbidden_far_values(rows).isEmpty()
+
+
+def test_reduced_evaluation_equals_the_plain_one(spark):
+    """Sums and distinct counts from reduced rows against metrics of every window and dimension apart."""
+    import random
+    from pelagia.operators import stats
+    rng = random.Random(3)
+    day = lambda k: D(2026, 9, 30) - dt.timedelta(days=k)
+    rows = [(day(k), f"i{rng.randrange(30)}", rng.choice(["short_0_7", "outlook_8_30"]), rng.randrange(31), rng.choice("st"), rng.choice(["r", None]), rng.uniform(0, 100), rng.choice([None, 50.0]), rng.uniform(0, 100))
+            for k in (rng.randrange(200) for _ in range(400))]
+    df = spark.createDataFrame(rows, "target_date date, issuance_id string, horizon_group string, lead_days int, species_id string, region_id string, score__v1 double, score__baseline_climatology double, observed_score double")
+    df = df.withColumns({"overall": F.lit("all"), "y_good": (F.col("observed_score") >= 60).cast("int"), "obs_idx": F.floor(F.col("observed_score") / 25).cast("int")})
+    as_of, dims = F.lit("2026-09-30").cast("date"), ["overall", "horizon_group", "species_id", "region_id"]
+    models = ["v1", "baseline_climatology"]
+    got = {(r.window, r.dimension, r.stratum, r.model_id): r.asDict() for r in verify.evaluate(df, models, as_of, dims).collect()}
+    n = 0
+    for window, days in (("rolling_30d", 30), ("rolling_90d", 90), ("all", 10**4)):
+        part = stats.long_by_model(df.where(F.col("target_date") > F.date_sub(as_of, days)), models)
+        for d in dims:
+            for r in stats.metrics(part, [d, "model_id"], 10).where(F.col(d).isNotNull()).collect():
+                mine = got[window, d, r[d], r.model_id]
+                assert {k: v for k, v in r.asDict().items() if k not in (d, "model_id")} == {k: mine[k] for k in r.asDict() if k not in (d, "model_id")}
+                n += 1
+    assert n > 30
