@@ -72,6 +72,34 @@ def evidence(spark, sf):
     return db.count_by(ql.labels_without_evidence(ef.labels(spark, sf).withColumn("observed_class", given)), "label_status")
 
 
+@query("q06_failed_critical_sources", "source_identifier s, freshness s, used_cached_data b", """
+  SELECT 'u' || user_id AS source_identifier, 'failed' AS freshness, false AS used_cached_data FROM events GROUP BY user_id
+  HAVING arg_max(event_type, (ts, event_id)) = 'error' AND user_id % 3 = 0 AND NOT coalesce(bool_or(event_type <> 'error' AND value > 300), false)""")
+def failed_critical(spark, sf):
+    """Critical sources whose last attempt failed and that have no usable earlier copy."""
+    last = F.max_by("event_type", F.struct("ts", "event_id"))
+    usable = F.coalesce(F.bool_or((F.col("event_type") != "error") & (F.col("value") > 300)), F.lit(False))
+    status = i.events(spark, sf).groupBy("user_id").agg(F.when(last == "error", "failed").otherwise("fresh").alias("freshness"), usable.alias("used_cached_data"))
+    status = status.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source_identifier"), "freshness", "used_cached_data", (F.col("user_id") % 3 == 0).alias("deployment_critical"))
+    return ql.failed_critical_sources(status)
+
+
+@query("q11_registry_violations", "violation s, subject s", """
+  SELECT 'decision_changed' AS violation, CAST(c_custkey AS VARCHAR) AS subject FROM customer WHERE c_custkey % 50 = 0 OR c_custkey % 77 = 0
+  UNION ALL SELECT 'model_removed', n_name FROM nation WHERE n_nationkey % 7 = 3
+  UNION ALL SELECT 'production_without_approval', n_name FROM nation WHERE n_nationkey IN (2, 4)
+  UNION ALL SELECT 'production_model_not_unique', (SELECT n_name FROM nation WHERE n_nationkey = 1) UNION ALL SELECT 'production_differs_from_engine', (SELECT n_name FROM nation WHERE n_nationkey = 1)
+  UNION ALL SELECT 'auto_retrain_enabled', (SELECT n_name FROM nation WHERE n_nationkey = 1)""")
+def registry(spark, sf):
+    """A registry with every fault: three production models of which two are not approved, removed models, dropped and rewritten decisions."""
+    k = F.col("n_nationkey")
+    old = i.table(spark, sf, "nation").select(F.col("n_name").alias("model_id"), F.when(k.isin(1, 2, 4), "production").otherwise("shadow").alias("status"), F.when(k != 4, k == 1).alias("approved"), k.alias("k"))
+    decisions = i.table(spark, sf, "customer").select(F.col("c_custkey").alias("seq"), "c_name", F.col("c_mktsegment").alias("decision"))
+    now = decisions.where("seq % 77 <> 0").withColumn("decision", F.when(F.col("seq") % 50 == 0, F.lit("rewritten")).otherwise(F.col("decision")))
+    production = old.where("k = 1").first()["model_id"]
+    return ql.registry_violations(old.where("k % 7 <> 3").drop("k"), now, production, "another", True, old.drop("k"), decisions)
+
+
 @query("q09_lookahead", "issuance_id s, src_ts z", """
   SELECT issuance_id, max(src) AS src_ts FROM (SELECT issuance_id, issue_utc, issue_utc + to_minutes(CAST(lead_days AS BIGINT)) AS src FROM p_ledger) WHERE src > issue_utc + INTERVAL 5 MINUTE GROUP BY 1""")
 def lookahead(spark, sf):
