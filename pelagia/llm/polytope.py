@@ -35,6 +35,8 @@ from .common import arrow_batches, components, group_of, in_pairs_of_blocks, who
 THRESHOLD, RECALL, PROBES = 0.9, 0.9999, 4
 #: Vectors that a bucket may hold by chance, on average; bits of the signs compared there; members of a block.
 BY_CHANCE, BITS, BLOCK = 64, 128, 2048
+#: Rows of a bucket that are compared place by place, together with those of other small buckets.
+FEW = 64
 
 
 def rotated(x: np.ndarray, *seed: int) -> np.ndarray:
@@ -156,25 +158,40 @@ def possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield part.loc[hit, ["name", "digest"]]
 
 
-def linked(x: np.ndarray, left: np.ndarray, right: np.ndarray, names: np.ndarray, name: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (left, right) with the cosine or more, and whether they share no bucket with a smaller name."""
-    table = int(np.flatnonzero((names[left[0]] == name).any(1))[0])
-    out = []
-    for rows in np.array_split(left, max(1, len(left) // 256)):
-        a, b = np.nonzero(x[rows] @ x[right].T >= threshold)
-        a, b = rows[a], right[b]
-        if left is right:
-            a, b = a[a < b], b[a < b]
-        first = np.ones(len(a), bool)
-        for t in range(table + 1):
-            open_ = np.flatnonzero(first)
-            for part in np.array_split(open_, max(1, len(open_) // 50_000)):
-                p, q = names[a[part], t], names[b[part], t]
-                first[part] = ~((p[:, :, None] == q[:, None, :]) & (p[:, :, None] < name)).any((1, 2))
-        out.append((a, b, first))
+def linked(x: np.ndarray, group: np.ndarray, apart: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a, b) of rows of one group with the cosine or more; where ``apart``, of different sides only.
+
+    Groups of up to FEW rows are compared all at once, each row with the one 1, 2, ... places on; larger ones by matrix products.
+    """
+    size = np.bincount(group)[group]
+    out = [(np.zeros(0, np.int64),) * 2]
+    step = 1
+    while len(a := np.flatnonzero((group[step:] == group[:-step]) & (size[step:] <= FEW))):
+        a = a[~apart[a] | (side[a] != side[a + step])]
+        a = a[np.einsum("ij,ij->i", x[a], x[a + step]) >= threshold]
+        out.append((a, a + step))
+        step += 1
+    for g in np.unique(group[size > FEW]):
+        rows = np.flatnonzero(group == g)
+        left, right = (rows[side[rows] == 0], rows[side[rows] == 1]) if apart[rows[0]] else (rows, rows)
+        for some in np.array_split(left, max(1, len(left) // 256)):
+            a, b = np.nonzero(x[some] @ x[right].T >= threshold)
+            a, b = some[a], right[b]
+            out.append((a, b) if apart[rows[0]] else (a[a < b], b[a < b]))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def first_meeting(names: np.ndarray, a: np.ndarray, b: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Whether the pairs share no bucket with a smaller name than the one they were found in."""
+    first, least = np.ones(len(a), bool), names.min(2)
+    for t in range(names.shape[1]):
+        open_ = np.flatnonzero(first & (least[a, t] < name))
+        for part in np.array_split(open_, max(1, len(open_) // 50_000)):
+            p, q = names[a[part], t], names[b[part], t]
+            first[part] = ~((p[:, :, None] == q[:, None, :]) & (p[:, :, None] < name[part, None, None])).any((1, 2))
+    return first
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links (other vectors with that cosine or more), component_id (smallest id connected by links) and kept of every row."""
     spark = vectors.sparkSession
@@ -207,17 +224,13 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches, ["name", "i", "j"], 4 * BLOCK):
-            cuts = np.flatnonzero(np.diff(group_of(part, ["name", "i", "j"]))) + 1
-            for at in np.split(np.arange(len(part)), cuts):
-                g = part.iloc[at]
-                side, copies, rep = g.side.to_numpy(), g.copies.to_numpy(np.int64), g.rep.to_numpy(np.int64)
+            for length in part.vector.map(len).unique():  # a group has vectors of one size
+                g = part[part.vector.map(len) == length]
+                copies, rep, name = g.copies.to_numpy(np.int64), g.rep.to_numpy(np.int64), g["name"].to_numpy(np.int64)
                 x = np.frombuffer(b"".join(g.vector), np.float64).reshape(len(g), -1)
                 names = np.stack(g.names.to_list()).reshape(len(g), layouts[x.shape[1]][1], -1)
-                whole = g.i.iloc[0] == g.j.iloc[0]
-                left, right = (np.arange(len(g)),) * 2 if whole else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-                if not len(left) or not len(right):
-                    continue
-                a, b, first = linked(x, left, right, names, int(g["name"].iloc[0]), threshold)
+                a, b = linked(x, group_of(g, ["name", "i", "j"]), (g.i != g.j).to_numpy(), g.side.to_numpy(), threshold)
+                first = first_meeting(names, a, b, name[a])
                 links = np.bincount(a[first], copies[b[first]], len(g)) + np.bincount(b[first], copies[a[first]], len(g))
                 label = rep.copy()
                 while True:

@@ -128,9 +128,10 @@ def odd_vectors():
     return out
 
 
-@pytest.mark.parametrize("block", [2048, 16])
-def test_vectors_equal_brute_force(spark, odd_vectors, monkeypatch, block):
+@pytest.mark.parametrize("block, few", [(2048, 64), (16, 64), (16, 3)])
+def test_vectors_equal_brute_force(spark, odd_vectors, monkeypatch, block, few):
     monkeypatch.setattr(polytope, "BLOCK", block)
+    monkeypatch.setattr(polytope, "FEW", few)
     df = spark.createDataFrame([(i, v, "x", 0) for i, v in odd_vectors], "vec_id long, embedding array<double>, digest string, label int")
     columns = ["vec_id", "n_links", "component_id", "kept"]
     got = rows(polytope.near_vectors(df), *columns)
