@@ -23,8 +23,9 @@ def table_check(df: DataFrame, name: str, key: list[str], min_rows: int) -> Data
 
 def history_check(old: DataFrame, new: DataFrame, name: str, date: str, ratio: float) -> DataFrame:
     """One row: the new table may not shrink, start later or end earlier than the old one."""
-    side = lambda df, p: df.agg(F.count(F.lit(1)).alias(f"n_{p}"), F.min(date).alias(f"min_{p}"), F.max(date).alias(f"max_{p}"))
-    both = side(old, "old").join(side(new, "new"), F.lit(True))  # one row each
+    side = lambda df, p: df.agg(F.count(F.lit(1)).alias(f"n_{p}"), F.min(date).alias(f"min_{p}"), F.max(date).alias(f"max_{p}"))
+    now = side(new, "new").select(F.struct("*")).scalar()
+    both = side(old, "old").withColumn("_now", now).select("*", "_now.*").drop("_now")
     c = F.col
     return both.select(F.lit(name).alias("table_name"), "n_old", "n_new", "min_old", "min_new", "max_old", "max_new",
                        (c("n_new") < c("n_old") * ratio).alias("shrunk"), (c("min_new") > c("min_old")).alias("starts_later"),
@@ -96,8 +97,9 @@ def copies_agree(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
     """Two published copies of a table: equal row count and order-free content checksum."""
     cols = sorted(left.columns)
     a = left.agg(F.count(F.lit(1)).alias("n_left"), content_checksum(left, cols).alias("_a"))
-    b = right.agg(F.count(F.lit(1)).alias("n_right"), content_checksum(right, cols).alias("_b"))
-    return a.join(b, F.lit(True)).select(F.lit(name).alias("table_name"), "n_left", "n_right", (F.col("_a") == F.col("_b")).alias("same_content"))
+    b = right.agg(F.struct(F.count(F.lit(1)).alias("n"), content_checksum(right, cols).alias("sum"))).scalar()
+    both = a.withColumn("_b", b)
+    return both.select(F.lit(name).alias("table_name"), "n_left", F.col("_b.n").alias("n_right"), (F.col("_a") == F.col("_b.sum")).alias("same_content"))
 
 
 def upsert_status(previous: DataFrame, attempts: DataFrame) -> DataFrame:
